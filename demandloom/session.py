@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 # AQE re-plans joins from measured sizes: it broadcasts a side that proves small and
@@ -50,3 +51,10 @@ def use_checkpoints(spark: SparkSession) -> None:
     """Point reliable checkpoints at the shared folder unless the session already has one."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
+
+
+def ship_code() -> None:
+    """Send the package's own functions with each task, so that workers need no copy of it."""
+    import demandloom
+
+    cloudpickle.register_pickle_by_value(demandloom)
