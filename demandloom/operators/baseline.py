@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandloom import spec
@@ -42,3 +42,22 @@ def baseline_history(ship: DataFrame) -> DataFrame:
 
 def baseline_future(ship: DataFrame, horizon: int = spec.HORIZON_MONTHS) -> DataFrame:
     return seasonal_naive(ship, horizon).filter(F.col("target_ym") > latest(ship))
+
+
+def rolling_rule(ship: DataFrame, rule: str) -> DataFrame:
+    """One-month-ahead forecasts of a simple rule over the history, for comparison.
+
+    `mean_12` is the mean of the previous twelve months, `last_value` the previous month;
+    both start where twelve months are known.
+    """
+    by_time = Window.partitionBy(*spec.SERIES).orderBy("ym")
+    rules = {
+        "mean_12": F.avg("qty").over(by_time.rowsBetween(-12, -1)),
+        "last_value": F.lag("qty").over(by_time).cast("double"),
+    }
+    rows = ship.select(*spec.SERIES, F.col("ym").alias("target_ym"), rules[rule].alias("p50"),
+                       F.row_number().over(by_time).alias("_nth"))
+    low, high = ratio_interval(F.col("p50"), spec.MODEL_RATIO)
+    return rows.filter(F.col("_nth") > 12).select(
+        *spec.FORECAST_KEY, shift_month_end("target_ym", -1).alias("forecast_run_ym"),
+        F.lit(rule).alias("model_name"), "p50", low.alias("lower_bound"), high.alias("upper_bound"))

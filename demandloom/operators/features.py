@@ -71,3 +71,10 @@ def temporal_split(frame: DataFrame, months: DataFrame | None = None,
         "split": split,
         "is_recent": F.col("ym") >= nth_latest(months, recent_months),
     })
+
+
+def split_counts(split: DataFrame) -> DataFrame:
+    """Rows, series and months of each part of a split."""
+    return split.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct(*spec.SERIES).alias("series"),
+        F.min("ym").alias("first_ym"), F.max("ym").alias("last_ym"), F.count_if("is_recent").alias("n_recent"))

@@ -23,6 +23,7 @@ from demandloom.functions.series import series_id, smape_term, split_series_id
 
 # Half-width of a 95 % normal interval, and the rules that need no fitting.
 Z95 = 1.96
+SCORE_DIGITS = 9
 RULES = ("naive_12", "mean_12", "last_value", "zero")
 
 ID, TIME, VALUE = "unique_id", "ds", "y"
@@ -213,11 +214,12 @@ def mm_score(train: DataFrame, models: Iterable[str] = tuple(MODELS), horizon: i
 def best_models(evaluation: DataFrame, ties: str = "keep") -> DataFrame:
     """Model with the lowest mean score per series; NULL scores do not count.
 
-    Ties are kept by default; `ties="first"` keeps the alphabetically first winner. The
+    Ties are kept by default; `ties="first"` keeps the alphabetically first winner. Mean
+    scores are rounded so that the order of summation cannot break or make a tie. The
     window ranks the models of one series, as many rows as there are models.
     """
-    mean = (evaluation.filter(F.col("metric_value").isNotNull())
-            .groupBy(ID, "model").agg(F.avg("metric_value").alias("avg_metric")))
+    scored = evaluation.filter(F.col("metric_value").isNotNull())
+    mean = scored.groupBy(ID, "model").agg(F.round(F.avg("metric_value"), SCORE_DIGITS).alias("avg_metric"))
     per_series = Window.partitionBy(ID).orderBy("avg_metric")
     rank = F.rank().over(per_series) if ties == "keep" else F.row_number().over(per_series.orderBy("avg_metric", "model"))
     return mean.withColumn("_rank", rank).filter(F.col("_rank") == 1).select(

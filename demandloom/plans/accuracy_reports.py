@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from demandloom import spec
 from demandloom.functions.calendar import latest
-from demandloom.functions.series import abs_error, share_of
+from demandloom.functions.series import abs_error, share_of, smape_term
 from demandloom.operators.joins import lookup_join
 from demandloom.plans.reports import top_n
 
@@ -66,6 +66,11 @@ def distinct_counts(accuracy: DataFrame) -> DataFrame:
         F.count_distinct("target_ym").alias("months"))
 
 
+def smape_by_model(accuracy: DataFrame) -> DataFrame:
+    term = smape_term(F.col("actual_qty"), F.col("forecast_qty"))
+    return accuracy.groupBy("model_name").agg(F.avg(term).alias("smape"))
+
+
 def vs_baseline(accuracy: DataFrame, baseline: str = spec.BASELINE_MODEL) -> DataFrame:
     """Mean error per method and its ratio to the baseline's; below 1 beats the baseline."""
     per = accuracy.groupBy("model_name").agg(F.avg("abs_error").alias("err_qty"), F.count(F.lit(1)).alias("n"))

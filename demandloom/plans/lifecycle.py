@@ -61,13 +61,14 @@ def predictions(frame: DataFrame, models: Mapping[str, PipelineModel]) -> DataFr
     return out
 
 
-def compare(frame: DataFrame, names: Iterable[str], actual: str = "qty", naive: str = "lag_12") -> DataFrame:
+def compare(frame: DataFrame, names: Iterable[str], actual: str = "qty", naive: str = "lag_12",
+            by: Iterable[str] = ()) -> DataFrame:
     """Error of each prediction column on the validation rows and on the recent ones.
 
     `frame` carries `is_recent` and the predictions. The scaled error divides by the error
     of "same month last year" on the same rows; below 1 beats it. One aggregation in all.
     """
-    names = list(names)
+    names, by = list(names), list(by)
     recent = F.col("is_recent")
 
     def mae(column: str) -> tuple[Column, Column]:
@@ -87,7 +88,7 @@ def compare(frame: DataFrame, names: Iterable[str], actual: str = "qty", naive:
             F.col("_b").alias("baseline_mae"), F.col("_br").alias("baseline_mae_recent"),
         ) for n in names
     ])
-    return frame.agg(*columns).select(F.explode(rows).alias("_c")).select("_c.*")
+    return frame.groupBy(*by).agg(*columns).select(*by, F.explode(rows).alias("_c")).select(*by, "_c.*")
 
 
 def fit_trials(training: DataFrame, grid: Iterable[Mapping]) -> dict[str, PipelineModel]:
@@ -131,22 +132,23 @@ def batch_score(frame: DataFrame, model: PipelineModel, version: int, run_date:
         low.alias("lower_bound"), high.alias("upper_bound"), (F.col("ym") > through).alias("is_out_of_sample"))
 
 
-def promote(champion_recent: Column, challenger_recent: Column, challenger_mase_recent: Column) -> Column:
-    """Promote only if the challenger's recent error is smaller and it beats last year's month."""
-    return F.coalesce((challenger_recent < champion_recent) & (challenger_mase_recent < 1.0), F.lit(False))
+def wins(champion_recent, challenger_recent, challenger_mase_recent):
+    """The challenger's recent error is smaller and it beats last year's month (columns or numbers)."""
+    return (challenger_recent < champion_recent) & (challenger_mase_recent < 1.0)
 
 
-def decide(scores: DataFrame, champion: str = "champion", challenger: str = "challenger") -> DataFrame:
-    """One row: both recent errors, the challenger's scaled error and the verdict."""
+def decide(scores: DataFrame, champion: str = "champion", challenger: str = "challenger",
+           by: Iterable[str] = ()) -> DataFrame:
+    """Both recent errors, the challenger's scaled error and the verdict; unknown means keep."""
     def of(name: str, column: str) -> Column:
         return F.max(F.when(F.col("name") == name, F.col(column)))
 
-    row = scores.agg(
+    row = scores.groupBy(*by).agg(
         of(champion, "mae_recent").alias("champion_mae_recent"),
         of(challenger, "mae_recent").alias("challenger_mae_recent"),
         of(challenger, "mase_recent").alias("challenger_mase_recent"))
-    return row.withColumn("promote", promote(
-        F.col("champion_mae_recent"), F.col("challenger_mae_recent"), F.col("challenger_mase_recent")))
+    verdict = wins(F.col("champion_mae_recent"), F.col("challenger_mae_recent"), F.col("challenger_mase_recent"))
+    return row.withColumn("promote", F.coalesce(verdict, F.lit(False)))
 
 
 def stack_versions(frame: DataFrame, models: Mapping[int, PipelineModel]) -> DataFrame:

@@ -108,10 +108,13 @@ class StarSchema:
 
     @cached_property
     def channels(self) -> DataFrame:
-        """The two channels the business knows; returns are deliberately not among them."""
-        return self.spark.sql(
-            "SELECT * FROM VALUES ('DOM', 'Domestic', 'Domestic dealers and direct sales'), "
-            "('EXP', 'Export', 'Overseas dealers') AS t(channel_code, channel_name, description)"
+        """The channels the business knows; returns are deliberately not among them."""
+        code = F.col("channel_code")
+        found = self._lines("l_returnflag").select(channel_of("l_returnflag").alias("channel_code")).distinct()
+        return found.filter(code.isin(*spec.CHANNELS)).select(
+            code,
+            F.when(code == "DOM", "Domestic").otherwise("Export").alias("channel_name"),
+            F.when(code == "DOM", "Domestic dealers and direct sales").otherwise("Overseas dealers").alias("description"),
         )
 
     @cached_property

@@ -111,7 +111,7 @@ def retrain(ws: Workspace, gold: StoredGold) -> dict:
     registry.tag(challenger, {**{k: f"{by_name['challenger'][k]:.4f}" for k in ("mae", "mase", "baseline_mae")},
                               "trained_through": through})
     new, old = by_name["challenger"], by_name["champion"]
-    promoted = new["mae_recent"] < old["mae_recent"] and new["mase_recent"] < 1.0
+    promoted = lifecycle.wins(old["mae_recent"], new["mae_recent"], new["mase_recent"])
     if promoted:
         registry.set_alias("champion", challenger)
     return {"champion": champion, "challenger": challenger, "promoted": promoted, "scores": by_name}
