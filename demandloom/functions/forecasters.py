@@ -26,11 +26,17 @@ def _flat(level: np.ndarray, errors: np.ndarray, h: int):
     return np.repeat(level[:, None], h, axis=1), np.repeat(_sd(errors), h, axis=1)
 
 
+def _slope(y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least-squares slope per series and the centred time it refers to."""
+    time = np.arange(y.shape[1]) - (y.shape[1] - 1) / 2
+    return (y * time).sum(axis=1) / max((time ** 2).sum(), 1e-12), time
+
+
 def _seasonal_means(y: np.ndarray) -> np.ndarray:
-    """Additive monthly effects by position in the season, summing to zero."""
-    t = y.shape[1]
-    centred = y - y.mean(axis=1, keepdims=True)
-    effects = np.stack([centred[:, m::SEASON].mean(axis=1) for m in range(min(SEASON, t))], axis=1)
+    """Additive monthly effects around a straight line, summing to zero."""
+    slope, time = _slope(y)
+    around = y - y.mean(axis=1, keepdims=True) - slope[:, None] * time
+    effects = np.stack([around[:, m::SEASON].mean(axis=1) for m in range(SEASON)], axis=1)
     return effects - effects.mean(axis=1, keepdims=True)
 
 
@@ -106,8 +112,7 @@ def theta(y: np.ndarray, h: int):
     effects = _seasonal_means(y) if months >= 2 * SEASON else np.zeros((n, SEASON))
     position = np.arange(months) % SEASON
     x = y - effects[:, position]
-    time = np.arange(months) - (months - 1) / 2
-    slope = (x * time).sum(axis=1) / max((time ** 2).sum(), 1e-12)
+    slope, _time = _slope(x)
     level, alpha, errors = _smooth(x)
     drift = (_steps(h) - 1)[None, :] + ((1 - (1 - alpha) ** months) / alpha)[:, None]
     mean = level[:, None] + 0.5 * slope[:, None] * drift + effects[:, (months + np.arange(h)) % SEASON]
