@@ -78,12 +78,20 @@ class Context:
     def origin(self):
         return F.year(self.silver.first_month)
 
+    @property
+    def last(self):
+        return self.silver.last_month
+
+    @property
+    def span(self):
+        return self.silver.first_month, self.silver.last_month
+
     @property
     def training(self) -> DataFrame:
         return features.training_frame(self.features)
 
     def split(self, built_ago: int) -> DataFrame:
-        return features.temporal_split(self.training, self.silver.sparse_shipments, built_ago=built_ago)
+        return features.temporal_split(self.training, self.silver.months, built_ago=built_ago)
 
     @property
     def train(self) -> DataFrame:
@@ -91,7 +99,7 @@ class Context:
 
     @property
     def by_series(self) -> DataFrame:
-        return demand.classify(self.ship, spec.SERIES)
+        return demand.classify(self.ship, spec.SERIES, self.last)
 
     def rules_evaluated(self) -> DataFrame:
         return forecasting.mm_evaluate(self.train, forecasting.RULES[:3])
@@ -136,8 +144,8 @@ def _dq(c: Context) -> DataFrame:
 def _tolerance(c: Context) -> DataFrame:
     """Statistics of all months against those known a year earlier."""
     cutoff = calendar.shift_month_end(c.silver.last_month, -12)
-    before = demand.demand_stats(c.ship.filter(F.col("ym") <= cutoff), ["item_code"])
-    return quality.tolerance_check(demand.demand_stats(c.ship, ["item_code"]), before)
+    before = demand.demand_stats(c.ship.filter(F.col("ym") <= cutoff), ["item_code"], cutoff)
+    return quality.tolerance_check(demand.demand_stats(c.ship, ["item_code"], c.last), before)
 
 
 def _reconcile(c: Context) -> DataFrame:
@@ -193,13 +201,13 @@ def _routed(c: Context) -> DataFrame:
 
 
 def _nth_months(c: Context) -> DataFrame:
-    months = c.silver.sparse_shipments
-    return c.spark.range(1).select(*[calendar.nth_latest(months, n).alias(f"latest_{n}") for n in (1, 3, 12)])
+    newest = calendar.newest_months(c.silver.months, 12)
+    return c.spark.range(1).select(*[F.get(newest, n - 1).alias(f"latest_{n}") for n in (1, 3, 12)])
 
 
 def _part_accuracy(c: Context) -> DataFrame:
     ship = c.parts.shipments
-    scored = accuracy.score(baseline.baseline_history(ship), ship)
+    scored = accuracy.score(baseline.baseline_history(ship, c.span), ship)
     return scored.groupBy("item_code").agg(*accuracy_reports.error_measures())
 
 
@@ -237,15 +245,15 @@ QUERIES: dict[str, Callable[[Context], DataFrame]] = {
         series.split_series_id("unique_id", 1).alias("channel")),
     "series_list": lambda c: reports.series_list(c.gold),
     "series_slice": lambda c: reports.series_slice(c.gold, *PICK),
-    "demand_stats": lambda c: demand.demand_stats(c.ship, ["item_code"]),
+    "demand_stats": lambda c: demand.demand_stats(c.ship, ["item_code"], c.last),
     "demand_class": lambda c: c.by_series,
     "route_series": lambda c: demand.route_series(c.by_series),
     "history_gate": lambda c: demand.history_gate(c.silver.sparse_shipments),
     "enough_history": lambda c: demand.enough_history(c.silver.sparse_shipments),
     "safety_stock": _safety,
     # baseline and scoring
-    "baseline_naive": lambda c: baseline.baseline_history(c.ship),
-    "baseline_future": lambda c: baseline.baseline_future(c.ship),
+    "baseline_naive": lambda c: baseline.baseline_history(c.ship, c.span),
+    "baseline_future": lambda c: baseline.baseline_future(c.ship, span=c.span),
     "all_forecasts": lambda c: accuracy.all_forecasts(c.rivals),
     "accuracy_all": lambda c: c.scored,
     "unscorable_forecasts": lambda c: accuracy.unscorable(c.silver.forecast_baseline, c.ship),
@@ -269,7 +277,7 @@ QUERIES: dict[str, Callable[[Context], DataFrame]] = {
     "top_error_items": lambda c: accuracy_reports.top_error_items(c.gold),
     "ds_accuracy": lambda c: accuracy_reports.ds_accuracy(c.gold),
     "w_err_by_class": lambda c: accuracy_reports.w_err_by_class(c.gold),
-    "next_month_top": lambda c: accuracy_reports.next_month_top(c.silver.forecast_baseline, c.ship),
+    "next_month_top": lambda c: accuracy_reports.next_month_top(c.silver.forecast_baseline, c.last),
     # demand and inventory reports
     "ds_demand": lambda c: reports.ds_demand(c.gold),
     "monthly_totals": lambda c: reports.monthly_totals(c.gold),
@@ -321,11 +329,11 @@ QUERIES: dict[str, Callable[[Context], DataFrame]] = {
     "evaluation_summary": lambda c: forecasting.evaluation_summary(c.best, c.silver.items),
     "routed_models": _routed,
     "routed_forecasts": lambda c: forecasting.score_routed(c.train, _routed(c)),
-    "group_forecast_rule": lambda c: forecasting.grouped_forecast(c.ship, model="naive_12"),
-    "group_forecast_seasonal": lambda c: forecasting.grouped_forecast(c.ship, model="seasonal_naive"),
-    "group_backtest_rule": lambda c: forecasting.backtest_holdout(c.ship, model="mean_12"),
-    "group_forecast": lambda c: forecasting.grouped_forecast(c.ship),
-    "group_backtest": lambda c: forecasting.backtest_holdout(c.ship),
+    "group_forecast_rule": lambda c: forecasting.grouped_forecast(c.ship, model="naive_12", last_month=c.last),
+    "group_forecast_seasonal": lambda c: forecasting.grouped_forecast(c.ship, model="seasonal_naive", last_month=c.last),
+    "group_backtest_rule": lambda c: forecasting.backtest_holdout(c.ship, model="mean_12", last_month=c.last),
+    "group_forecast": lambda c: forecasting.grouped_forecast(c.ship, last_month=c.last),
+    "group_backtest": lambda c: forecasting.backtest_holdout(c.ship, last_month=c.last),
     "mm_evaluate": lambda c: forecasting.mm_evaluate(c.train),
     "mm_score": lambda c: forecasting.mm_score(c.train),
     # one global model
@@ -336,7 +344,7 @@ QUERIES: dict[str, Callable[[Context], DataFrame]] = {
     "retrain": lambda c: lifecycle.decide(_challenger(c)),
     "compare_versions": _versions,
     # the finest grain, where series outnumber everything else
-    "part_demand_class": lambda c: demand.classify(c.parts.sparse_shipments, ["item_code"]),
+    "part_demand_class": lambda c: demand.classify(c.parts.sparse_shipments, ["item_code"], c.last),
     "part_accuracy": _part_accuracy,
     "part_features": lambda c: features.build_features(c.parts.shipments, F.year(c.silver.first_month)).select(
         *spec.SHIPMENT_KEY, "lag_12", "roll_mean_12", "roll_std_6", "nonzero_ratio_12"),

@@ -21,13 +21,6 @@ def month_number(month: Column | str) -> Column:
     return F.year(month) * 12 + F.month(month)
 
 
-def month_from_number(number: Column) -> Column:
-    """Inverse of `month_number`."""
-    zero_based = number - 1
-    year = F.floor(zero_based / 12).cast("int")
-    return F.last_day(F.make_date(year, (zero_based - year * 12 + 1).cast("int"), F.lit(1)))
-
-
 def parse_year_month(text: Column | str, pattern: str = "yyyy-MM") -> Column:
     """Month end of a textual year and month, NULL where the text does not parse."""
     return F.last_day(F.to_date(F.try_to_timestamp(text, F.lit(pattern))))
@@ -42,13 +35,18 @@ def earliest(df: DataFrame, month: str = "ym") -> Column:
     return df.select(F.min(month)).scalar()
 
 
-def nth_latest(df: DataFrame, n: int, month: str = "ym") -> Column:
-    """The n-th newest distinct month (1 = newest) as a scalar sub-query.
+def newest_months(df: DataFrame, n: int, month: str = "ym") -> Column:
+    """The `n` newest distinct months, newest first, as one scalar sub-query.
 
-    The distinct months of a monthly fact are few, and the sort keeps only `n` of them.
+    The distinct months of a monthly relation are few, and the sort keeps only `n` of them.
     """
     newest = df.select(month).distinct().orderBy(F.col(month).desc()).limit(n)
-    return newest.select(F.when(F.count(F.lit(1)) == n, F.min(month))).scalar()
+    return newest.select(F.sort_array(F.collect_list(month), asc=False)).scalar()
+
+
+def nth_latest(df: DataFrame, n: int, month: str = "ym") -> Column:
+    """The n-th newest distinct month (1 = newest), NULL when there are fewer."""
+    return F.get(newest_months(df, n, month), n - 1)
 
 
 def forecast_run_month(run_date: str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandloom import spec
@@ -37,11 +37,13 @@ def accuracy_all(sources: list[DataFrame], actual: DataFrame) -> DataFrame:
 
 
 def common_support(accuracy: DataFrame) -> DataFrame:
-    """Only the points every method has forecast, so that averages cover the same months."""
+    """Only the points every method has forecast, so that averages cover the same months.
+
+    A window group is one point: as many rows as there are methods.
+    """
     methods = accuracy.select(F.count_distinct("model_name")).scalar()
-    covered = accuracy.groupBy(*spec.FORECAST_KEY).agg(F.count_distinct("model_name").alias("_n"))
-    full = covered.filter(F.col("_n") == methods).drop("_n")
-    return accuracy.join(full, spec.FORECAST_KEY, "left_semi")
+    here = F.size(F.collect_set("model_name").over(Window.partitionBy(*spec.FORECAST_KEY)))
+    return accuracy.withColumn("_n", here).filter(F.col("_n") == methods).drop("_n")
 
 
 def unscorable(forecast: DataFrame, actual: DataFrame) -> DataFrame:

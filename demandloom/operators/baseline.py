@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandloom import spec
@@ -10,15 +10,24 @@ from demandloom.functions.calendar import earliest, latest, shift_month_end
 from demandloom.functions.series import ratio_interval
 
 
-def seasonal_naive(ship: DataFrame, horizon: int = spec.HORIZON_MONTHS) -> DataFrame:
+Span = tuple[Column, Column]
+
+
+def span_of(ship: DataFrame) -> Span:
+    """First and last month of the shipments."""
+    return earliest(ship), latest(ship)
+
+
+def seasonal_naive(ship: DataFrame, horizon: int = spec.HORIZON_MONTHS, span: Span | None = None) -> DataFrame:
     """History and future block of the baseline in one pass.
 
     Instead of looking back with two self-joins, every actual is sent forward to the two
     months it can serve (12 and 24 later); one grouping per series and target then picks
     the nearer one. Targets run from the first month plus 12 to the last plus `horizon`;
-    history targets are dated one month ahead, future ones at the last month.
+    history targets are dated one month ahead, future ones at the last month. `span` gives
+    the first and last month where the caller has them cheaper than from `ship`.
     """
-    first, last = earliest(ship), latest(ship)
+    first, last = span or span_of(ship)
     sent = ship.select(*spec.SERIES, "ym", "qty", F.explode(F.array(F.lit(12), F.lit(24))).alias("_back"))
     sent = sent.select(*spec.SERIES, shift_month_end("ym", F.col("_back")).alias("target_ym"), "qty", "_back")
     sent = sent.filter(F.col("target_ym").between(shift_month_end(first, 12), shift_month_end(last, horizon)))
@@ -36,12 +45,13 @@ def seasonal_naive(ship: DataFrame, horizon: int = spec.HORIZON_MONTHS) -> DataF
     )
 
 
-def baseline_history(ship: DataFrame) -> DataFrame:
-    return seasonal_naive(ship, horizon=0)
+def baseline_history(ship: DataFrame, span: Span | None = None) -> DataFrame:
+    return seasonal_naive(ship, 0, span)
 
 
-def baseline_future(ship: DataFrame, horizon: int = spec.HORIZON_MONTHS) -> DataFrame:
-    return seasonal_naive(ship, horizon).filter(F.col("target_ym") > latest(ship))
+def baseline_future(ship: DataFrame, horizon: int = spec.HORIZON_MONTHS, span: Span | None = None) -> DataFrame:
+    span = span or span_of(ship)
+    return seasonal_naive(ship, horizon, span).filter(F.col("target_ym") > span[1])
 
 
 def rolling_rule(ship: DataFrame, rule: str) -> DataFrame:

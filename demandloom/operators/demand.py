@@ -9,13 +9,14 @@ from demandloom import spec
 from demandloom.functions.calendar import latest, month_number
 
 
-def demand_stats(ship: DataFrame, by: list[str]) -> DataFrame:
+def demand_stats(ship: DataFrame, by: list[str], last_month: Column | None = None) -> DataFrame:
     """Interval between demands, variability of non-zero demand and mean of the last 12 months.
 
-    Measured on the total of each `by` group from its first month with demand to the last
-    month of the relation; a group that never had demand gets NULL statistics.
+    Measured on the total of each `by` group from its first month with demand to
+    `last_month` (that of the relation unless given); a group that never had demand gets
+    NULL statistics.
     """
-    last = month_number(latest(ship))
+    last = month_number(latest(ship) if last_month is None else last_month)
     monthly = ship.groupBy(*by, "ym").agg(F.sum("qty").alias("qty"))
     hit = F.col("qty") > 0
     month = month_number("ym")
@@ -53,8 +54,8 @@ def demand_class(adi: Column | str = "adi", cv2: Column | str = "cv2") -> Column
     )
 
 
-def classify(ship: DataFrame, by: list[str]) -> DataFrame:
-    return demand_stats(ship, by).withColumn("demand_class", demand_class())
+def classify(ship: DataFrame, by: list[str], last_month: Column | None = None) -> DataFrame:
+    return demand_stats(ship, by, last_month).withColumn("demand_class", demand_class())
 
 
 # What happens to hard-to-forecast series under each policy.

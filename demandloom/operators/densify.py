@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandloom.functions.calendar import month_from_number, month_number
+from demandloom.functions.calendar import month_number, shift_month_end
 
 
 def densify(df: DataFrame, series: list[str], time: str, values: str | list[str],
@@ -17,17 +17,18 @@ def densify(df: DataFrame, series: list[str], time: str, values: str | list[str]
     single shuffle on the series, which later windows and groupings on the series reuse.
     """
     values = [values] if isinstance(values, str) else values
-    by_time = Window.partitionBy(*series).orderBy("_m")
-    rows = df.select(*series, *values, month_number(time).alias("_m"))
+    by_time = Window.partitionBy(*series).orderBy(time)
+    begin = F.when(F.lag(time).over(by_time).isNull(), start).otherwise(F.col(time))
+    stop = F.coalesce(month_number(F.lead(time).over(by_time)), month_number(end) + 1)
+    rows = df.select(*series, time, *values, begin.alias("_from"), stop.alias("_stop"))
     gaps = rows.select(
-        *series, *values, "_m",
-        F.when(F.lag("_m").over(by_time).isNull(), month_number(start)).otherwise(F.col("_m")).alias("_from"),
-        (F.coalesce(F.lead("_m").over(by_time), month_number(end) + 1) - 1).alias("_to"),
+        *series, *values, "_from",
+        (month_number(time) - month_number("_from")).alias("_own"),
+        F.explode(F.sequence(F.lit(0), F.col("_stop") - month_number("_from") - 1)).alias("_k"),
     )
-    filled = gaps.select(*series, *values, "_m", F.explode(F.sequence("_from", "_to")).alias("_n"))
 
     def or_zero(value: str) -> Column:
         zero = F.lit(0).cast(df.schema[value].dataType)
-        return F.when(F.col("_n") == F.col("_m"), F.col(value)).otherwise(zero).alias(value)
+        return F.when(F.col("_k") == F.col("_own"), F.col(value)).otherwise(zero).alias(value)
 
-    return filled.select(*series, month_from_number(F.col("_n")).alias(time), *[or_zero(v) for v in values])
+    return gaps.select(*series, shift_month_end("_from", F.col("_k")).alias(time), *[or_zero(v) for v in values])

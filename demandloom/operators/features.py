@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandloom import spec
-from demandloom.functions.calendar import month_number, nth_latest
+from demandloom.functions.calendar import month_number, newest_months
 
 
 def calendar_features(df: DataFrame, origin_year: Column | int | None = None, time: str = "ym") -> DataFrame:
@@ -61,15 +61,14 @@ def temporal_split(frame: DataFrame, months: DataFrame | None = None,
     `valid_months` before them validate. With `built_ago=0` nothing is held back.
     `months` may be any cheap relation with the same months (defaults to the frame).
     """
-    months = frame if months is None else months
-    as_of = nth_latest(months, 1 + built_ago)
-    first_valid = nth_latest(months, built_ago + valid_months)
+    newest = newest_months(frame if months is None else months, max(built_ago + valid_months, recent_months))
+    as_of, first_valid = F.get(newest, built_ago), F.get(newest, built_ago + valid_months - 1)
     split = (
         F.when(F.col("ym") > as_of, "unseen").when(F.col("ym") >= first_valid, "valid").otherwise("train")
     )
     return frame.withColumns({
         "split": split,
-        "is_recent": F.col("ym") >= nth_latest(months, recent_months),
+        "is_recent": F.col("ym") >= F.get(newest, recent_months - 1),
     })
 
 

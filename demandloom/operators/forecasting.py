@@ -35,7 +35,14 @@ def mm_train(ship: DataFrame) -> DataFrame:
 
 
 def pack(df: DataFrame, key: str, time: str, value: str) -> DataFrame:
-    """One row per series: key, newest month `last_ym`, values in month order `y`."""
+    """One row per series: key, newest month `last_ym`, values in month order `y`.
+
+    One shuffle, into the configured number of partitions. What follows costs CPU rather
+    than bytes, and a given count keeps adaptive coalescing from packing these small rows
+    into one task; models and windows are fanned out behind it, inside the partitions.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df = df.select(key, time, value).repartition(parts, key)
     points = F.array_sort(F.collect_list(F.struct(F.col(time).alias("t"), F.col(value).cast("double").alias("v"))))
     packed = df.groupBy(F.col(key)).agg(F.max(time).alias("last_ym"), points.alias("_points"))
     return packed.select(key, "last_ym", F.transform("_points", lambda p: p["v"]).alias("y"))
@@ -83,24 +90,23 @@ def _rule(model: Column, y: Column, horizon: Column) -> Column:
     return F.when((n > 0) & (horizon > 0), chosen)
 
 
-def predict(rows: DataFrame, horizon: Column) -> DataFrame:
+def predict(rows: DataFrame, horizon: Column, models: Iterable[str] | None = None) -> DataFrame:
     """Add `p50` and `sd` arrays to rows holding `y` and `model`.
 
-    Rules are evaluated as expressions. Fits cost CPU, not bytes, so they are spread over
-    the configured shuffle partitions; a given partition count also keeps adaptive
-    coalescing from packing these small rows into one task.
+    Rules are evaluated as expressions, everything else is fitted. `models` names what the
+    rows may hold, where that is known, to plan only the branch that is needed.
     """
     rows = rows.withColumn("_h", horizon)
+    known = list(models) if models is not None else [*RULES, *FITTED]
     simple = rows.filter(F.col("model").isin(*RULES)).withColumns({
         "p50": _rule(F.col("model"), F.col("y"), F.col("_h")),
         "sd": F.lit(None).cast("array<double>"),
     })
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key = [f.name for f in rows.schema if not isinstance(f.dataType, T.ArrayType)]
-    spread = rows.filter(~F.col("model").isin(*RULES)).repartition(parts, *key)
-    fitted = spread.withColumn("_f", _fit("y", "model", "_h")).select(
+    if all(m in RULES for m in known):
+        return simple.drop("_h")
+    fitted = rows.filter(~F.col("model").isin(*RULES)).withColumn("_f", _fit("y", "model", "_h")).select(
         *rows.columns, F.col("_f.p50").alias("p50"), F.col("_f.sd").alias("sd"))
-    return simple.unionByName(fitted).drop("_h")
+    return (simple.unionByName(fitted) if any(m in RULES for m in known) else fitted).drop("_h")
 
 
 def unpack(predicted: DataFrame, keep: list[str]) -> DataFrame:
@@ -133,19 +139,20 @@ def forecast_by_group(df: DataFrame, horizon: str | Column, time_col: str, value
     rows = pack(df, group_col, time_col, value_col).withColumns({
         "model": F.lit(model), "_steps": month_number(end) - month_number("last_ym")})
     ahead = rows.filter(F.col("_steps") > 0)
-    return unpack(predict(ahead, F.col("_steps")), [group_col]).select(
+    return unpack(predict(ahead, F.col("_steps"), [model]), [group_col]).select(
         group_col, F.col("target_ym").alias(time_col), F.col("p50").alias(f"{value_col}_forecast"),
         F.col("lower_bound").alias(f"{value_col}_lower"), F.col("upper_bound").alias(f"{value_col}_upper"))
 
 
 def grouped_forecast(ship: DataFrame, horizon: str | Column | None = None, cutoff: Column | None = None,
-                     model: str = "auto") -> DataFrame:
+                     model: str = "auto", last_month: Column | None = None) -> DataFrame:
     """Forecast relation of all series, by default 18 months past the last actual.
 
     With `cutoff`, only months up to it are used; the run month is the last month used.
+    `last_month` may be given where the caller has it cheaper than from `ship`.
     """
     known = ship if cutoff is None else ship.filter(F.col("ym") <= cutoff)
-    run = latest(ship) if cutoff is None else cutoff
+    run = cutoff if cutoff is not None else latest(ship) if last_month is None else last_month
     horizon = shift_month_end(run, spec.HORIZON_MONTHS) if horizon is None else horizon
     series = known.select(series_id(*spec.SERIES).alias("series_id"), "ym", F.col("qty").cast("double").alias("qty"))
     out = forecast_by_group(series, horizon, "ym", "qty", "series_id", model=model)
@@ -155,9 +162,10 @@ def grouped_forecast(ship: DataFrame, horizon: str | Column | None = None, cutof
         F.col("qty_forecast").alias("p50"), F.col("qty_lower").alias("lower_bound"), F.col("qty_upper").alias("upper_bound"))
 
 
-def backtest_holdout(ship: DataFrame, months: int = spec.HOLDOUT_MONTHS, model: str = "auto") -> DataFrame:
+def backtest_holdout(ship: DataFrame, months: int = spec.HOLDOUT_MONTHS, model: str = "auto",
+                     last_month: Column | None = None) -> DataFrame:
     """Hide the newest `months`, forecast them from the rest."""
-    last = latest(ship)
+    last = latest(ship) if last_month is None else last_month
     return grouped_forecast(ship, horizon=last, cutoff=shift_month_end(last, -months), model=model)
 
 
@@ -191,7 +199,7 @@ def mm_evaluate(train: DataFrame, models: Iterable[str] = tuple(MODELS), horizon
 
     A window whose training part is empty, or whose fit fails, scores NULL.
     """
-    windows = backtest_windows(horizon, backtest, stride)
+    windows, models = backtest_windows(horizon, backtest, stride), list(models)
     size = F.size("y")
     cut = size - backtest + F.col("window_no") * stride
     rows = _with_models(pack(train, ID, TIME, VALUE), models).withColumn(
@@ -200,15 +208,16 @@ def mm_evaluate(train: DataFrame, models: Iterable[str] = tuple(MODELS), horizon
         ID, "model", "window_no", shift_month_end("last_ym", F.col("window_no") * stride - backtest).alias("cutoff_ym"),
         F.slice("y", F.lit(1), cut).alias("y"), F.slice("y", cut + 1, F.lit(horizon)).alias("actual"))
     error = METRICS[metric]
-    scored = predict(rows, F.lit(horizon))
+    scored = predict(rows, F.lit(horizon), models)
     terms = F.zip_with("actual", "p50", lambda a, p: error(a, F.greatest(p, F.lit(0.0))))
     return scored.select(ID, "model", "window_no", "cutoff_ym", F.when(F.col("p50").isNotNull(), _mean_of(terms)).alias("metric_value"))
 
 
 def mm_score(train: DataFrame, models: Iterable[str] = tuple(MODELS), horizon: int = spec.HORIZON_MONTHS) -> DataFrame:
     """Forecast of every model for every series past its last month."""
+    models = list(models)
     rows = _with_models(pack(train, ID, TIME, VALUE), models)
-    return unpack(predict(rows, F.lit(horizon)), [ID, "model"])
+    return unpack(predict(rows, F.lit(horizon), models), [ID, "model"])
 
 
 def best_models(evaluation: DataFrame, ties: str = "keep") -> DataFrame:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandloom import spec
-from demandloom.functions.calendar import latest
+from demandloom.functions.calendar import shift_month_end
 from demandloom.functions.series import abs_error, share_of, smape_term
 from demandloom.operators.joins import lookup_join
 from demandloom.plans.reports import top_n
@@ -74,7 +74,8 @@ def smape_by_model(accuracy: DataFrame) -> DataFrame:
 def vs_baseline(accuracy: DataFrame, baseline: str = spec.BASELINE_MODEL) -> DataFrame:
     """Mean error per method and its ratio to the baseline's; below 1 beats the baseline."""
     per = accuracy.groupBy("model_name").agg(F.avg("abs_error").alias("err_qty"), F.count(F.lit(1)).alias("n"))
-    reference = per.filter(F.col("model_name") == baseline).select("err_qty").scalar()
+    # the window is unpartitioned on purpose: its input is one row per method
+    reference = F.max(F.when(F.col("model_name") == baseline, F.col("err_qty"))).over(Window.partitionBy())
     return per.withColumn("vs_baseline", share_of(F.col("err_qty"), reference)).orderBy("err_qty")
 
 
@@ -152,9 +153,9 @@ def freshness(actual: DataFrame, accuracy: DataFrame) -> DataFrame:
     return span(actual, "fct_shipments", "ym").unionAll(span(accuracy, "fct_forecast_accuracy_all", "target_ym"))
 
 
-def next_month_top(forecast: DataFrame, actual: DataFrame, n: int = 1) -> DataFrame:
+def next_month_top(forecast: DataFrame, last_ym: Column, n: int = 1) -> DataFrame:
     """The item expected to sell most in the first month after the actuals."""
-    ahead = forecast.filter(F.col("target_ym") == F.last_day(F.add_months(latest(actual), 1)))
+    ahead = forecast.filter(F.col("target_ym") == shift_month_end(last_ym, 1))
     per = ahead.groupBy("item_code", "target_ym").agg(F.sum("p50").alias("forecast_qty"))
     return top_n(per, "forecast_qty", n, ["item_code"])
 

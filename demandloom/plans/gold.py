@@ -5,10 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom import spec
+from demandloom.functions.calendar import earliest, latest
 from demandloom.operators.accuracy import score
 from demandloom.operators.joins import lookup_join
 
@@ -46,6 +47,18 @@ class Silver:
     lead_time: DataFrame
     forecast_baseline: DataFrame
 
+    @property
+    def first_month(self) -> Column:
+        return earliest(self.shipments)
+
+    @property
+    def last_month(self) -> Column:
+        return latest(self.shipments)
+
+    @property
+    def last_stock_month(self) -> Column:
+        return latest(self.inventory)
+
 
 class Gold:
     """The seven business relations, each built when first asked for."""
@@ -53,6 +66,14 @@ class Gold:
     def __init__(self, silver) -> None:
         self._silver = silver
 
+    @property
+    def last_month(self) -> Column:
+        return self._silver.last_month
+
+    @property
+    def last_stock_month(self) -> Column:
+        return self._silver.last_stock_month
+
     @cached_property
     def fct_shipments(self) -> DataFrame:
         return fct_shipments(self._silver.shipments, self._silver.items)
@@ -88,3 +109,11 @@ class StoredGold:
     def __init__(self, spark: SparkSession, database: str) -> None:
         for name in GOLD_TABLES:
             setattr(self, name, spark.table(f"{database}.{name}"))
+
+    @property
+    def last_month(self) -> Column:
+        return latest(self.fct_shipments)
+
+    @property
+    def last_stock_month(self) -> Column:
+        return latest(self.fct_inventory)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandloom import spec
-from demandloom.functions.calendar import latest, shift_month_end
+from demandloom.functions.calendar import shift_month_end
 from demandloom.functions.series import share_of
 from demandloom.operators.joins import lookup_join
 
@@ -34,8 +34,7 @@ def monthly_totals(gold) -> DataFrame:
 
 def last12_trend(gold) -> DataFrame:
     """Monthly totals of the newest twelve months."""
-    ship = gold.fct_shipments
-    recent = ship.filter(F.col("ym") > shift_month_end(latest(ship), -12))
+    recent = gold.fct_shipments.filter(F.col("ym") > shift_month_end(gold.last_month, -12))
     return recent.groupBy("ym").agg(F.sum("qty").alias("qty")).orderBy("ym")
 
 
@@ -67,7 +66,8 @@ def w_qty_by_category(gold) -> DataFrame:
 def channel_share(gold) -> DataFrame:
     """Quantity per channel and its share of all quantity."""
     per = gold.fct_shipments.groupBy("channel").agg(F.sum("qty").alias("qty"))
-    total = gold.fct_shipments.select(F.sum("qty")).scalar()
+    # the window is unpartitioned on purpose: its input is one row per channel
+    total = F.sum("qty").over(Window.partitionBy())
     return per.withColumn("share", share_of(F.col("qty").cast("double"), total.cast("double")))
 
 
@@ -147,10 +147,13 @@ def w_stockouts(gold) -> DataFrame:
     return ds_inventory(gold).groupBy("item_code", "site_code").agg(F.sum("stockout_flag").alias("stockout_months"))
 
 
+def newest_stock(gold) -> DataFrame:
+    return gold.fct_inventory.filter(F.col("ym") == gold.last_stock_month)
+
+
 def inventory_health(gold) -> DataFrame:
     """Newest stock position with lead time and item attributes."""
-    stock = gold.fct_inventory
-    newest = stock.filter(F.col("ym") == latest(stock))
+    newest = newest_stock(gold)
     items = gold.dim_item.select("item_code", "item_name", "item_category")
     timed = newest.join(gold.dim_lead_time, ["item_code", "site_code"], "left")
     return lookup_join(timed, items, "item_code", "inner").select(
@@ -166,9 +169,7 @@ def latest_stockouts(gold) -> DataFrame:
 
 def surplus_sites(gold) -> DataFrame:
     """Sites whose newest stock exceeds their safety stock."""
-    stock = gold.fct_inventory
-    newest = stock.filter(F.col("ym") == latest(stock))
-    return newest.groupBy("site_code").agg(F.sum("surplus_qty").alias("surplus_qty")).filter(F.col("surplus_qty") > 0)
+    return newest_stock(gold).groupBy("site_code").agg(F.sum("surplus_qty").alias("surplus_qty")).filter(F.col("surplus_qty") > 0)
 
 
 def top_lead_times(gold, n: int = 10) -> DataFrame:

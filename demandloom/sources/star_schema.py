@@ -55,18 +55,27 @@ class StarSchema:
         return self.table("part").select("p_partkey", code.alias("item_code"), "p_type", "p_brand", "p_retailprice")
 
     @cached_property
-    def _months(self) -> DataFrame:
+    def _span(self) -> DataFrame:
         """First and last complete month, from one column of the order lines."""
         day = F.col("l_shipdate").cast("date")
         return self._lines().agg(month_end(F.min(day)).alias("first_ym"), month_end(F.max(day)).alias("last_ym"))
 
+    @cached_property
+    def months(self) -> DataFrame:
+        """Every complete month that has lines."""
+        return self._lines().select(month_end(F.col("l_shipdate").cast("date")).alias("ym")).distinct()
+
     @property
     def first_month(self) -> Column:
-        return self._months.select("first_ym").scalar()
+        return self._span.select("first_ym").scalar()
 
     @property
     def last_month(self) -> Column:
-        return self._months.select("last_ym").scalar()
+        return self._span.select("last_ym").scalar()
+
+    @property
+    def last_stock_month(self) -> Column:
+        return self.last_month
 
     @cached_property
     def sparse_shipments(self) -> DataFrame:
@@ -88,7 +97,7 @@ class StarSchema:
 
     @cached_property
     def item_stats(self) -> DataFrame:
-        return classify(self.sparse_shipments, ["item_code"])
+        return classify(self.sparse_shipments, ["item_code"], self.last_month)
 
     @cached_property
     def items(self) -> DataFrame:
@@ -155,7 +164,7 @@ class StarSchema:
 
     @cached_property
     def forecast_baseline(self) -> DataFrame:
-        return seasonal_naive(self.shipments)
+        return seasonal_naive(self.shipments, span=(self.first_month, self.last_month))
 
     @cached_property
     def bronze_shipments(self) -> DataFrame:

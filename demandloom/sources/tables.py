@@ -92,4 +92,10 @@ TABLE_COMMENTS = {
     "fct_inventory": "Month-end stock per site with safety stock and stock-out flag.",
     "fct_forecast_baseline": "Same month last year as the forecast; what every model is compared with.",
     "fct_forecast_accuracy": "Forecasts next to actuals with the error in units and as a share.",
+    "fct_forecast_model": "Forecasts of the trained model, in the shape of the baseline so that both can be stacked.",
+    "fct_forecast_ai": "Forecasts of the one-call grouped forecast: 18 months ahead and the hidden last year.",
+    "fct_forecast_accuracy_all": "Every forecasting method next to the actuals, under the same conditions.",
+    "model_version_comparison": "All registered model versions re-scored on the same months.",
+    "best_models": "Best model per series by mean score over the evaluation windows, and the route it takes.",
+    "evaluation_summary": "Which model won how many series in each demand class.",
 }

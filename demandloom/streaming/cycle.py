@@ -8,14 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom import spec
+from demandloom.operators import forecasting
 from demandloom.operators.accuracy import accuracy_all
+from demandloom.operators.demand import classify, route_series
 from demandloom.operators.features import build_features, temporal_split, training_frame
 from demandloom.plans import lifecycle
 from demandloom.plans.gold import GOLD_TABLES, Gold, Silver, StoredGold
 from demandloom.plans.registry import Registry
 from demandloom.plans.silver import clean
 from demandloom.session import checkpoint_root
-from demandloom.sources.tables import TABLE_COMMENTS, existing, replace_table
+from demandloom.sources.tables import TABLE_COMMENTS, append_table, existing, replace_table
 from demandloom.streaming.bronze import ingest_all
 
 # Columns each stored relation is laid out by.
@@ -45,7 +47,8 @@ class Workspace:
         return Registry(self.spark, self.database, self.folder)
 
     def store(self, df: DataFrame, name: str, evolve: bool = False) -> None:
-        replace_table(df, f"{self.database}.{name}", TABLE_COMMENTS.get(name), LAYOUT.get(name, ()), evolve)
+        comment = next((text for table, text in TABLE_COMMENTS.items() if name == table or name.endswith(f"_{table}")), None)
+        replace_table(df, f"{self.database}.{name}", comment, LAYOUT.get(name, ()), evolve)
 
 
 def refresh(ws: Workspace) -> StoredGold:
@@ -131,6 +134,35 @@ def score(ws: Workspace, gold: StoredGold, run_date: str) -> None:
     ws.store(accuracy_all([ws.spark.table(t) for t in sources], gold.fct_shipments), "fct_forecast_accuracy_all")
 
 
+def grouped_forecasts(ws: Workspace, gold: StoredGold) -> None:
+    """One forecast of all series past the data, then the hidden last year appended to the same table."""
+    ship, table = gold.fct_shipments, f"{ws.database}.fct_forecast_ai"
+    ws.store(forecasting.grouped_forecast(ship), "fct_forecast_ai", evolve=True)
+    append_table(forecasting.backtest_holdout(ship), table)
+
+
+def many_models(ws: Workspace, gold: StoredGold, use_case: str = "scm", models=tuple(forecasting.MODELS),
+                policy: str = "B") -> None:
+    """Backtest every model on every series, keep the best per series, route the hard ones, and score.
+
+    Each step is stored and the next reads it back, so that no fit runs twice and a lost
+    executor costs a stage, not the run.
+    """
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        ws.store(df, f"{use_case}_{name}", evolve=True)
+        return ws.spark.table(f"{ws.database}.{use_case}_{name}")
+
+    ship = gold.fct_shipments
+    train = stored(forecasting.mm_train(ship), "train_data")
+    evaluation = stored(forecasting.mm_evaluate(train, models), "evaluation_output")
+    stored(forecasting.mm_score(train, models), "scoring_output")
+    best = forecasting.best_models(evaluation, ties="first")
+    routes = route_series(classify(ship, spec.SERIES), policy)
+    chosen = stored(forecasting.routed_models(best, routes), "best_models")
+    stored(forecasting.evaluation_summary(chosen, gold.dim_item), "evaluation_summary")
+    stored(forecasting.score_routed(train, chosen), "routed_forecasts")
+
+
 def compare_all_versions(ws: Workspace, gold: StoredGold) -> DataFrame:
     """Every registered version re-scored on the newest windows, stored as a table."""
     registry = ws.registry()

@@ -153,6 +153,20 @@ def test_monthly_cycle(spark, database, folder):
     assert accuracy.filter("model_name LIKE 'demand_forecast_v%'").count() == 32 * 6
     versions = cycle.compare_all_versions(ws, gold)
     assert rows(versions.select("version")) == [(1,), (2,)]
+    cycle.grouped_forecasts(ws, gold)
+    cycle.score(ws, gold, "2024-01-05")
+    methods = spark.table(f"{database}.fct_forecast_accuracy_all").groupBy("model_name").count()
+    assert dict(rows(methods))[spec.GROUPED_MODEL] == 12 * 6
+    assert spark.table(f"{database}.fct_forecast_ai").count() == (18 + 12) * 6
+
+    cycle.many_models(ws, gold, models=("ets", "theta", "croston_sba"))
+    table = {t: spark.table(f"{database}.scm_{t}") for t in
+             ("train_data", "evaluation_output", "scoring_output", "best_models", "evaluation_summary", "routed_forecasts")}
+    assert {n: t.count() for n, t in table.items() if n != "evaluation_summary"} == {
+        "train_data": 44 * 6, "evaluation_output": 6 * 3 * 2, "scoring_output": 6 * 3 * 18,
+        "best_models": 6, "routed_forecasts": 6 * 18}
+    assert table["evaluation_summary"].agg(F.sum("series_count")).first()[0] == 6
+
     again = cycle.refresh(ws)
     assert again.fct_shipments.count() == 44 * 6, "nothing new, nothing changes"
 

@@ -42,9 +42,7 @@ def test_month_arithmetic(spark):
     assert one(df.select(calendar.parse_year_month(F.lit("2024-02")))) == D(2024, 2, 29)
     assert one(df.select(calendar.parse_year_month(F.lit("soon")))) is None
     assert one(df.select(calendar.forecast_run_month("2024-04-02"))) == D(2024, 4, 30)
-    for m in (D(1999, 12, 31), D(2000, 1, 31), D(2000, 2, 29)):
-        number = calendar.month_number(F.lit(m))
-        assert one(df.select(calendar.month_from_number(number))) == m
+    assert one(df.select(calendar.month_number(F.lit(D(2000, 1, 31))) - calendar.month_number(F.lit(D(1999, 12, 31))))) == 1
 
 
 def test_nth_latest(spark):

@@ -57,6 +57,38 @@ def test_scan_reads_only_what_it_needs(star):
         "l_partkey", "l_quantity", "l_returnflag", "l_shipdate"}
 
 
+def test_a_hot_part_is_split(spark, folder):
+    """A third of all lines on one part: same totals, and the join splits that part's partition."""
+    for name in ("part", "lineitem"):
+        df = spark.read.parquet(f"{SMALL}/{name}.parquet")
+        if name == "lineitem":
+            df = df.unionAll(df).unionAll(df.withColumn("l_partkey", F.lit(7).cast("bigint")))
+            df = df.unionAll(df).unionAll(df).repartition(8)
+        df.write.parquet(f"{folder}/{name}.parquet")
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet").filter("l_shipdate < TIMESTAMP_NTZ'2001-11-01'")
+    hot = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in hot}
+    for k, v in hot.items():
+        spark.conf.set(k, v)
+    try:
+        ship = StarSchema(spark, folder).sparse_shipments
+        total = sum(r["qty"] for r in ship.collect())
+        plan = ship._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    part = spark.read.parquet(f"{folder}/part.parquet")
+    kept = lines.join(part, F.col("l_partkey") == F.col("p_partkey")).filter(
+        "NOT (l_returnflag = 'A' AND p_type = 'SMALL')")
+    assert total == kept.agg(F.sum("l_quantity")).first()[0]
+    assert "skew=true" in plan
+
+
 @pytest.fixture(scope="module")
 def registered():
     import __spark_entry__ as entry
