@@ -331,6 +331,8 @@ QUERIES: dict[str, Callable[[Context], DataFrame]] = {
     "routed_forecasts": lambda c: forecasting.score_routed(c.train, _routed(c)),
     "group_forecast_rule": lambda c: forecasting.grouped_forecast(c.ship, model="naive_12", last_month=c.last),
     "group_forecast_seasonal": lambda c: forecasting.grouped_forecast(c.ship, model="seasonal_naive", last_month=c.last),
+    "group_forecast_croston": lambda c: forecasting.grouped_forecast(
+        c.ship, model="croston_sba", last_month=c.last).select(*spec.FORECAST_KEY, "p50"),
     "group_backtest_rule": lambda c: forecasting.backtest_holdout(c.ship, model="mean_12", last_month=c.last),
     "group_forecast": lambda c: forecasting.grouped_forecast(c.ship, last_month=c.last),
     "group_backtest": lambda c: forecasting.backtest_holdout(c.ship, last_month=c.last),

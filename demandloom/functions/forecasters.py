@@ -22,6 +22,12 @@ def _sd(errors: np.ndarray) -> np.ndarray:
     return errors.std(axis=1, ddof=1, keepdims=True)
 
 
+def _running_sd(total: np.ndarray, squares: np.ndarray, count: int) -> np.ndarray:
+    """Sample deviation from a running sum and sum of squares."""
+    spread = np.maximum(squares - total ** 2 / max(count, 1), 0.0)
+    return np.sqrt(spread / max(count - 1, 1))[:, None]
+
+
 def _flat(level: np.ndarray, errors: np.ndarray, h: int):
     return np.repeat(level[:, None], h, axis=1), np.repeat(_sd(errors), h, axis=1)
 
@@ -41,16 +47,17 @@ def _seasonal_means(y: np.ndarray) -> np.ndarray:
 
 
 def _smooth(y: np.ndarray, alphas=(0.05, 0.1, 0.2, 0.3, 0.5, 0.8)):
-    """Exponential smoothing with the best of a few weights: level, weight, one-step errors."""
+    """Exponential smoothing with the best of a few weights: level, weight, one-step deviation."""
     a = np.asarray(alphas)[:, None]
     level = np.repeat(y[None, :, 0], len(alphas), axis=0)
-    errors = np.zeros((len(alphas),) + y.shape)
+    total, squares = np.zeros_like(level), np.zeros_like(level)
     for t in range(1, y.shape[1]):
-        errors[:, :, t] = y[:, t] - level
-        level = level + a * errors[:, :, t]
-    best = (errors ** 2).sum(axis=2).argmin(axis=0)
-    rows = np.arange(y.shape[0])
-    return level[best, rows], np.asarray(alphas)[best], errors[best, rows, 1:]
+        e = y[:, t] - level
+        level = level + a * e
+        total, squares = total + e, squares + e ** 2
+    best, rows = squares.argmin(axis=0), np.arange(y.shape[0])
+    sd = _running_sd(total[best, rows], squares[best, rows], y.shape[1] - 1)
+    return level[best, rows], np.asarray(alphas)[best], sd
 
 
 def seasonal_naive(y: np.ndarray, h: int):
@@ -89,21 +96,20 @@ def ets(y: np.ndarray, h: int, damping: float = 0.95):
     level = np.broadcast_to(y[:, :SEASON].mean(axis=1), shape).copy()
     trend = np.zeros(shape)
     season = np.broadcast_to(_seasonal_means(y) if seasonal else np.zeros((n, SEASON)), shape + (SEASON,)).copy()
-    errors = np.zeros(shape + (months,))
+    total, squares = np.zeros(shape), np.zeros(shape)
     for t in range(months):
         s = t % SEASON
         base = level + damping * trend
         e = y[:, t] - base - season[:, :, s]
         level, trend = base + a * e, damping * trend + a * b * e
         season[:, :, s] += g * e
-        errors[:, :, t] = e
-    best = (errors ** 2).sum(axis=2).argmin(axis=0)
-    rows = np.arange(n)
-    level, trend, season, errors = (x[best, rows] for x in (level, trend, season, errors))
+        total, squares = total + e, squares + e ** 2
+    best, rows = squares.argmin(axis=0), np.arange(n)
+    level, trend, season, total, squares = (x[best, rows] for x in (level, trend, season, total, squares))
     damped = np.cumsum(damping ** _steps(h))
     mean = level[:, None] + trend[:, None] * damped + season[:, (months + np.arange(h)) % SEASON]
     weight = grid[best, 0][:, None]
-    return mean, _sd(errors) * np.sqrt(1 + (_steps(h) - 1) * weight ** 2)
+    return mean, _running_sd(total, squares, months) * np.sqrt(1 + (_steps(h) - 1) * weight ** 2)
 
 
 def theta(y: np.ndarray, h: int):
@@ -113,10 +119,10 @@ def theta(y: np.ndarray, h: int):
     position = np.arange(months) % SEASON
     x = y - effects[:, position]
     slope, _time = _slope(x)
-    level, alpha, errors = _smooth(x)
+    level, alpha, sd = _smooth(x)
     drift = (_steps(h) - 1)[None, :] + ((1 - (1 - alpha) ** months) / alpha)[:, None]
     mean = level[:, None] + 0.5 * slope[:, None] * drift + effects[:, (months + np.arange(h)) % SEASON]
-    return mean, _sd(errors) * np.sqrt(1 + (_steps(h) - 1) * alpha[:, None] ** 2)
+    return mean, sd * np.sqrt(1 + (_steps(h) - 1) * alpha[:, None] ** 2)
 
 
 def _autoregress(x: np.ndarray, order: int, h: int):
@@ -191,8 +197,8 @@ def mfles(y: np.ndarray, h: int, rounds: int = 10, rate: float = 0.5):
         for base in bases:
             beta, *_rest = np.linalg.lstsq(base[:months], (y - fit[:, :months]).T, rcond=None)
             fit = fit + rate * (base @ beta).T
-    level, _alpha, errors = _smooth(y - fit[:, :months])
-    return fit[:, months:] + level[:, None], np.repeat(_sd(errors), h, axis=1)
+    level, _alpha, sd = _smooth(y - fit[:, :months])
+    return fit[:, months:] + level[:, None], np.repeat(sd, h, axis=1)
 
 
 MODELS = {

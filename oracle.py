@@ -564,6 +564,17 @@ def _statements() -> dict[str, str]:
         "CAST(l.qty AS DOUBLE)", f"greatest(l.qty - {spread}, 0)", f"greatest(l.qty + {spread}, 0)",
         """JOIN (SELECT item_code, channel, stddev_samp(qty - lag_12) AS sd FROM features WHERE lag_12 IS NOT NULL GROUP BY ALL) d
            ON d.item_code = s.item_code AND d.channel = s.channel""")
+    q["group_forecast_croston"] = """
+    WITH RECURSIVE croston AS (
+      SELECT DISTINCT item_code, channel, CAST(0 AS BIGINT) AS t, CAST(NULL AS DOUBLE) AS size, CAST(NULL AS DOUBLE) AS gap,
+             CAST(1 AS DOUBLE) AS since FROM ship
+      UNION ALL
+      SELECT p.item_code, p.channel, p.t, CASE WHEN p.qty > 0 THEN COALESCE(size + CAST(0.1 AS DOUBLE) * (p.qty - size), p.qty) ELSE size END,
+             CASE WHEN p.qty > 0 THEN COALESCE(gap + CAST(0.1 AS DOUBLE) * (since - gap), p.t) ELSE gap END,
+             CASE WHEN p.qty > 0 THEN 1 ELSE since + 1 END
+      FROM croston c JOIN placed p ON p.item_code = c.item_code AND p.channel = c.channel AND p.t = c.t + 1)
+    SELECT item_code, channel, target_ym, round(COALESCE(CAST(0.95 AS DOUBLE) * size / gap, 0), 6) AS p50
+    FROM croston CROSS JOIN ahead WHERE t = (SELECT count(*) FROM cal)"""
     q["group_backtest_rule"] = f"""
     SELECT s.item_code, s.channel, l.ym AS target_ym, (SELECT {shift('last_ym', -12)} FROM bounds) AS forecast_run_ym,
            'ai_forecast' AS model_name, round(m.mean_12, 6) AS p50, CAST(NULL AS DOUBLE) AS lower_bound, CAST(NULL AS DOUBLE) AS upper_bound

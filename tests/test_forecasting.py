@@ -42,6 +42,31 @@ def test_croston_matches_the_recursion():
         assert row == pytest.approx([croston_by_hand(values)] * 4)
 
 
+def test_smoothing_matches_the_recursion():
+    y = RNG.poisson(8, 40).astype(float)
+    best = None
+    for alpha in (0.05, 0.1, 0.2, 0.3, 0.5, 0.8):
+        level, errors = y[0], []
+        for v in y[1:]:
+            errors.append(v - level)
+            level += alpha * errors[-1]
+        sse = sum(e * e for e in errors)
+        if best is None or sse < best[0]:
+            best = sse, level, alpha, np.std(errors, ddof=1)
+    level, alpha, sd = fc._smooth(y[None, :])
+    assert (level[0], alpha[0], sd[0, 0]) == pytest.approx(best[1:])
+
+
+def test_autoregression_matches_least_squares():
+    y = RNG.normal(50, 5, 60)
+    design = np.column_stack([np.ones(58), y[1:-1], y[:-2]])
+    beta = np.linalg.lstsq(design, y[2:], rcond=None)[0]
+    mean, residual, _aic = fc._autoregress(y[None, :], 2, 2)
+    first = beta @ [1, y[-1], y[-2]]
+    assert mean[0] == pytest.approx([first, beta @ [1, first, y[-1]]], rel=1e-4)
+    assert residual[0] == pytest.approx(y[2:] - design @ beta, abs=1e-3)
+
+
 def test_seasonal_naive_repeats_last_year():
     y = np.arange(36.0)[None, :]
     mean, sd = fc.seasonal_naive(y, 18)
