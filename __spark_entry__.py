@@ -34,7 +34,6 @@ GRID = (
 )
 RUN_DATE = "2001-11-15"
 PICK = ("Brand#1_ECONOMY", "DOM")
-SITES = {"DOM": {"TOKYO_DC": 0.6, "OSAKA_DC": 0.4}, "EXP": {"OVERSEAS_HUB": 1.0}}
 MESSY = {"商品コード": ("item_code", "text"), "年月": ("ym", "month"), "数量": ("qty", "number")}
 
 
@@ -164,7 +163,7 @@ def _rules_compared(c: Context, by: tuple[str, ...] = ()) -> DataFrame:
 
 
 def _safety(c: Context) -> DataFrame:
-    return inventory.planned_safety_stock(c.ship, c.silver.items, SITES)
+    return inventory.planned_safety_stock(c.ship, c.silver.items)
 
 
 def _trials(c: Context) -> DataFrame:

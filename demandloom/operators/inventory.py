@@ -33,7 +33,7 @@ def site_demand(ship: DataFrame, site_of_channel: dict[str, dict[str, float]]) -
 
 
 def planned_safety_stock(ship: DataFrame, items: DataFrame,
-                         site_of_channel: dict[str, dict[str, float]]) -> DataFrame:
+                         site_of_channel: dict[str, dict[str, float]] = spec.SITES_OF_CHANNEL) -> DataFrame:
     """Safety stock per item, site and month from the site's share of its channel's demand.
 
     Months before launch carry zero, and the trailing mean starts at launch.

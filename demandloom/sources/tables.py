@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -19,25 +22,41 @@ def comment_table(spark: SparkSession, name: str, comment: str) -> None:
 
 
 def replace_table(df: DataFrame, name: str, comment: str | None = None,
-                  cluster_by: Sequence[str] = (), evolve: bool = False) -> None:
+                  cluster_by: Sequence[str] = (), evolve: bool = False, partition_by: str | None = None) -> None:
     """Replace a table by a query result.
 
     With `cluster_by`, rows are ranged and sorted on those columns before writing, so that
-    file statistics let readers skip what a filter on them excludes. A result with other
-    columns than the table is refused unless `evolve` says the schema may change.
+    file statistics let readers skip what a filter on them excludes; with `partition_by`,
+    each value of that column gets its own folder, which can be replaced alone. A result
+    with other columns than the table is refused unless `evolve` says the schema may change.
     """
     spark = df.sparkSession
     if not evolve and spark.catalog.tableExists(name):
         have, new = spark.table(name).columns, df.columns
-        if have != new:
+        if sorted(have) != sorted(new):
             raise ValueError(f"{name} has columns {have}, not {new}; pass evolve=True to change them")
     if cluster_by:
         df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+    writer = df.write.mode("overwrite").format("parquet")
+    (writer.partitionBy(partition_by) if partition_by else writer).saveAsTable(name)
     if comment:
         comment_table(spark, name, comment)
 
 
+def replace_partitions(df: DataFrame, name: str, cluster_by: Sequence[str] = ()) -> None:
+    """Replace the partitions that occur in the result and leave all others as they are."""
+    spark = df.sparkSession
+    rows = df.select(*spark.table(name).columns)
+    if cluster_by:
+        rows = rows.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")  # inserting into a table ignores the writer's own option
+    try:
+        rows.write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
+
+
 def append_table(df: DataFrame, name: str) -> None:
     """Append by column name, creating the table when it does not exist."""
     spark = df.sparkSession

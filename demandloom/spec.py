@@ -26,7 +26,7 @@ BACKTEST_MONTHS = 24
 BACKTEST_STRIDE = 6
 MIN_HISTORY_MONTHS = 24
 SAFETY_MONTHS = 1.5
-SITE_SHARE = {"TOKYO_DC": 0.6, "OSAKA_DC": 0.4, "OVERSEAS_HUB": 1.0}
+SITES_OF_CHANNEL = {"DOM": {"TOKYO_DC": 0.6, "OSAKA_DC": 0.4}, "EXP": {"OVERSEAS_HUB": 1.0}}
 VALID_MONTHS = 12
 RECENT_MONTHS = 3
 BUILT_MONTHS_AGO = 6

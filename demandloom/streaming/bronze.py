@@ -12,6 +12,19 @@ from demandloom import spec
 from demandloom.spec import SourceSpec
 
 PROGRESS = "ingest.checkpoint"
+INGEST_DAY = "_ingested_on"
+
+
+def table_property(spark: SparkSession, table: str, key: str) -> str | None:
+    """A property stored on a table, NULL where the table or the property is missing."""
+    if not spark.catalog.tableExists(table):
+        return None
+    found = spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == key).select("value").head()
+    return found[0] if found else None
+
+
+def set_table_property(spark: SparkSession, table: str, key: str, value: str) -> None:
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{key}' = '{value}')")
 
 
 def read_landing(spark: SparkSession, landing: str, source: SourceSpec) -> DataFrame:
@@ -32,14 +45,8 @@ def read_landing(spark: SparkSession, landing: str, source: SourceSpec) -> DataF
     lineage = [F.col("_metadata.file_path").alias("_source_file")]
     if source.file_time:
         lineage.append(F.col("_metadata.file_modification_time").alias("_source_modified_at"))
-    return rows.select("*", *lineage, F.current_timestamp().alias("_ingested_at"))
-
-
-def _progress_of(spark: SparkSession, table: str) -> str | None:
-    if not spark.catalog.tableExists(table):
-        return None
-    found = spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == PROGRESS).select("value").head()
-    return found[0] if found else None
+    now = F.current_timestamp()
+    return rows.select("*", *lineage, now.alias("_ingested_at"), F.to_date(now).alias(INGEST_DAY))
 
 
 def ingest_stream(spark: SparkSession, landing: str, source: SourceSpec, table: str, checkpoints: str) -> None:
@@ -47,17 +54,18 @@ def ingest_stream(spark: SparkSession, landing: str, source: SourceSpec, table:
 
     Progress is kept per file name: running again adds only new names, and overwriting a
     known one changes nothing. The table remembers its progress folder, so that a full
-    refresh can start a new one without touching the old.
+    refresh can start a new one without touching the old. It is partitioned by ingest day,
+    so that what arrived lately can be read without the rest.
     """
-    progress = _progress_of(spark, table) or f"{checkpoints}/{table}-{uuid.uuid4().hex}"
+    progress = table_property(spark, table, PROGRESS) or f"{checkpoints}/{table}-{uuid.uuid4().hex}"
     query = (
         read_landing(spark, landing, source).writeStream
         .option("checkpointLocation", progress).outputMode("append")
-        .trigger(availableNow=True).toTable(table)
+        .trigger(availableNow=True).partitionBy(INGEST_DAY).toTable(table)
     )
     query.awaitTermination()
-    if _progress_of(spark, table) is None:
-        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{PROGRESS}' = '{progress}')")
+    if table_property(spark, table, PROGRESS) is None:
+        set_table_property(spark, table, PROGRESS, progress)
 
 
 def full_refresh(spark: SparkSession, landing: str, source: SourceSpec, table: str, checkpoints: str) -> None:

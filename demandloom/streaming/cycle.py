@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom import spec
+from demandloom.functions.calendar import month_end
 from demandloom.operators import forecasting
 from demandloom.operators.accuracy import accuracy_all
 from demandloom.operators.demand import classify, route_series
@@ -17,8 +19,8 @@ from demandloom.plans.gold import GOLD_TABLES, Gold, Silver, StoredGold
 from demandloom.plans.registry import Registry
 from demandloom.plans.silver import clean
 from demandloom.session import checkpoint_root
-from demandloom.sources.tables import TABLE_COMMENTS, append_table, existing, replace_table
-from demandloom.streaming.bronze import ingest_all
+from demandloom.sources.tables import TABLE_COMMENTS, append_table, existing, replace_partitions, replace_table
+from demandloom.streaming.bronze import INGEST_DAY, ingest_all, set_table_property, table_property
 
 # Columns each stored relation is laid out by.
 LAYOUT = {
@@ -27,6 +29,14 @@ LAYOUT = {
     "fct_shipments": ("ym", "item_code"), "fct_inventory": ("ym", "item_code"),
     "fct_forecast_baseline": ("target_ym", "item_code"), "fct_forecast_accuracy": ("target_ym", "item_code"),
 }
+# month column of the relations that grow month by month; each is partitioned by it
+MONTH_OF = {
+    "silver_shipments": "ym", "silver_inventory": "ym", "silver_forecast_baseline": "target_ym",
+    "fct_shipments": "ym", "fct_inventory": "ym", "fct_forecast_baseline": "target_ym", "fct_forecast_accuracy": "target_ym",
+}
+REFRESHED = "refreshed.through"
+# more touched months than this are rebuilt in full, which costs less than listing them
+MAX_MONTHS = 36
 FORECAST_TABLES = ("fct_forecast_baseline", "fct_forecast_model", "fct_forecast_ai")
 
 
@@ -48,21 +58,119 @@ class Workspace:
 
     def store(self, df: DataFrame, name: str, evolve: bool = False) -> None:
         comment = next((text for table, text in TABLE_COMMENTS.items() if name == table or name.endswith(f"_{table}")), None)
-        replace_table(df, f"{self.database}.{name}", comment, LAYOUT.get(name, ()), evolve)
+        replace_table(df, f"{self.database}.{name}", comment, LAYOUT.get(name, ()), evolve, MONTH_OF.get(name))
+
+    def table(self, name: str) -> DataFrame:
+        return self.spark.table(f"{self.database}.{name}")
 
 
 def refresh(ws: Workspace) -> StoredGold:
     """New files into bronze, then silver and gold rebuilt in full from the stored layer before."""
+    ingest(ws)
+    return rebuild(ws)
+
+
+def ingest(ws: Workspace) -> None:
     ws.spark.sql(f"CREATE DATABASE IF NOT EXISTS {ws.database}")
     ingest_all(ws.spark, ws.landing, ws.database, f"{ws.folder}/progress")
+
+
+def rebuild(ws: Workspace) -> StoredGold:
+    """Silver from all of bronze, gold from all of silver."""
     for feed in spec.SOURCES:
-        ws.store(clean(ws.spark.table(f"{ws.database}.bronze_{feed}"), feed), f"silver_{feed}")
-    gold = Gold(Silver(**{feed: ws.spark.table(f"{ws.database}.silver_{feed}") for feed in spec.SOURCES}))
+        bronze = ws.table(f"bronze_{feed}")
+        ws.store(clean(bronze, feed), f"silver_{feed}")
+        _mark(ws, feed, bronze)
+    gold = Gold(stored_silver(ws))
     for table in GOLD_TABLES:
         ws.store(getattr(gold, table), table)
     return StoredGold(ws.spark, ws.database)
 
 
+def stored_silver(ws: Workspace) -> Silver:
+    return Silver(**{feed: ws.table(f"silver_{feed}") for feed in spec.SOURCES})
+
+
+def _mark(ws: Workspace, feed: str, arrived: DataFrame) -> None:
+    """Remember on the silver table up to which ingest it has been rebuilt."""
+    through = arrived.agg(F.unix_micros(F.max("_ingested_at"))).head()[0]
+    if through is not None:
+        set_table_property(ws.spark, f"{ws.database}.silver_{feed}", REFRESHED, str(through))
+
+
+def _arrived(ws: Workspace, feed: str) -> DataFrame | None:
+    """Bronze rows ingested since silver was last rebuilt; the day filter prunes folders."""
+    through = table_property(ws.spark, f"{ws.database}.silver_{feed}", REFRESHED)
+    if through is None:
+        return None
+    since = F.timestamp_micros(F.lit(int(through)))
+    return ws.table(f"bronze_{feed}").filter(
+        (F.col(INGEST_DAY) >= F.to_date(since)) & (F.col("_ingested_at") > since))
+
+
+def in_months(day: str, months: list) -> Column:
+    """Any day of the given months (a missing month stands for rows without one)."""
+    found = [F.col(day).isNull() if m is None else F.col(day).between(m.replace(day=1), m) for m in months]
+    return reduce(Column.__or__, found) if found else F.lit(False)
+
+
+def refresh_months(ws: Workspace) -> StoredGold:
+    """Like `refresh`, rebuilding only the months that new rows touch.
+
+    A key holds its month, so a new row can change nothing outside that month; the touched
+    months are rebuilt from all bronze rows of theirs and replace their folders. New item
+    masters change values of every month, and a first run has nothing to build on: both
+    rebuild in full. Marks advance last, so a run that broke off is simply repeated.
+    """
+    ingest(ws)
+    arrived = {feed: _arrived(ws, feed) for feed in spec.SOURCES}
+    stored = all(ws.spark.catalog.tableExists(f"{ws.database}.{t}") for t in GOLD_TABLES)
+    if not stored or None in arrived.values() or arrived["items"].head() is not None:
+        return rebuild(ws)
+
+    touched = {}
+    for feed, rows in arrived.items():
+        month = MONTH_OF.get(f"silver_{feed}")
+        if month:
+            touched[feed] = [r[0] for r in rows.select(month_end(month)).distinct().collect()]
+    if any(len(months) > MAX_MONTHS for months in touched.values()):
+        return rebuild(ws)
+
+    def put(df: DataFrame, name: str) -> None:
+        replace_partitions(df, f"{ws.database}.{name}", LAYOUT.get(name, ()))
+
+    for feed, months in touched.items():
+        month = MONTH_OF[f"silver_{feed}"]
+        if months:
+            put(clean(ws.table(f"bronze_{feed}").filter(in_months(month, months)), feed), f"silver_{feed}")
+    for feed in ("channels", "lead_time"):
+        if arrived[feed].head() is not None:
+            ws.store(clean(ws.table(f"bronze_{feed}"), feed), f"silver_{feed}")
+
+    silver = stored_silver(ws)
+    ship, plan = touched["shipments"], touched["forecast_baseline"]
+    scoped = Gold(replace(
+        silver,
+        shipments=silver.shipments.filter(in_months("ym", ship)),
+        inventory=silver.inventory.filter(in_months("ym", touched["inventory"])),
+        forecast_baseline=silver.forecast_baseline.filter(in_months("target_ym", plan))))
+    either = list(dict.fromkeys([*ship, *plan]))
+    scored = Gold(replace(
+        silver, shipments=silver.shipments.filter(in_months("ym", either)),
+        forecast_baseline=silver.forecast_baseline.filter(in_months("target_ym", either))))
+    for name, months, gold in (("fct_shipments", ship, scoped), ("fct_inventory", touched["inventory"], scoped),
+                               ("fct_forecast_baseline", plan, scoped), ("fct_forecast_accuracy", either, scored)):
+        if months:
+            put(getattr(gold, name), name)
+    full = Gold(silver)
+    for name, feed in (("dim_channel", "channels"), ("dim_lead_time", "lead_time")):
+        if arrived[feed].head() is not None:
+            ws.store(getattr(full, name), name)
+    for feed, rows in arrived.items():
+        _mark(ws, feed, rows)
+    return StoredGold(ws.spark, ws.database)
+
+
 def feature_frame(ship: DataFrame) -> DataFrame:
     return training_frame(build_features(ship.select(*spec.SHIPMENT_KEY, "qty")))
 
@@ -176,7 +284,7 @@ def compare_all_versions(ws: Workspace, gold: StoredGold) -> DataFrame:
 
 def monthly_cycle(ws: Workspace, run_date: str) -> dict:
     """Everything a new month triggers. Needs a champion from an earlier `initial_train`."""
-    gold = refresh(ws)
+    gold = refresh_months(ws)
     outcome = retrain(ws, gold)
     score(ws, gold, run_date)
     return outcome

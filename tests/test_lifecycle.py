@@ -174,3 +174,59 @@ def test_monthly_cycle(spark, database, folder):
 def test_stockout_needs_something_to_stock(spark):
     df = spark.createDataFrame([(0, 5), (0, 0), (3, 5)], "c INT, s INT")
     assert [r[0] for r in df.select(stockout_flag(F.col("c"), F.col("s"))).collect()] == [1, 0, 0]
+
+
+def listing(spark, table: str) -> dict[str, set]:
+    """Files of a table by month folder."""
+    out: dict[str, set] = {}
+    for path in spark.table(table).select("_metadata.file_path").distinct().collect():
+        folder, name = path[0].rsplit("/", 2)[1:]
+        out.setdefault(folder, set()).add(name)
+    return out
+
+
+def test_month_scoped_refresh_equals_a_full_one(spark, database, folder):
+    landing = f"{folder}/landing"
+    newest, ends = land(spark, landing, 26)
+    ws = cycle.Workspace(spark, database, landing, f"{folder}/shared")
+    cycle.refresh_months(ws)
+    before = listing(spark, f"{database}.fct_shipments")
+
+    resent = [(i, c, ym.replace(day=1), q + 7) for i, c, ym, q in rows(seasonal(spark, 26)) if ym == ends[20]]
+    write(landing, "shipments", "newest.csv", [*newest, *resent, ("I0", "EXP", "", 3)])
+    write(landing, "inventory", "more.csv", [("I0", "S1", ends[3], 9, 5, 0)])
+    write(landing, "forecast_baseline", "more.csv", [("I0", "DOM", ends[20], ends[19], "other", 5.0, 1.0, 9.0)])
+    write(landing, "lead_time", "more.csv", [("I0", "S1", 4)])
+    cycle.refresh_months(ws)
+
+    after = listing(spark, f"{database}.fct_shipments")
+    changed = {m for m in after if after[m] != before.get(m)}
+    assert changed == {f"ym={ends[20]}", f"ym={ends[25]}", "ym=__HIVE_DEFAULT_PARTITION__"}
+    scoped = {t: rows(spark.table(f"{database}.{t}").select(*sorted(spark.table(f"{database}.{t}").columns)))
+              for t in cycle.GOLD_TABLES}
+    cycle.rebuild(ws)
+    for t in cycle.GOLD_TABLES:
+        full = spark.table(f"{database}.{t}")
+        assert rows(full.select(*sorted(full.columns))) == scoped[t], t
+    assert spark.table(f"{database}.dim_lead_time").filter("item_code = 'I0'").first()["standard_lead_time_days"] == 4
+
+    settled = listing(spark, f"{database}.fct_shipments")
+    cycle.refresh_months(ws)
+    assert listing(spark, f"{database}.fct_shipments") == settled, "nothing new, nothing rewritten"
+    write(landing, "items", "more.csv", [("I0", "Name", "cat", "main", 99, "smooth", 1.0, 0.1, "false", "2020-01-31")])
+    gold = cycle.refresh_months(ws)
+    assert gold.fct_shipments.filter("item_code = 'I0' AND amount <> qty * 99").count() == 0
+
+
+def test_counts_follow_from_the_calendar(spark):
+    """23 items, 7 of them domestic only, over 80 months: every derived count is fixed."""
+    from demandloom.operators import accuracy, baseline
+
+    series = [(f"K{i:02}", c) for i in range(23) for c in ("DOM", "EXP") if c == "DOM" or i >= 7]
+    df = ship(spark, {s: [1] * 80 for s in series})
+    months = df.select("ym").distinct().count()
+    assert (len(series), df.count(), df.filter(F.col("ym") < df.agg(F.max("ym")).first()[0]).count()) == (39, 3_120, 3_081)
+    history, future = baseline.baseline_history(df), baseline.baseline_future(df)
+    assert (months, history.count(), future.count()) == (80, 68 * 39, 18 * 39)
+    both = [baseline.seasonal_naive(df), baseline.rolling_rule(df, "mean_12")]
+    assert accuracy.accuracy_all(both, df).count() == sum(accuracy.score(f, df).count() for f in both) == 2 * 2_652

@@ -88,3 +88,13 @@ def test_untidy_file(spark, folder, encoding):
     assert rows(landing.ingest_report(out, ["item_code", "ym"])) == [(5, 2, 1, 1)]
     with pytest.raises(ValueError, match="kind"):
         landing.tidy(out, {"qty": ("qty", "money")})
+
+
+def test_replaced_partitions_leave_the_others(spark, database):
+    name = f"{database}.months"
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "v INT, m STRING")
+    tables.replace_table(df, name, partition_by="m", cluster_by=["m", "v"])
+    tables.replace_partitions(spark.createDataFrame([("b", 20), ("b", 21), ("c", 30)], "m STRING, v INT"), name, ["m", "v"])
+    assert rows(spark.table(name).select("m", "v")) == [(None, 3), ("a", 1), ("b", 20), ("b", 21), ("c", 30)]
+    tables.replace_partitions(spark.createDataFrame([(None, 4)], "m STRING, v INT"), name)
+    assert rows(spark.table(name).select("m", "v"))[0] == (None, 4)
