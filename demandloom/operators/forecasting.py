@@ -201,10 +201,10 @@ def mm_evaluate(train: DataFrame, models: Iterable[str] = tuple(MODELS), horizon
     """
     windows, models = backtest_windows(horizon, backtest, stride), list(models)
     size = F.size("y")
-    cut = size - backtest + F.col("window_no") * stride
+    cut = F.greatest(size - backtest + F.col("window_no") * stride, F.lit(0))
     rows = _with_models(pack(train, ID, TIME, VALUE), models).withColumn(
         "window_no", F.explode(F.sequence(F.lit(0), F.lit(windows - 1))))
-    rows = rows.filter(cut > 0).select(
+    rows = rows.select(
         ID, "model", "window_no", shift_month_end("last_ym", F.col("window_no") * stride - backtest).alias("cutoff_ym"),
         F.slice("y", F.lit(1), cut).alias("y"), F.slice("y", cut + 1, F.lit(horizon)).alias("actual"))
     error = METRICS[metric]

@@ -14,6 +14,7 @@ from demandloom.operators import forecasting
 from demandloom.operators.accuracy import accuracy_all
 from demandloom.operators.demand import classify, route_series
 from demandloom.operators.features import build_features, temporal_split, training_frame
+from demandloom.operators.quality import RULES, quality_counts
 from demandloom.plans import lifecycle
 from demandloom.plans.gold import GOLD_TABLES, Gold, Silver, StoredGold
 from demandloom.plans.registry import Registry
@@ -80,6 +81,7 @@ def rebuild(ws: Workspace) -> StoredGold:
     for feed in spec.SOURCES:
         bronze = ws.table(f"bronze_{feed}")
         ws.store(clean(bronze, feed), f"silver_{feed}")
+        _record_quality(ws, feed)
         _mark(ws, feed, bronze)
     gold = Gold(stored_silver(ws))
     for table in GOLD_TABLES:
@@ -91,6 +93,14 @@ def stored_silver(ws: Workspace) -> Silver:
     return Silver(**{feed: ws.table(f"silver_{feed}") for feed in spec.SOURCES})
 
 
+def _record_quality(ws: Workspace, feed: str, scope: Column | None = None) -> None:
+    """Add the rule counts of what was just rebuilt to `data_quality`; no row is dropped for them."""
+    if feed in RULES:
+        rows = ws.table(f"silver_{feed}")
+        counts = quality_counts(rows if scope is None else rows.filter(scope), feed)
+        append_table(counts.withColumn("checked_at", F.current_timestamp()), f"{ws.database}.data_quality")
+
+
 def _mark(ws: Workspace, feed: str, arrived: DataFrame) -> None:
     """Remember on the silver table up to which ingest it has been rebuilt."""
     through = arrived.agg(F.unix_micros(F.max("_ingested_at"))).head()[0]
@@ -99,13 +109,16 @@ def _mark(ws: Workspace, feed: str, arrived: DataFrame) -> None:
 
 
 def _arrived(ws: Workspace, feed: str) -> DataFrame | None:
-    """Bronze rows ingested since silver was last rebuilt; the day filter prunes folders."""
+    """Bronze rows ingested since silver was last rebuilt.
+
+    The day filter prunes folders; it leaves a day of slack for runs in another time zone.
+    """
     through = table_property(ws.spark, f"{ws.database}.silver_{feed}", REFRESHED)
     if through is None:
         return None
     since = F.timestamp_micros(F.lit(int(through)))
     return ws.table(f"bronze_{feed}").filter(
-        (F.col(INGEST_DAY) >= F.to_date(since)) & (F.col("_ingested_at") > since))
+        (F.col(INGEST_DAY) >= F.date_sub(F.to_date(since), 1)) & (F.col("_ingested_at") > since))
 
 
 def in_months(day: str, months: list) -> Column:
@@ -143,6 +156,7 @@ def refresh_months(ws: Workspace) -> StoredGold:
         month = MONTH_OF[f"silver_{feed}"]
         if months:
             put(clean(ws.table(f"bronze_{feed}").filter(in_months(month, months)), feed), f"silver_{feed}")
+            _record_quality(ws, feed, in_months(month, months))
     for feed in ("channels", "lead_time"):
         if arrived[feed].head() is not None:
             ws.store(clean(ws.table(f"bronze_{feed}"), feed), f"silver_{feed}")

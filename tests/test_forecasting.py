@@ -141,9 +141,13 @@ def test_windows():
 
 def test_evaluation_scores_every_model_and_window(spark):
     train = forecasting.mm_train(ship(spark, {("A", "DOM"): [round(v) for v in WAVE], ("B", "DOM"): [0] * 72}))
+    late = ship(spark, {("C", "DOM"): [2] * 20}, first=dt.date(2024, 5, 31))
+    train = train.unionByName(forecasting.mm_train(late))
     out = forecasting.mm_evaluate(train, ["ets", "naive_12", "zero", "no_such_model"])
     got = {(r["unique_id"], r["model"], r["window_no"]): r["metric_value"] for r in out.collect()}
-    assert len(got) == 2 * 4 * 2
+    assert len(got) == 3 * 4 * 2
+    assert got["C|DOM", "ets", 0] is None and got["C|DOM", "naive_12", 0] is None, "nothing to train on"
+    assert got["C|DOM", "ets", 1] == got["C|DOM", "naive_12", 1] == 0.0, "two months to train on"
     assert got["A|DOM", "naive_12", 0] == pytest.approx(0.0) and got["A|DOM", "zero", 1] == pytest.approx(2.0)
     assert got["B|DOM", "zero", 0] == 0.0 and got["A|DOM", "no_such_model", 0] is None
     cutoffs = {r["window_no"]: r["cutoff_ym"] for r in out.collect()}

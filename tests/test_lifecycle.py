@@ -199,6 +199,8 @@ def test_month_scoped_refresh_equals_a_full_one(spark, database, folder):
     write(landing, "lead_time", "more.csv", [("I0", "S1", 4)])
     cycle.refresh_months(ws)
 
+    checked = spark.table(f"{database}.data_quality").filter("rule = 'ym_not_null'").orderBy("checked_at").collect()
+    assert [(r["passed"], r["failed"]) for r in checked] == [(25 * 6, 0), (2 * 6, 1)]
     after = listing(spark, f"{database}.fct_shipments")
     changed = {m for m in after if after[m] != before.get(m)}
     assert changed == {f"ym={ends[20]}", f"ym={ends[25]}", "ym=__HIVE_DEFAULT_PARTITION__"}
@@ -230,3 +232,15 @@ def test_counts_follow_from_the_calendar(spark):
     assert (months, history.count(), future.count()) == (80, 68 * 39, 18 * 39)
     both = [baseline.seasonal_naive(df), baseline.rolling_rule(df, "mean_12")]
     assert accuracy.accuracy_all(both, df).count() == sum(accuracy.score(f, df).count() for f in both) == 2 * 2_652
+
+
+def test_checkpoint_folder_comes_from_the_session(spark, scratch):
+    from types import SimpleNamespace
+
+    from demandloom.session import checkpoint_root
+
+    assert checkpoint_root(spark) == f"{scratch}/shared"
+    conf = SimpleNamespace(get=lambda key, default: default)
+    far = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(far)
