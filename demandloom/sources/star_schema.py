@@ -102,11 +102,9 @@ class StarSchema:
     @cached_property
     def items(self) -> DataFrame:
         """Item master; statistics and class are measured, the rest comes from the parts."""
-        master = self.parts.groupBy("item_code").agg(
-            F.max("p_type").alias("item_category"),
-            F.max("p_brand").alias("_brand"),
-            F.floor(F.min("p_retailprice")).cast("int").alias("unit_price"),
-        )
+        # an item code holds one brand and type, so grouping by all three stays a hash aggregate
+        master = self.parts.groupBy("item_code", F.col("p_type").alias("item_category"), F.col("p_brand").alias("_brand")).agg(
+            F.floor(F.min("p_retailprice")).cast("int").alias("unit_price"))
         kind = F.when(F.col("item_category").isin(*MAIN_TYPES), "main").otherwise("consumable")
         return master.join(self.item_stats, "item_code").select(
             "item_code",
@@ -128,18 +126,21 @@ class StarSchema:
 
     @cached_property
     def _supply(self) -> DataFrame:
-        """Order lines with item and supplying site."""
-        site = (
-            self.table("supplier").select("s_suppkey", F.col("s_nationkey").alias("n_nationkey"))
-            .join(self.table("nation").select("n_nationkey", F.col("n_regionkey").alias("r_regionkey")), "n_nationkey")
-            .join(self.table("region").select("r_regionkey", F.col("r_name").alias("site_code")), "r_regionkey")
-            .select(F.col("s_suppkey").alias("l_suppkey"), "site_code")
-        )
+        """Order lines with item and supplying site.
+
+        The tables are joined one after the other, not nested: Spark then sees the stored
+        size of each and can keep the lines where they are when a table is small.
+        """
         lines = self._lines("l_suppkey", "l_quantity", "l_linestatus").select(
             F.col("l_partkey").alias("p_partkey"), "l_suppkey", "l_linestatus", "l_quantity",
             month_end(F.col("l_shipdate").cast("date")).alias("ym"),
         )
-        return lines.join(self.parts.select("p_partkey", "item_code"), "p_partkey").join(site, "l_suppkey")
+        supplier = self.table("supplier").select(
+            F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey"))
+        nation = self.table("nation").select("n_nationkey", F.col("n_regionkey").alias("r_regionkey"))
+        region = self.table("region").select("r_regionkey", F.col("r_name").alias("site_code"))
+        placed = lines.join(self.parts.select("p_partkey", "item_code"), "p_partkey").join(supplier, "l_suppkey")
+        return placed.join(nation, "n_nationkey").join(region, "r_regionkey")
 
     @cached_property
     def inventory(self) -> DataFrame:
