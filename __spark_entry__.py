@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-import oracle
+import demand_oracle
 from demandloom import spec
 from demandloom.functions import calendar, series
 from demandloom.operators import accuracy, baseline, demand, dedup, features, forecasting, inventory, quality
@@ -367,4 +367,4 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     """The same results as SQL over the same tables."""
-    return oracle.statements()
+    return demand_oracle.statements()

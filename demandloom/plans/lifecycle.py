@@ -22,17 +22,25 @@ from demandloom.functions.series import abs_error, clip0, ratio_interval, share_
 from demandloom.session import use_checkpoints
 
 
+ROWS_PER_TASK = 200_000
+
+
 def assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=list(spec.FEATURES), outputCol="features")
 
 
 @contextmanager
 def vectors(frame: DataFrame):
-    """Training rows as label and feature vector, held on executors while trees are grown."""
+    """Training rows as label and feature vector, held on executors while trees are grown.
+
+    Every tree level is a job over all partitions, so partitions far below a task's worth of
+    rows are read together; cached blocks stay where they are.
+    """
     rows = assembler().transform(frame).select(F.col("qty").cast("double").alias("label"), "features")
     held = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield held
+        tasks = max(frame.sparkSession.sparkContext.defaultParallelism, -(-held.count() // ROWS_PER_TASK))
+        yield held.coalesce(tasks)
     finally:
         held.unpersist()
 
