@@ -23,6 +23,14 @@ from demandloom.session import ship_code
 from demandloom.sources import landing, tables
 from demandloom.sources.star_schema import HOLDOUT, StarSchema, bronze_copy
 
+try:  # the training-data queries, where their subpackage is there
+    import corpus_pipeline
+    from demandloom.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "demandloom.llm"):
+        raise
+    llm_queries = None
+
 ship_code()
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -362,9 +370,17 @@ def queries() -> dict[str, Query]:
     def bind(build: Callable[[Context], DataFrame]) -> Query:
         return lambda spark, sf_dir: steady(build(Context(spark, sf_dir)))
 
-    return {name: bind(build) for name, build in QUERIES.items()}
+    out = {name: bind(build) for name, build in QUERIES.items()}
+    if llm_queries:
+        out |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
     """The same results as SQL over the same tables."""
-    return demand_oracle.statements()
+    out = demand_oracle.statements()
+    if llm_queries:
+        out |= llm_queries.ORACLES
+        if corpus_pipeline.ORACLE_SQL:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out
