@@ -65,7 +65,7 @@ _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijk
 
 OP3 = rf"""
 WITH RECURSIVE words AS (
-  SELECT doc_id, list_filter(string_split_regex({_LOW}, '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+  SELECT doc_id, list_filter(string_split_regex({_LOW}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 shingles AS (
   SELECT DISTINCT doc_id, CASE WHEN len(w) < 4 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 3], ' ') END AS s
   FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM words WHERE len(w) > 0)),
@@ -90,7 +90,7 @@ WITH digests AS (
   SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
 base32 AS (
   SELECT page_id, payload_bytes,
-    list_aggregate(list_transform(range(0, 32), j -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    list_aggregate(list_transform(range(0, 32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
       ((('0x' || substr(hex, (j // 8) * 10 + 1, 10))::BIGINT >> (35 - 5 * (j % 8))::BIGINT) & 31)::INT + 1, 1)), 'string_agg', '') AS payload_digest
   FROM digests),
 firsts AS (SELECT payload_digest, max(page_id) AS first FROM base32 GROUP BY payload_digest)
@@ -123,7 +123,7 @@ FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 
 OP10 = r"""
 WITH words AS (
-  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 windows AS (
   SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM words)),
 repeated AS (SELECT s FROM windows GROUP BY s HAVING count(*) > 1),
