@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from demandloom.llm.shared import stored
@@ -13,10 +13,12 @@ def _both_ways(links: DataFrame) -> DataFrame:
         F.struct(F.col("a"), F.col("b")), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("l")).select("l.*")
 
 
-def _signature(links: DataFrame) -> tuple:
-    """Equal for equal link sets; one row reaches the driver."""
-    word = F.xxhash64("a", "b")
-    return tuple(links.agg(F.count("*"), F.bit_xor(word), F.sum((word % 1000003).cast("decimal(38,0)"))).first())
+def _written(links: DataFrame, path: str) -> tuple[DataFrame, tuple]:
+    """The link set as a table, and numbers that are equal for equal sets, observed while it is written."""
+    seen, word = Observation(), F.xxhash64("a", "b")
+    links = links.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(word).alias("x"), F.sum(word % 1000003).alias("s"))
+    out = stored(links, path)
+    return out, tuple(seen.get[k] for k in ("n", "x", "s"))
 
 
 def components(links: DataFrame, folder: str) -> DataFrame:
@@ -27,9 +29,9 @@ def components(links: DataFrame, folder: str) -> DataFrame:
     grouped minimum with map-side combine and a join that adaptive execution can split, and is
     written to `folder`, so that a lost executor costs one round and no plan grows.
     """
-    at = stored(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
-                f"{folder}/links-0")
-    seen, turn = _signature(at), 0
+    at, seen = _written(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
+                        f"{folder}/links-0")
+    turn = 0
     while seen[0]:
         turn += 1
         around = _both_ways(at)
@@ -40,8 +42,8 @@ def components(links: DataFrame, folder: str) -> DataFrame:
         small = large.join(least, "a").select(
             F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
                               F.struct(F.col("a"), F.col("m").alias("b")))).alias("l")).select("l.*")
-        at = stored(small.filter("a <> b").distinct(), f"{folder}/links-{turn}")
-        was, seen = seen, _signature(at)
+        was = seen
+        at, seen = _written(small.filter("a <> b").distinct(), f"{folder}/links-{turn}")
         if was == seen:
             break
     roots = at.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root")

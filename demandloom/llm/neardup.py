@@ -150,11 +150,10 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
     nodes = shared.stored(
         named.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")),
         f"{folder}/nodes")
-    member = shared.stored(
-        signed.select("doc_id", "n_shingles", "set_a", "set_b")
-        .join(nodes.select("set_a", "set_b", "n_shingles", "node"), ["set_a", "set_b", "n_shingles"], "left")
-        .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node")),
-        f"{folder}/member")
+    member = (signed.select("doc_id", "n_shingles", "set_a", "set_b")
+              .join(nodes.select("set_a", "set_b", "n_shingles", "node"), ["set_a", "set_b", "n_shingles"], "left")
+              .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node")))
+    repeats = not named.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
     several = (member.filter("node IS NOT NULL").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
                .filter("a <> b").select("a", "b"))
 
@@ -174,13 +173,12 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
     star = shared.stored(open_.join(hub, "bucket").filter("node <> b").select(F.col("node").alias("a"), "b").distinct(), f"{folder}/star")
     first = star.groupBy("a").agg(F.min("b").alias("b"))
     checked = shared.stored(_checked(first, sets, percent), f"{folder}/checked-0")
-    links = several.unionByName(checked.filter("linked").select("a", "b"))
-    roots = shared.stored(components(links, f"{folder}/roots-0"), f"{folder}/roots-0/out")
-    others = (_with_roots(star.join(checked.select("a", "b"), ["a", "b"], "left_anti"), roots)
+    to_hub = checked.filter("linked").select(F.col("a").alias("node"), F.col("b").alias("root"))
+    others = (_with_roots(star.join(checked.select("a", "b"), ["a", "b"], "left_anti"), to_hub)
               .filter("root_a <> root_b").select("a", "b"))
     checked = checked.unionByName(shared.stored(_checked(others, sets, percent), f"{folder}/checked-1"))
-    links = several.unionByName(checked.filter("linked").select("a", "b"))
-    roots = shared.stored(components(links, f"{folder}/roots-1"), f"{folder}/roots-1/out")
+    links = checked.filter("linked").select("a", "b")
+    roots = shared.stored(components(links.unionByName(several) if repeats else links, f"{folder}/roots-0"), f"{folder}/roots-0/out")
 
     # the rest, exactly: documents of buckets that the stars left in several components
     placed = (open_.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root")))
@@ -188,12 +186,17 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
     rest = shared.stored(placed.join(split, "bucket", "left_semi").select("node", "root").distinct(), f"{folder}/rest")
     pairs = _rare_first(rest, sets, percent).join(checked.select("a", "b"), ["a", "b"], "left_anti")
     late = shared.stored(_checked(pairs, sets, percent), f"{folder}/checked-2").filter("linked").select("a", "b")
-    if not late.isEmpty():
-        roots = shared.stored(components(links.unionByName(late), f"{folder}/roots-2"), f"{folder}/roots-2/out")
+    # late links join whole components: their roots are the nodes of a small graph
+    among = components(_with_roots(late, roots).select(F.col("root_a").alias("a"), F.col("root_b").alias("b")), f"{folder}/roots-1")
+    moved = among.select(F.col("node").alias("root"), F.col("root").alias("new_root"))
+    lone = among.join(roots, "node", "left_anti")
+    roots = (roots.join(moved, "root", "left").select("node", F.coalesce("new_root", "root").alias("root"))
+             .unionByName(lone.select("node", "root")))
+    roots = shared.stored(roots, f"{folder}/roots-1/out")
     out = member.join(roots, "node", "left")
     found = F.coalesce("root", "node")
     label = out.groupBy("doc_id").agg(F.min(found).alias("root"))
-    if several.isEmpty():
+    if not repeats:
         out = out.select("doc_id", "n_shingles", F.coalesce(found, "doc_id").alias("component_id"))
     else:
         out = (member.join(label.filter("doc_id IS NOT NULL"), "doc_id", "left")
