@@ -36,10 +36,10 @@ def components(links: DataFrame, folder: str) -> DataFrame:
         turn += 1
         around = _both_ways(at)
         smallest = around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = (around.join(smallest, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = (around.join(smallest.hint("merge"), "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .filter("a <> b").distinct())
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(
+        small = large.join(least.hint("merge"), "a").select(
             F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
                               F.struct(F.col("a"), F.col("m").alias("b")))).alias("l")).select("l.*")
         was = seen

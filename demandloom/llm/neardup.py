@@ -14,7 +14,7 @@ Candidates of a bucket are not its pairs but a star: each member with the bucket
 star misses links between members that are not linked with its centre. So the documents of buckets
 that the stars leave in several components are joined once more, exactly, on their rarest shingles
 (see `_rare_first`). Documents with one and the same set are one node throughout, so copies cost
-nothing.
+nothing. All joins go by shuffle, since both sides grow with the input.
 
 Rows that share a doc_id are one document with several sets: their components are one. Rows with a
 null doc_id take part in nothing: component_id is null and they are kept.
@@ -34,8 +34,8 @@ from demandloom.llm.graph import components
 
 ROWS, BANDS = 6, 42
 BINS = ROWS * BANDS
-#: counters that order shingles from rare to common: 8 MB, whatever the input
-SLOTS = 1 << 20
+#: counters that order shingles from rare to common, whatever the input
+SLOTS = 1 << 16
 _ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93]
 
 
@@ -131,7 +131,7 @@ def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.join(left, "a").join(right, "b")
+    both = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
     common = F.size(F.array_intersect("sa", "sb")).cast("long")
     return (both.withColumn("common", common)
             .withColumn("either", F.size("sa") + F.size("sb") - F.col("common"))
@@ -151,7 +151,7 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
         named.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")),
         f"{folder}/nodes")
     member = (signed.select("doc_id", "n_shingles", "set_a", "set_b")
-              .join(nodes.select("set_a", "set_b", "n_shingles", "node"), ["set_a", "set_b", "n_shingles"], "left")
+              .join(nodes.select("set_a", "set_b", "n_shingles", "node").hint("merge"), ["set_a", "set_b", "n_shingles"], "left")
               .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node")))
     repeats = not named.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
     several = (member.filter("node IS NOT NULL").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
@@ -160,40 +160,40 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
     # buckets of two nodes or more
     banded = nodes.select("node", F.explode("bands").alias("bucket"))
     shared_buckets = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    open_ = shared.stored(banded.join(shared_buckets, "bucket"), f"{folder}/buckets-0")
+    open_ = shared.stored(banded.join(shared_buckets.hint("merge"), "bucket"), f"{folder}/buckets-0")
 
     # the full sets of the documents that share a bucket
     wanted = open_.select("node").distinct()
-    distinct_docs = base.join(wanted.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
+    distinct_docs = base.join(wanted.withColumnRenamed("node", "doc_id").hint("merge"), "doc_id", "left_semi")
     sets = distinct_docs.select(F.col("doc_id").alias("node"), "text").mapInArrow(_write_sets(width), "node long, shingles array<long>")
     sets = shared.stored(sets, f"{folder}/sets")
 
     # stars: one hub for each node first, the other buckets' hubs only where that has not joined them
     hub = open_.groupBy("bucket").agg(F.min("node").alias("b"))
-    star = shared.stored(open_.join(hub, "bucket").filter("node <> b").select(F.col("node").alias("a"), "b").distinct(), f"{folder}/star")
+    star = shared.stored(open_.join(hub.hint("merge"), "bucket").filter("node <> b").select(F.col("node").alias("a"), "b").distinct(), f"{folder}/star")
     first = star.groupBy("a").agg(F.min("b").alias("b"))
     checked = shared.stored(_checked(first, sets, percent), f"{folder}/checked-0")
     to_hub = checked.filter("linked").select(F.col("a").alias("node"), F.col("b").alias("root"))
-    others = (_with_roots(star.join(checked.select("a", "b"), ["a", "b"], "left_anti"), to_hub)
+    others = (_with_roots(star.join(checked.select("a", "b").hint("merge"), ["a", "b"], "left_anti"), to_hub)
               .filter("root_a <> root_b").select("a", "b"))
     checked = checked.unionByName(shared.stored(_checked(others, sets, percent), f"{folder}/checked-1"))
     links = checked.filter("linked").select("a", "b")
     roots = shared.stored(components(links.unionByName(several) if repeats else links, f"{folder}/roots-0"), f"{folder}/roots-0/out")
 
     # the rest, exactly: documents of buckets that the stars left in several components
-    placed = (open_.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root")))
+    placed = (open_.join(roots.hint("merge"), "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root")))
     split = placed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("bucket")
-    rest = shared.stored(placed.join(split, "bucket", "left_semi").select("node", "root").distinct(), f"{folder}/rest")
-    pairs = _rare_first(rest, sets, percent).join(checked.select("a", "b"), ["a", "b"], "left_anti")
+    rest = shared.stored(placed.join(split.hint("merge"), "bucket", "left_semi").select("node", "root").distinct(), f"{folder}/rest")
+    pairs = _rare_first(rest, sets, percent).join(checked.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
     late = shared.stored(_checked(pairs, sets, percent), f"{folder}/checked-2").filter("linked").select("a", "b")
     # late links join whole components: their roots are the nodes of a small graph
     among = components(_with_roots(late, roots).select(F.col("root_a").alias("a"), F.col("root_b").alias("b")), f"{folder}/roots-1")
     moved = among.select(F.col("node").alias("root"), F.col("root").alias("new_root"))
-    lone = among.join(roots, "node", "left_anti")
-    roots = (roots.join(moved, "root", "left").select("node", F.coalesce("new_root", "root").alias("root"))
+    lone = among.join(roots.hint("merge"), "node", "left_anti")
+    roots = (roots.join(moved.hint("merge"), "root", "left").select("node", F.coalesce("new_root", "root").alias("root"))
              .unionByName(lone.select("node", "root")))
     roots = shared.stored(roots, f"{folder}/roots-1/out")
-    out = member.join(roots, "node", "left")
+    out = member.join(roots.hint("merge"), "node", "left")
     found = F.coalesce("root", "node")
     label = out.groupBy("doc_id").agg(F.min(found).alias("root"))
     if not repeats:
@@ -207,7 +207,7 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
 def _with_roots(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """root_a and root_b beside a and b; a node without links is its own root."""
     for side in ("a", "b"):
-        pairs = (pairs.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}")), side, "left")
+        pairs = (pairs.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}")).hint("merge"), side, "left")
                  .withColumn(f"root_{side}", F.coalesce(f"root_{side}", side)))
     return pairs
 
@@ -256,7 +256,7 @@ def _rare_first(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     of documents share is not rare, so it does not bring them together. The order comes from SLOTS
     counters over these sets; which order it is does not change the result.
     """
-    mine = sets.join(rest, "node")
+    mine = sets.join(rest.hint("merge"), "node")
     tally = mine.select("shingles").mapInArrow(_tally, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(SLOTS, np.int64)
     counts[tally["slot"].to_numpy(np.int64)] = tally["n"].to_numpy(np.int64)
@@ -265,7 +265,7 @@ def _rare_first(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = rows.select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("place", "node", "root", "size")])
     right = rows.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("place", "node", "root", "size")])
     most = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
-    return (left.join(right, "shingle")
+    return (left.join(right.hint("merge"), "shingle")
             .filter((F.col("node_a") > F.col("node_b")) & (F.col("root_a") != F.col("root_b"))
                     & ((100 + percent) * most >= percent * (F.col("size_a") + F.col("size_b")))
                     & (100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")))

@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from demandloom.llm import shared, wordcodes
 
 LENGTH = 35
-#: candidate passages of a task that are settled together: 16 MB for each of four columns
-GATHER = 2_000_000
+#: candidate passages of a task that are settled together: 4 MB for each of four columns
+GATHER = 500_000
 _BASE = 0xC2B2AE3D27D4EB4F
 ALONE, SETTLED, WITNESS = 0, 1, 2
 
@@ -259,8 +259,9 @@ def remove_repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                .select("rid", F.explode(F.array("low", "high")).alias("value")).filter("value <> 0")
                .select("value", "rid").mapInArrow(_settle_rows, "value long, rid long, state byte"))
     wanted = _recurring(doubled, "value").groupBy("rid").agg(F.collect_set("value").alias("wanted"))
-    passages = (base.select("rid", "doc_id", "text").join(wanted, "rid").select("rid", "text", "wanted")
+    # both joins with the texts name the same columns, so that the texts are shuffled once
+    passages = (base.select("rid", "doc_id", "text").join(wanted, "rid").select("rid", "doc_id", "text", "wanted")
                 .mapInArrow(_passage_rows(length), "value long, anchor long, rid long, at int, n int, state byte"))
     spans = _recurring(passages, "value", "anchor").groupBy("rid").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
-    return (base.select("rid", "doc_id", "text").join(spans, "rid", "left").select("doc_id", "text", "spans")
+    return (base.select("rid", "doc_id", "text").join(spans, "rid", "left").select("rid", "doc_id", "text", "spans")
             .mapInArrow(_without(length), "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string"))

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes handled at once; a longer text is handled alone.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 #: `[^\x20\x09-\x0D]+`
 VISIBLE = ~SPACES
