@@ -2,7 +2,7 @@
 
 A phrase is `width` consecutive words of a benchmark item, or the whole item where it has fewer
 (but any). Words are runs of digits, letters a-z after A-Z became a-z, and non-ASCII characters.
-Documents are indexed in shards of about wordcodes.CHUNK bytes, in the task that reads them:
+Documents are indexed in shards of about SHARD_BYTES, in the task that reads them:
 suffix array, wavelet-tree ranks of the transformed text, and every SAMPLE-th suffix position. All
 phrases are searched backwards at once; occurrences are located and merged to spans of words.
 
@@ -29,6 +29,8 @@ from demandloom.llm import shared, wordcodes
 from demandloom.llm.fmindex import FMIndex
 
 WIDTH = 13
+#: text of one FM-index
+SHARD_BYTES = 2 << 20
 #: benchmark text that is sent to the tasks at once
 BLOCK_BYTES = 16 << 20
 
@@ -101,7 +103,7 @@ def _hits(block, keep: tuple[str, ...], added: tuple[str, str, str]):
     """Adds the block's hits to what earlier blocks found: word spans and item ids of each row."""
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = block.value
-        for batch, data, at in wordcodes.chunks(batches, "text"):
+        for batch, data, at in wordcodes.chunks(batches, "text", SHARD_BYTES):
             words = wordcodes.Words(data, at, wordcodes.ALNUM)
             first, phrase = _find(phrases, words)
             order = np.argsort(first, kind="stable")

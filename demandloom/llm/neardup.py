@@ -36,6 +36,8 @@ ROWS, BANDS = 6, 42
 BINS = ROWS * BANDS
 #: counters that order shingles from rare to common, whatever the input
 SLOTS = 1 << 16
+#: numbers of 64 parity bits that go with a set
+MASKS = 8
 _ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93]
 
 
@@ -222,6 +224,12 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(counts[full])], ["slot", "n"])
 
 
+def _parity(values: np.ndarray) -> np.ndarray:
+    """MASKS numbers whose bits tell, of each of 64 * MASKS hash classes, if the set has an odd number in it."""
+    odd = np.bincount((values.view(np.uint64) >> np.uint64(32)).astype(np.int64) % (64 * MASKS), minlength=64 * MASKS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _prefixes(counts, percent: int):
     """The rarest shingles of each set: as many as two linked sets cannot both miss."""
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,20 +238,24 @@ def _prefixes(counts, percent: int):
             column = batch.column("shingles")
             ends = column.offsets.to_numpy()
             values = column.values.to_numpy(zero_copy_only=False)
-            which, place = [], []
-            sizes = np.diff(ends)
+            sizes = np.diff(ends).astype(np.int64)
             probe = sizes - -(-sizes * percent // 100) + 1
+            index = sizes - -(-sizes * 2 * percent // (100 + percent)) + 1
+            which, place, masks = [], [], []
             for start, size, n in zip(ends[:-1].tolist(), sizes.tolist(), probe.tolist()):
                 one = values[start:start + size]
                 slot = (one.view(np.uint64) % np.uint64(SLOTS)).astype(np.int64)
                 which.append(one[np.lexsort((one, rare[slot]))[:n]])
                 place.append(np.arange(n, dtype=np.int32))
+                masks.append(_parity(one))
             if which:
+                at = np.concatenate(place)
+                bits = np.repeat(np.array(masks), probe, axis=0)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(which)), pa.array(np.concatenate(place)),
+                    [pa.array(np.concatenate(which)), pa.array(at), pa.array(at < np.repeat(index, probe)),
                      pa.array(np.repeat(batch.column("node").to_numpy(), probe)), pa.array(np.repeat(batch.column("root").to_numpy(), probe)),
-                     pa.array(np.repeat(sizes, probe).astype(np.int64))],
-                    ["shingle", "place", "node", "root", "size"])
+                     pa.array(np.repeat(sizes, probe)), *[pa.array(bits[:, k].copy()) for k in range(MASKS)]],
+                    ["shingle", "place", "indexed", "node", "root", "size", *[f"m{k}" for k in range(MASKS)]])
     return prefixes
 
 
@@ -251,9 +263,12 @@ def _rare_first(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Every pair of `rest` in different components that can reach the threshold, and few others.
 
     With shingles in one fixed order, rarest first, two sets of a similarity t share one within the
-    first (1 - t) n + 1 of either; a first shared shingle at places i and j leaves an overlap of at
-    most 1 + min(m - i, n - j) - 1, which must reach t / (1 + t) (m + n). A passage that thousands
-    of documents share is not rare, so it does not bring them together. The order comes from SLOTS
+    first (1 - t) m + 1 of the larger and the first n - 2 t n / (1 + t) + 1 of the smaller one; a
+    first shared shingle at places i and j leaves an overlap of at most min(m - i, n - j), which
+    must reach t / (1 + t) (m + n). Hash classes in which one set has an odd number of shingles and
+    the other an even one each hold a shingle that the sets do not share; (1 - t) / (1 + t) (m + n)
+    such shingles are too many. None of these rules drops a linked pair. A passage that thousands of
+    documents share is not rare, so it does not bring them together. The order comes from SLOTS
     counters over these sets; which order it is does not change the result.
     """
     mine = sets.join(rest.hint("merge"), "node")
@@ -261,12 +276,19 @@ def _rare_first(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     counts = np.zeros(SLOTS, np.int64)
     counts[tally["slot"].to_numpy(np.int64)] = tally["n"].to_numpy(np.int64)
     shared_counts = rest.sparkSession.sparkContext.broadcast(counts)
-    rows = mine.mapInArrow(_prefixes(shared_counts, percent), "shingle long, place int, node long, root long, size long")
-    left = rows.select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("place", "node", "root", "size")])
-    right = rows.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("place", "node", "root", "size")])
+    masks = [f"m{k}" for k in range(MASKS)]
+    rows = mine.mapInArrow(_prefixes(shared_counts, percent), "shingle long, place int, indexed boolean, node long, root long, size long, "
+                           + ", ".join(f"{m} long" for m in masks))
+    columns = ("place", "node", "root", "size", *masks)
+    left = rows.select("shingle", *[F.col(c).alias(f"{c}_a") for c in columns])
+    right = rows.filter("indexed").select("shingle", *[F.col(c).alias(f"{c}_b") for c in columns])
     most = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
+    both = F.col("size_a") + F.col("size_b")
+    odd = sum((F.bit_count(F.col(f"{m}_a").bitwiseXOR(F.col(f"{m}_b"))) for m in masks), F.lit(0))
     return (left.join(right.hint("merge"), "shingle")
-            .filter((F.col("node_a") > F.col("node_b")) & (F.col("root_a") != F.col("root_b"))
-                    & ((100 + percent) * most >= percent * (F.col("size_a") + F.col("size_b")))
-                    & (100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")))
-            .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
+            .filter((F.struct("size_a", "node_a") > F.struct(F.col("size_b").alias("size_a"), F.col("node_b").alias("node_a")))
+                    & (F.col("root_a") != F.col("root_b"))
+                    & ((100 + percent) * most >= percent * both)
+                    & (100 * F.col("size_b") >= percent * F.col("size_a"))
+                    & ((100 + percent) * odd <= (100 - percent) * both))
+            .select(F.greatest("node_a", "node_b").alias("a"), F.least("node_a", "node_b").alias("b")).distinct())

@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from demandloom.llm import shared, wordcodes
 
 LENGTH = 35
-#: candidate passages of a task that are settled together: 4 MB for each of four columns
-GATHER = 500_000
+#: candidate passages of a task that are settled together: 2 MB for each of four columns
+GATHER = 250_000
 _BASE = 0xC2B2AE3D27D4EB4F
 ALONE, SETTLED, WITNESS = 0, 1, 2
 
@@ -231,7 +231,7 @@ def _passage_rows(length: int):
 
 def _without(length: int):
     def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch, _, _ in wordcodes.chunks(batches, "text"):
             total, gone, digests, texts = [], [], [], []
             for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
                 words = (text or "").encode().split()

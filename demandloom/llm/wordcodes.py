@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes handled at once; a longer text is handled alone.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 #: `[^\x20\x09-\x0D]+`
 VISIBLE = ~SPACES
@@ -71,13 +71,13 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0]:at[-1]], at - at[0]
 
 
-def chunks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Slices of the batches whose texts are about CHUNK bytes, with their bytes and row offsets."""
+def chunks(batches: Iterator[pa.RecordBatch], column: str, size: int = CHUNK) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of the batches whose texts are about `size` bytes, with their bytes and row offsets."""
     for batch in batches:
         data, at = flat(batch.column(column))
         row = 0
         while row < batch.num_rows:
-            end = max(row + 1, int(np.searchsorted(at, at[row] + CHUNK, "right")) - 1)
+            end = max(row + 1, int(np.searchsorted(at, at[row] + size, "right")) - 1)
             end = min(end, batch.num_rows)
             yield batch.slice(row, end - row), data[at[row]:at[end]], at[row:end + 1] - at[row]
             row = end
