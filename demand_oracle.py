@@ -20,12 +20,12 @@ def demand(by: str, source: str, last: str = "(SELECT last_ym FROM bounds)") ->
     return f"""
     SELECT {by}, launch_ym, CAST(n AS INTEGER) AS months, hits AS nonzero_months,
            n / NULLIF(hits, 0) AS adi,
-           CASE WHEN hits >= 2 THEN pow(sd / mean, 2.0) WHEN hits = 1 THEN 0.0 END AS cv2,
+           CAST(hits * squares - total * total AS DOUBLE) / CAST(total * total AS DOUBLE) AS cv2,
            recent / least(12, n) AS mean_qty
     FROM (
       SELECT {by}, min(ym) FILTER (qty > 0) AS launch_ym, count(*) FILTER (qty > 0) AS hits,
              {months(last)} - {months('min(ym) FILTER (qty > 0)')} + 1 AS n,
-             avg(qty) FILTER (qty > 0) AS mean, stddev_pop(qty) FILTER (qty > 0) AS sd,
+             sum(CAST(qty AS HUGEINT)) FILTER (qty > 0) AS total, sum(CAST(qty AS HUGEINT) * qty) FILTER (qty > 0) AS squares,
              COALESCE(sum(qty) FILTER ({months('ym')} > {months(last)} - 12), 0) AS recent
       FROM (SELECT {by}, ym, sum(qty) AS qty FROM {source} GROUP BY ALL) GROUP BY {by})"""
 
@@ -201,8 +201,8 @@ RELATIONS = f"""
     rule_scores AS (
       SELECT item_code || '|' || channel AS unique_id, model, CAST(window_no AS INTEGER) AS window_no,
              avg(CASE WHEN abs(actual) + abs(f) = 0 THEN 0 ELSE 2 * abs(actual - f) / (abs(actual) + abs(f)) END) AS metric_value
-      FROM (SELECT *, unnest(['naive_12', 'last_value', 'mean_12']) AS model,
-                   unnest([CAST(naive_12 AS DOUBLE), CAST(last_value AS DOUBLE), mean_12]) AS f FROM rule_steps)
+      FROM (SELECT *, unnest(['naive_12', 'last_value', 'mean_12', 'zero']) AS model,
+                   unnest([CAST(naive_12 AS DOUBLE), CAST(last_value AS DOUBLE), mean_12, 0.0]) AS f FROM rule_steps)
       GROUP BY item_code, channel, model, window_no),
     rule_means AS (
       SELECT unique_id, model, round(avg(metric_value), 9) AS avg_metric FROM rule_scores GROUP BY ALL),
@@ -553,7 +553,7 @@ def _statements() -> dict[str, str]:
     q["routed_models"] = "SELECT unique_id, model, round(avg_metric, 6) AS avg_metric, forecast_source FROM routed"
     q["routed_forecasts"] = """
     SELECT r.unique_id, r.model, r.forecast_source, a.target_ym,
-           round(CASE r.model WHEN 'naive_12' THEN CAST(l.qty AS DOUBLE) WHEN 'mean_12' THEN y.mean_12
+           round(CASE r.model WHEN 'naive_12' THEN CAST(l.qty AS DOUBLE) WHEN 'mean_12' THEN y.mean_12 WHEN 'zero' THEN 0.0
                  ELSE CAST(y.last_value AS DOUBLE) END, 6) AS p50,
            CAST(NULL AS DOUBLE) AS lower_bound, CAST(NULL AS DOUBLE) AS upper_bound
     FROM routed r CROSS JOIN ahead a JOIN year_mean y ON y.item_code || '|' || y.channel = r.unique_id

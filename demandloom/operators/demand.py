@@ -19,22 +19,25 @@ def demand_stats(ship: DataFrame, by: list[str], last_month: Column | None = Non
     last = month_number(latest(ship) if last_month is None else last_month)
     monthly = ship.groupBy(*by, "ym").agg(F.sum("qty").alias("qty"))
     hit = F.col("qty") > 0
+    # whole numbers, so that the order of adding up cannot show
+    whole = F.when(hit, F.col("qty").cast("decimal(18,0)"))
     month = month_number("ym")
     grouped = monthly.groupBy(*by).agg(
         F.min(F.when(hit, F.col("ym"))).alias("launch_ym"),
         F.count_if(hit).alias("_hits"),
-        F.avg(F.when(hit, F.col("qty"))).alias("_mean"),
-        F.stddev_pop(F.when(hit, F.col("qty"))).alias("_std"),
+        F.sum(whole).alias("_sum"),
+        F.sum(whole * whole).alias("_squares"),
         F.sum(F.when(month > last - 12, F.col("qty"))).alias("_recent"),
     )
     months = last - month_number("launch_ym") + 1
+    square = F.col("_sum") * F.col("_sum")
+    spread = F.col("_hits").cast("decimal(10,0)") * F.col("_squares") - square
     return grouped.select(
         *by, "launch_ym",
         months.alias("months"),
         F.col("_hits").alias("nonzero_months"),
         F.try_divide(months, F.col("_hits")).alias("adi"),
-        F.when(F.col("_hits") >= 2, F.pow(F.col("_std") / F.col("_mean"), F.lit(2.0)))
-        .when(F.col("_hits") == 1, F.lit(0.0)).alias("cv2"),
+        F.try_divide(spread.cast("double"), square.cast("double")).alias("cv2"),
         (F.coalesce(F.col("_recent"), F.lit(0)) / F.least(F.lit(12), months)).alias("mean_qty"),
     )
 

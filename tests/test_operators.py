@@ -205,3 +205,19 @@ def test_metric_view(spark):
 def test_metric_view_joins_only_what_it_needs(spark):
     plan = view(spark).query(["channel"], ["qty"])._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan
+
+
+def test_demand_class_does_not_depend_on_the_partitioning(spark, star):
+    from demandloom.operators import demand
+
+    def classes(partitions, adaptive):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        return sorted(map(tuple, demand.classify(star.sparse_shipments, ["item_code"]).select("item_code", "cv2", "demand_class").collect()))
+
+    try:
+        first = classes("1", "true")
+        assert first and all(classes(n, a) == first for n in ("7", "32") for a in ("true", "false"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
