@@ -86,7 +86,10 @@ SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string,
 
 
 def _with_next(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by part, guest last, doc_id and text; a guest closes its part and gives no row."""
+    """Rows sorted by part, guest last, doc_id and text; a guest closes its part and gives no row.
+
+    What is held at once is bounded in characters and, by BUCKETS for each, in rows.
+    """
     held: list[tuple] = []
     size = 0
 
@@ -110,7 +113,7 @@ def _with_next(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = [batch.column(c).to_pylist() for c in ("doc_id", "text", "guest")]
         for doc_id, text, guest in zip(*columns):
             held.append((doc_id, text or ""))
-            size += len(held[-1][1])
+            size += len(held[-1][1]) + BUCKETS
             if guest or size > wordcodes.CHUNK:
                 if len(held) > 1:
                     yield flush(held)
