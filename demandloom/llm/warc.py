@@ -33,8 +33,6 @@ from pyspark.sql import functions as F
 from demandloom.llm import shared
 
 LEAST = 0
-#: bytes of html in one archive, about
-ARCHIVE_BYTES = 64 << 20
 READ = 1 << 20
 CRLF = "\r\n"
 DATE = "2024-01-01T00:00:00Z"
@@ -58,14 +56,21 @@ def _urn(page_id: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("null")), F.lit(">"))
 
 
-def write_archives(pages: DataFrame, folder: str, least: int = LEAST, archive_bytes: int = ARCHIVE_BYTES) -> None:
-    """pages(page_id, url, html, ...) as whole-stream gzip archives in `folder`."""
+def write_archives(pages: DataFrame, folder: str, least: int = LEAST) -> None:
+    """pages(page_id, url, html, ...) as whole-stream gzip archives in `folder`, one a task.
+
+    Which rows revisit which page is settled on ids and digests alone; the html is shuffled once,
+    by page, so that pages with one and the same payload do not meet in a task.
+    """
     html = F.coalesce("html", F.lit(""))
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"))
     base = base.select("*", base32_sha1(F.col("html").cast("binary")).alias("digest"), F.octet_length("html").cast("long").alias("bytes"))
-    first = base.filter(F.col("bytes") >= least).groupBy("digest").agg(F.max("page_id").alias("original"), F.count("*").alias("n")).filter("n > 1")
-    known = base.join(first.select("digest", "original"), "digest", "left")
-    again = F.coalesce((F.col("bytes") >= least) & F.col("original").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("original")), F.lit(False))
+    digests = shared.stored(base.select("page_id", "digest", "bytes").filter(F.col("bytes") >= least), f"{folder}-digests")
+    first = digests.groupBy("digest").agg(F.max("page_id").alias("original"), F.count("*").alias("n")).filter("n > 1 AND original IS NOT NULL")
+    later = (digests.join(first.select("digest", "original").hint("merge"), "digest").filter(~F.col("page_id").eqNullSafe(F.col("original")))
+             .select(F.col("page_id").alias("later_id"), F.col("digest").alias("later_digest"), "original").distinct())
+    known = base.join(later.hint("merge"), F.col("page_id").eqNullSafe(F.col("later_id")) & (F.col("digest") == F.col("later_digest")), "left")
+    again = F.col("original").isNotNull()
     http = F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}{CRLF}")
     block = F.when(again, F.lit("")).otherwise(F.concat(http, "html"))
     record = F.concat(
@@ -81,10 +86,8 @@ def write_archives(pages: DataFrame, folder: str, least: int = LEAST, archive_by
         _line("Content-Type", F.lit("application/http; msgtype=response")),
         _line("Content-Length", F.octet_length(block).cast("string")),
         F.lit(CRLF), block)
-    total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    n = max(1, -(-total // archive_bytes), shared.partitions(pages.sparkSession))
-    (known.repartition(n, F.xxhash64("page_id", "digest", "url")).select(record.alias("value"))
-     .write.option("lineSep", CRLF + CRLF).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(folder))
+    (known.select(record.alias("value")).write.option("lineSep", CRLF + CRLF)
+     .option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(folder))
 
 
 def _open(uri: str) -> tuple[fs.FileSystem, str]:
