@@ -21,7 +21,7 @@ from demandloom.plans.gold import Gold
 from demandloom.plans.silver import clean
 from demandloom.session import ship_code
 from demandloom.sources import landing, tables
-from demandloom.sources.star_schema import HOLDOUT, StarSchema, bronze_copy
+from demandloom.sources.star_schema import StarSchema, bronze_copy
 
 try:  # the training-data queries, where their subpackage is there
     import corpus_pipeline
@@ -40,7 +40,6 @@ GRID = (
     {"name": "shallow", "max_depth": 3, "learning_rate": 0.10, "max_iter": 10},
     {"name": "standard", "max_depth": 5, "learning_rate": 0.10, "max_iter": 10},
 )
-RUN_DATE = "2001-11-15"
 PICK = ("Brand#1_ECONOMY", "DOM")
 MESSY = {"商品コード": ("item_code", "text"), "年月": ("ym", "month"), "数量": ("qty", "number")}
 
@@ -158,7 +157,7 @@ def _tolerance(c: Context) -> DataFrame:
 def _reconcile(c: Context) -> DataFrame:
     mine = {"fct_shipments": c.ship, "dim_item": c.silver.items, "dim_lead_time": c.silver.lead_time,
             "fct_forecast_baseline": c.silver.forecast_baseline}
-    reference = {"fct_shipments": landing.split_load_set(c.ship, HOLDOUT, "A"), "dim_item": c.silver.items,
+    reference = {"fct_shipments": landing.split_load_set(c.ship, c.last, "A"), "dim_item": c.silver.items,
                  "dim_lead_time": c.silver.lead_time}
     return tables.reconcile_counts(mine, reference)
 
@@ -183,7 +182,7 @@ def _model_forecasts(c: Context) -> DataFrame:
     train = frame.filter(F.col("split") == "train")
     model = lifecycle.train(train, GRID[0])
     through = train.select(F.max("ym")).scalar()
-    return lifecycle.batch_score(c.training, model, 1, RUN_DATE, through)
+    return lifecycle.batch_score(c.training, model, 1, str(c.silver.before), through)
 
 
 def _challenger(c: Context) -> DataFrame:
@@ -220,8 +219,8 @@ def _part_accuracy(c: Context) -> DataFrame:
 
 QUERIES: dict[str, Callable[[Context], DataFrame]] = {
     # sources, load sets, ingest reports
-    "load_set_a": lambda c: landing.split_load_set(c.ship, HOLDOUT, "A"),
-    "load_set_b": lambda c: landing.split_load_set(c.ship, HOLDOUT, "B"),
+    "load_set_a": lambda c: landing.split_load_set(c.ship, c.last, "A"),
+    "load_set_b": lambda c: landing.split_load_set(c.ship, c.last, "B"),
     "scan_shipments": lambda c: c.gold.fct_shipments.select("item_code", "channel", "ym", "qty"),
     "messy_ingest": lambda c: landing.tidy(c.messy, MESSY),
     "ingest_report": lambda c: landing.ingest_report(landing.tidy(c.messy, MESSY), ["item_code", "ym"]),

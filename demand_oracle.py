@@ -45,7 +45,7 @@ def shipments(prefix: str, item: str) -> str:
     {prefix}sparse AS (
       SELECT {item} AS item_code, channel, ym, CAST(sum(l_quantity) AS BIGINT) AS qty
       FROM lines JOIN part ON p_partkey = l_partkey
-      WHERE NOT (channel = 'EXP' AND p_type = 'SMALL') GROUP BY ALL),
+      GROUP BY ALL),
     {prefix}ship AS (
       SELECT s.item_code, s.channel, c.ym, COALESCE(x.qty, 0) AS qty
       FROM (SELECT DISTINCT item_code, channel FROM {prefix}sparse) s CROSS JOIN cal c
@@ -87,7 +87,7 @@ RELATIONS = f"""
     lines AS (
       SELECT l_partkey, l_suppkey, l_linestatus, l_quantity, last_day(CAST(l_shipdate AS DATE)) AS ym,
              CASE l_returnflag WHEN 'N' THEN 'DOM' WHEN 'A' THEN 'EXP' ELSE 'RET' END AS channel
-      FROM lineitem WHERE l_shipdate < TIMESTAMP '2001-11-01'),
+      FROM lineitem WHERE l_shipdate < (SELECT date_trunc('month', max(l_shipdate) + INTERVAL 1 DAY) FROM lineitem)),
     bounds AS (SELECT min(ym) AS first_ym, max(ym) AS last_ym FROM lines),
     cal AS (
       SELECT last_day(CAST(m AS DATE)) AS ym FROM (
@@ -107,7 +107,8 @@ RELATIONS = f"""
     items AS (
       SELECT item_code, brand || ' ' || cat AS item_name, cat AS item_category,
              CASE WHEN cat IN ('ECONOMY', 'STANDARD') THEN 'main' ELSE 'consumable' END AS item_type,
-             unit_price, {CLASS} AS demand_class, adi, cv2, cat = 'SMALL' AS is_domestic_only, launch_ym
+             unit_price, {CLASS} AS demand_class, adi, cv2, 
+             item_code NOT IN (SELECT item_code FROM sparse WHERE channel = 'EXP' AND qty > 0) AS is_domestic_only, launch_ym
       FROM (SELECT p_brand || '_' || p_type AS item_code, max(p_brand) AS brand, max(p_type) AS cat,
                    CAST(floor(min(p_retailprice)) AS INTEGER) AS unit_price FROM part GROUP BY 1)
       JOIN stats USING (item_code)),
@@ -288,8 +289,8 @@ def grouped(value: str, low: str = "CAST(NULL AS DOUBLE)", high: str = "CAST(NUL
 
 def _statements() -> dict[str, str]:
     q: dict[str, str] = {}
-    q["load_set_a"] = "SELECT * FROM ship WHERE ym < DATE '2001-10-31'"
-    q["load_set_b"] = "SELECT * FROM ship WHERE ym = DATE '2001-10-31'"
+    q["load_set_a"] = "SELECT * FROM ship WHERE ym < (SELECT last_ym FROM bounds)"
+    q["load_set_b"] = "SELECT * FROM ship WHERE ym = (SELECT last_ym FROM bounds)"
     q["scan_shipments"] = "SELECT item_code, channel, ym, qty FROM fct"
     q["messy_ingest"] = "SELECT item_code, ym, ym_raw, qty, qty_raw FROM messy"
     q["ingest_report"] = """
@@ -299,7 +300,7 @@ def _statements() -> dict[str, str]:
     q["reconcile_counts"] = """
     SELECT *, n_mine = n_reference AS matches FROM (
       SELECT 'fct_shipments' AS relation, (SELECT count(*) FROM ship) AS n_mine,
-             (SELECT count(*) FROM ship WHERE ym < DATE '2001-10-31') AS n_reference
+             (SELECT count(*) FROM ship WHERE ym < (SELECT last_ym FROM bounds)) AS n_reference
       UNION ALL SELECT 'dim_item', (SELECT count(*) FROM items), (SELECT count(*) FROM items)
       UNION ALL SELECT 'dim_lead_time', (SELECT count(*) FROM lead_time), (SELECT count(*) FROM lead_time)
       UNION ALL SELECT 'fct_forecast_baseline', (SELECT count(*) FROM baseline), -1)"""
@@ -378,12 +379,12 @@ def _statements() -> dict[str, str]:
     q["demand_stats"] = f"SELECT item_code, {STATS} FROM stats"
     q["demand_class"] = f"SELECT item_code, channel, {STATS}, demand_class FROM series_class"
     q["route_series"] = f"SELECT item_code, channel, {STATS}, demand_class, forecast_source FROM routes"
-    q["history_gate"] = """
+    q["history_gate"] = f"""
     SELECT *, months >= 24 AS enough_history FROM (
-      SELECT item_code, channel, count(DISTINCT ym) AS months FROM sparse GROUP BY ALL)"""
-    q["enough_history"] = """
+      SELECT item_code, channel, {months('max(ym)')} - {months('min(ym)')} + 1 AS months FROM sparse GROUP BY ALL)"""
+    q["enough_history"] = f"""
     SELECT * FROM sparse WHERE (item_code, channel) IN (
-      SELECT (item_code, channel) FROM sparse GROUP BY item_code, channel HAVING count(DISTINCT ym) >= 24)"""
+      SELECT (item_code, channel) FROM sparse GROUP BY item_code, channel HAVING {months('max(ym)')} - {months('min(ym)')} + 1 >= 24)"""
     q["safety_stock"] = """
     SELECT item_code, site_code, ym, qty AS demand_qty,
            CAST(CASE WHEN ym >= launch_ym THEN floor(avg(CASE WHEN ym >= launch_ym THEN qty END) OVER (

@@ -73,8 +73,10 @@ def route_series(classified: DataFrame, policy: str = "B") -> DataFrame:
 
 
 def history_gate(ship: DataFrame, months: int = spec.MIN_HISTORY_MONTHS) -> DataFrame:
-    """Length of each series and whether it suffices for a model-based forecast."""
-    return ship.groupBy(*spec.SERIES).agg(F.count_distinct("ym").alias("months")).withColumn(
+    """Months from the first to the last of each series, with demand or without, and whether they
+    suffice for a model-based forecast."""
+    length = month_number(F.max("ym")) - month_number(F.min("ym")) + 1
+    return ship.groupBy(*spec.SERIES).agg(length.cast("bigint").alias("months")).withColumn(
         "enough_history", F.col("months") >= months
     )
 

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from demandloom.functions.calendar import parse_year_month
 
 
-def split_load_set(df: DataFrame, holdout: str, load_set: str = "all", month: str = "ym") -> DataFrame:
+def split_load_set(df: DataFrame, holdout: str | Column, load_set: str = "all", month: str = "ym") -> DataFrame:
     """Months before the hold-out ("A"), the hold-out itself ("B") or everything ("all")."""
-    day = F.lit(holdout).cast("date")
+    day = holdout if isinstance(holdout, Column) else F.lit(holdout).cast("date")
     if load_set == "all":
         return df
     if load_set not in ("A", "B"):

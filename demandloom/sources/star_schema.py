@@ -8,6 +8,7 @@ spread over keys, down to one row per series and month before anything else happ
 
 from __future__ import annotations
 
+from datetime import date, timedelta
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,10 +21,7 @@ from demandloom.operators.demand import classify
 from demandloom.operators.densify import densify
 from demandloom.operators.inventory import safety_stock, stockout_flag
 
-# First day of the month that is incomplete in the source, and the vocabulary.
-CUTOFF = "2001-11-01"
-HOLDOUT = "2001-10-31"
-DOMESTIC_ONLY_TYPE = "SMALL"
+# part types that count as main items, and the month that is sent twice
 MAIN_TYPES = ("ECONOMY", "STANDARD")
 RESEND_MONTH = 6
 
@@ -34,19 +32,31 @@ def channel_of(flag: Column | str) -> Column:
 
 
 class StarSchema:
-    """Silver-shaped relations over one folder of star-schema parquet files."""
+    """Silver-shaped relations over one folder of star-schema parquet files.
 
-    def __init__(self, spark: SparkSession, folder: str, grain: str = "item") -> None:
+    Complete months count: those before the month of `as_of`, or, where that is not given, those up
+    to the newest line, whose own month counts if the line falls on its last day.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, grain: str = "item", as_of: str | None = None) -> None:
         if grain not in ("item", "part"):
             raise ValueError(f"grain must be item or part, not {grain}")
-        self.spark, self.folder, self.grain = spark, folder, grain
+        self.spark, self.folder, self.grain, self.as_of = spark, folder, grain, as_of
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    @cached_property
+    def before(self) -> date | None:
+        """First day that no longer counts; None without lines. One aggregate over one column."""
+        if self.as_of is not None:
+            return date.fromisoformat(self.as_of).replace(day=1)
+        newest = self.table("lineitem").agg(F.max(F.col("l_shipdate").cast("date"))).head()[0]
+        return newest and (newest + timedelta(days=1)).replace(day=1)
+
     def _lines(self, *columns: str) -> DataFrame:
         """Order lines of complete months; the date filter reaches the file scan."""
-        before = F.lit(CUTOFF).cast("timestamp_ntz")
+        before = F.lit(self.before and str(self.before)).cast("timestamp_ntz")
         return self.table("lineitem").filter(F.col("l_shipdate") < before).select("l_partkey", "l_shipdate", *columns)
 
     @cached_property
@@ -79,14 +89,13 @@ class StarSchema:
 
     @cached_property
     def sparse_shipments(self) -> DataFrame:
-        """Quantity per item, channel and month that had any; no exports of domestic-only items."""
+        """Quantity per item, channel and month that had any."""
         lines = self._lines("l_returnflag", "l_quantity").select(
             F.col("l_partkey").alias("p_partkey"), channel_of("l_returnflag").alias("channel"),
             month_end(F.col("l_shipdate").cast("date")).alias("ym"), "l_quantity",
         )
-        joined = lines.join(self.parts.select("p_partkey", "item_code", "p_type"), "p_partkey")
-        allowed = ~((F.col("channel") == "EXP") & (F.col("p_type") == DOMESTIC_ONLY_TYPE))
-        return joined.filter(allowed).groupBy(*spec.SHIPMENT_KEY).agg(
+        joined = lines.join(self.parts.select("p_partkey", "item_code"), "p_partkey")
+        return joined.groupBy(*spec.SHIPMENT_KEY).agg(
             F.sum("l_quantity").cast("bigint").alias("qty")
         )
 
@@ -101,16 +110,19 @@ class StarSchema:
 
     @cached_property
     def items(self) -> DataFrame:
-        """Item master; statistics and class are measured, the rest comes from the parts."""
+        """Item master; statistics, class and whether anything was exported are measured, the rest
+        comes from the parts."""
         # an item code holds one brand and type, so grouping by all three stays a hash aggregate
         master = self.parts.groupBy("item_code", F.col("p_type").alias("item_category"), F.col("p_brand").alias("_brand")).agg(
             F.floor(F.min("p_retailprice")).cast("int").alias("unit_price"))
         kind = F.when(F.col("item_category").isin(*MAIN_TYPES), "main").otherwise("consumable")
-        return master.join(self.item_stats, "item_code").select(
+        exports = F.sum(F.when(F.col("channel") == "EXP", F.col("qty")).otherwise(0))
+        exported = self.sparse_shipments.groupBy("item_code").agg(exports.alias("_exported"))
+        return master.join(self.item_stats, "item_code").join(exported, "item_code").select(
             "item_code",
             F.concat_ws(" ", "_brand", "item_category").alias("item_name"),
             "item_category", kind.alias("item_type"), "unit_price", "demand_class", "adi", "cv2",
-            (F.col("item_category") == DOMESTIC_ONLY_TYPE).alias("is_domestic_only"), "launch_ym",
+            (F.col("_exported") == 0).alias("is_domestic_only"), "launch_ym",
         )
 
     @cached_property

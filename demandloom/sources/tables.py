@@ -102,19 +102,19 @@ def reconcile(spark: SparkSession, names: Sequence[str], mine: str, reference: s
     return reconcile_counts(tables(mine), tables(reference))
 
 
-# Descriptions of the business tables.
+# what a stored relation holds: grain, key, units
 TABLE_COMMENTS = {
-    "fct_shipments": "Monthly shipments, one row per item, channel and month. Input of the forecasts.",
-    "dim_item": "Item master with category, kind, demand class and the domestic-only flag.",
-    "dim_channel": "Sales channels: DOM is domestic, EXP is export.",
-    "dim_lead_time": "Standard lead time in days per item and site.",
-    "fct_inventory": "Month-end stock per site with safety stock and stock-out flag.",
-    "fct_forecast_baseline": "Same month last year as the forecast; what every model is compared with.",
-    "fct_forecast_accuracy": "Forecasts next to actuals with the error in units and as a share.",
-    "fct_forecast_model": "Forecasts of the trained model, in the shape of the baseline so that both can be stacked.",
-    "fct_forecast_ai": "Forecasts of the one-call grouped forecast: 18 months ahead and the hidden last year.",
-    "fct_forecast_accuracy_all": "Every forecasting method next to the actuals, under the same conditions.",
-    "model_version_comparison": "All registered model versions re-scored on the same months.",
-    "best_models": "Best model per series by mean score over the evaluation windows, and the route it takes.",
-    "evaluation_summary": "Which model won how many series in each demand class.",
+    "fct_shipments": "Key (item_code, channel, ym): pieces shipped and their value; months without shipments are rows of 0.",
+    "dim_item": "Key item_code: unit price, measured demand statistics and class, month of first demand, exported or not.",
+    "dim_channel": "Key channel_code: name and description of a sales channel.",
+    "dim_lead_time": "Key (item_code, site_code): days from order to arrival.",
+    "fct_inventory": "Key (item_code, site_code, ym): closing and safety stock in pieces, what exceeds it, 1 if nothing was left.",
+    "fct_forecast_baseline": "Key (item_code, channel, target_ym): the same month a year before, else two years before, with bounds.",
+    "fct_forecast_accuracy": "Baseline rows that have an actual: absolute error in pieces, error by actual, 1 inside the bounds.",
+    "fct_forecast_model": "Key (item_code, channel, target_ym): prediction of one model version, and if the month came after its training.",
+    "fct_forecast_ai": "Key (item_code, channel, target_ym, forecast_run_ym): best simple method a series, ahead and on the hidden year.",
+    "fct_forecast_accuracy_all": "Rows of fct_forecast_accuracy for each forecast relation, told apart by model_name.",
+    "model_version_comparison": "Key version: errors on the newest validation months, one evaluation for all.",
+    "best_models": "Key series: the model with the least mean error over the backtest windows, and its route.",
+    "evaluation_summary": "Series won, by demand class and model.",
 }

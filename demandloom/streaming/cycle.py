@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +22,7 @@ from demandloom.session import checkpoint_root
 from demandloom.sources.tables import TABLE_COMMENTS, append_table, existing, replace_partitions, replace_table
 from demandloom.streaming.bronze import INGEST_DAY, ingest_all, set_table_property, table_property
 
-# Columns each stored relation is laid out by.
+# columns each stored relation is laid out by.
 LAYOUT = {
     "silver_shipments": ("ym", "item_code"), "silver_inventory": ("ym", "item_code"),
     "silver_forecast_baseline": ("target_ym", "item_code"),
@@ -36,8 +35,6 @@ MONTH_OF = {
     "fct_shipments": "ym", "fct_inventory": "ym", "fct_forecast_baseline": "target_ym", "fct_forecast_accuracy": "target_ym",
 }
 REFRESHED = "refreshed.through"
-# more touched months than this are rebuilt in full, which costs less than listing them
-MAX_MONTHS = 36
 FORECAST_TABLES = ("fct_forecast_baseline", "fct_forecast_model", "fct_forecast_ai")
 
 
@@ -104,8 +101,9 @@ def _record_quality(ws: Workspace, feed: str, scope: Column | None = None) -> No
 def _mark(ws: Workspace, feed: str, arrived: DataFrame) -> None:
     """Remember on the silver table up to which ingest it has been rebuilt."""
     through = arrived.agg(F.unix_micros(F.max("_ingested_at"))).head()[0]
-    if through is not None:
-        set_table_property(ws.spark, f"{ws.database}.silver_{feed}", REFRESHED, str(through))
+    before = table_property(ws.spark, f"{ws.database}.silver_{feed}", REFRESHED)
+    if through is not None or before is None:  # a feed without any row yet counts as rebuilt, too
+        set_table_property(ws.spark, f"{ws.database}.silver_{feed}", REFRESHED, str(through or 0))
 
 
 def _arrived(ws: Workspace, feed: str) -> DataFrame | None:
@@ -123,8 +121,11 @@ def _arrived(ws: Workspace, feed: str) -> DataFrame | None:
 
 def in_months(day: str, months: list) -> Column:
     """Any day of the given months (a missing month stands for rows without one)."""
-    found = [F.col(day).isNull() if m is None else F.col(day).between(m.replace(day=1), m) for m in months]
-    return reduce(Column.__or__, found) if found else F.lit(False)
+    known = [m for m in months if m is not None]
+    found = F.lit(False)
+    if known:  # the range prunes files, the list is a look-up however long it is
+        found = F.col(day).between(min(known).replace(day=1), max(known)) & month_end(day).isin(known)
+    return found | F.col(day).isNull() if None in months else found
 
 
 def refresh_months(ws: Workspace) -> StoredGold:
@@ -133,7 +134,7 @@ def refresh_months(ws: Workspace) -> StoredGold:
     A key holds its month, so a new row can change nothing outside that month; the touched
     months are rebuilt from all bronze rows of theirs and replace their folders. New item
     masters change values of every month, and a first run has nothing to build on: both
-    rebuild in full. Marks advance last, so a run that broke off is simply repeated.
+    rebuild in full, nothing else does. Marks advance last, so a run that broke off is simply repeated.
     """
     ingest(ws)
     arrived = {feed: _arrived(ws, feed) for feed in spec.SOURCES}
@@ -146,8 +147,6 @@ def refresh_months(ws: Workspace) -> StoredGold:
         month = MONTH_OF.get(f"silver_{feed}")
         if month:
             touched[feed] = [r[0] for r in rows.select(month_end(month)).distinct().collect()]
-    if any(len(months) > MAX_MONTHS for months in touched.values()):
-        return rebuild(ws)
 
     def put(df: DataFrame, name: str) -> None:
         replace_partitions(df, f"{ws.database}.{name}", LAYOUT.get(name, ()))
@@ -200,18 +199,23 @@ def _newest(frame: DataFrame, split: str) -> Column:
     return frame.filter(F.col("split") == split).agg(F.max("ym")).head()[0]
 
 
+def _figures(row: dict) -> dict[str, str]:
+    """Tag values of the metrics that are defined; a score over nothing or over an error of 0 is not."""
+    return {k: f"{row[k]:.4f}" for k in ("mae", "mase", "baseline_mae") if row[k] is not None}
+
+
 def initial_train(ws: Workspace, gold: StoredGold, grid=spec.TRIAL_GRID) -> int:
     """Train the grid as of half a year ago, register the best run as champion."""
     registry = ws.registry()
     frame = _split(ws, gold, spec.BUILT_MONTHS_AGO)
     models, trials = lifecycle.train_trials(frame, grid)
     through, available = _newest(frame, "train"), _newest(frame, "valid")
-    rows = sorted((r.asDict() for r in trials.collect()), key=lambda r: (r["mae"], r["name"]))
+    rows = sorted((r.asDict() for r in trials.collect()), key=lambda r: (r["mae"] is None, r["mae"] or 0.0, r["name"]))
     runs = {r["name"]: registry.log_run(r["name"], r, r, through, available) for r in rows}
     best = rows[0]
     version = registry.register(models[best["name"]], runs[best["name"]])
     registry.set_alias("champion", version)
-    registry.tag(version, {**{k: f"{best[k]:.4f}" for k in ("mae", "mase", "baseline_mae")},
+    registry.tag(version, {**_figures(best),
                            "trained_through": through, "data_available_through": available})
     return version
 
@@ -233,10 +237,9 @@ def retrain(ws: Workspace, gold: StoredGold) -> dict:
     run = registry.log_run("retrain", params, by_name["challenger"], through, _newest(frame, "valid"))
     challenger = registry.register(model, run)
     registry.set_alias("challenger", challenger)
-    registry.tag(challenger, {**{k: f"{by_name['challenger'][k]:.4f}" for k in ("mae", "mase", "baseline_mae")},
+    registry.tag(challenger, {**_figures(by_name["challenger"]),
                               "trained_through": through})
-    new, old = by_name["challenger"], by_name["champion"]
-    promoted = lifecycle.wins(old["mae_recent"], new["mae_recent"], new["mase_recent"])
+    promoted = lifecycle.decide(ws.spark.createDataFrame(list(by_name.values()), scores.schema)).head()["promote"]
     if promoted:
         registry.set_alias("champion", challenger)
     return {"champion": champion, "challenger": challenger, "promoted": promoted, "scores": by_name}
