@@ -148,6 +148,9 @@ def test_history_gate(spark):
     df = ship(spark, {("A", "DOM"): [1] * 24, ("B", "DOM"): [1] * 23})
     assert rows(demand.history_gate(df)) == [("A", "DOM", 24, True), ("B", "DOM", 23, False)]
     assert {r[0] for r in rows(demand.enough_history(df))} == {"A"}
+    sparse = df.filter("item_code = 'A' AND month(ym) IN (1, 12)")
+    length = sparse.agg((F.max(F.year("ym") * 12 + F.month("ym")) - F.min(F.year("ym") * 12 + F.month("ym")) + 1)).first()[0]
+    assert rows(demand.history_gate(sparse)) == [("A", "DOM", length, length >= 24)]
 
 
 def test_quality_counts_and_keeps(spark):
