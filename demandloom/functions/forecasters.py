@@ -3,13 +3,31 @@
 Each takes a matrix (series x months) and a horizon and returns the forecast and its
 standard deviation per step, both (series x horizon). They run inside an Arrow-batched
 column function: Spark owns partitioning, cutting, scoring and selection.
+
+A series too short for a method has no forecast by it (NaN throughout); no other method
+steps in under the same name. LEAST names the months each one needs.
 """
 
 from __future__ import annotations
 
+from functools import wraps
+
 import numpy as np
 
 SEASON = 12
+#: months a method needs; those not named take any
+LEAST = {"seasonal_naive": SEASON, "ets": 2 * SEASON, "theta": 2 * SEASON, "mfles": 2 * SEASON,
+         "auto_ar": 2 * SEASON + 6, "auto": 2 * SEASON}
+
+
+def _long_enough(method):
+    """The method, with NaN for series of fewer months than it needs."""
+    @wraps(method)
+    def guarded(y: np.ndarray, h: int, **settings):
+        if y.shape[1] < LEAST[method.__name__]:
+            return np.full((len(y), h), np.nan), np.full((len(y), h), np.nan)
+        return method(y, h, **settings)
+    return guarded
 
 
 def _steps(h: int) -> np.ndarray:
@@ -60,9 +78,8 @@ def _smooth(y: np.ndarray, alphas=(0.05, 0.1, 0.2, 0.3, 0.5, 0.8)):
     return level[best, rows], np.asarray(alphas)[best], sd
 
 
+@_long_enough
 def seasonal_naive(y: np.ndarray, h: int):
-    if y.shape[1] <= SEASON:
-        return _flat(y[:, -1], np.diff(y, axis=1), h)
     mean = y[:, -SEASON:][:, np.arange(h) % SEASON]
     growth = np.sqrt(np.arange(h) // SEASON + 1)
     return mean, _sd(y[:, SEASON:] - y[:, :-SEASON]) * growth
@@ -86,16 +103,16 @@ def croston_sba(y: np.ndarray, h: int, alpha: float = 0.1):
     return _flat((1 - alpha / 2) * size / gap, errors, h)
 
 
+@_long_enough
 def ets(y: np.ndarray, h: int, damping: float = 0.95):
     """Additive damped-trend exponential smoothing, weights chosen per series from a grid."""
     n, months = y.shape
-    seasonal = months >= 2 * SEASON
-    grid = np.array([(a, b, g) for a in (0.05, 0.2, 0.5) for b in (0.0, 0.1) for g in ((0.0, 0.1, 0.3) if seasonal else (0.0,))])
+    grid = np.array([(a, b, g) for a in (0.05, 0.2, 0.5) for b in (0.0, 0.1) for g in (0.0, 0.1, 0.3)])
     a, b, g = (grid[:, i][:, None] for i in range(3))
     shape = (len(grid), n)
     level = np.broadcast_to(y[:, :SEASON].mean(axis=1), shape).copy()
     trend = np.zeros(shape)
-    season = np.broadcast_to(_seasonal_means(y) if seasonal else np.zeros((n, SEASON)), shape + (SEASON,)).copy()
+    season = np.broadcast_to(_seasonal_means(y), shape + (SEASON,)).copy()
     total, squares = np.zeros(shape), np.zeros(shape)
     for t in range(months):
         s = t % SEASON
@@ -112,10 +129,11 @@ def ets(y: np.ndarray, h: int, damping: float = 0.95):
     return mean, _running_sd(total, squares, months) * np.sqrt(1 + (_steps(h) - 1) * weight ** 2)
 
 
+@_long_enough
 def theta(y: np.ndarray, h: int):
     """Smoothing of the deseasonalised series with half of its linear drift."""
     n, months = y.shape
-    effects = _seasonal_means(y) if months >= 2 * SEASON else np.zeros((n, SEASON))
+    effects = _seasonal_means(y)
     position = np.arange(months) % SEASON
     x = y - effects[:, position]
     slope, _time = _slope(x)
@@ -146,11 +164,10 @@ def _autoregress(x: np.ndarray, order: int, h: int):
     return np.stack(ahead, axis=1), residual, aic / count
 
 
+@_long_enough
 def auto_ar(y: np.ndarray, h: int):
     """Autoregression of order 0-3 on the series or on its seasonal differences, best by criterion."""
     n, months = y.shape
-    if months < 2 * SEASON + 6:
-        return seasonal_naive(y, h)
     options = []
     for order in range(4):
         mean, residual, aic = _autoregress(y, order, h)
@@ -186,12 +203,13 @@ def fourier_trend(y: np.ndarray, h: int):
     return fit[:, months:], np.repeat(_sd(y - fit[:, :months]), h, axis=1)
 
 
+@_long_enough
 def mfles(y: np.ndarray, h: int, rounds: int = 10, rate: float = 0.5):
     """Boosted decomposition: median, then repeated damped fits of trend, waves and level."""
     n, months = y.shape
     t = np.arange(months + h)
     line = np.stack([np.ones(len(t)), t / months], axis=1)
-    bases = [line, _waves(t, 2)] if months >= 2 * SEASON else [line]
+    bases = [line, _waves(t, 2)]
     fit = np.repeat(np.median(y, axis=1)[:, None], months + h, axis=1)
     for _ in range(rounds):
         for base in bases:
@@ -208,14 +226,16 @@ MODELS = {
 AUTO_CANDIDATES = ("seasonal_naive", "ets", "theta", "croston_sba")
 
 
+@_long_enough
 def auto(y: np.ndarray, h: int):
-    """The candidate with the smallest error on the last year, refitted on everything."""
-    if y.shape[1] < 2 * SEASON:
-        return seasonal_naive(y, h)
+    """The candidate with the smallest error on the last year, refitted on everything.
+
+    Candidates that the months before the last year are too few for do not take part.
+    """
     candidates = [seasonal_naive if c == "seasonal_naive" else MODELS[c] for c in AUTO_CANDIDATES]
     past, recent = y[:, :-SEASON], y[:, -SEASON:]
     misses = np.stack([np.abs(np.maximum(f(past, SEASON)[0], 0) - recent).mean(axis=1) for f in candidates])
-    best = misses.argmin(axis=0)
+    best = np.nan_to_num(misses, nan=np.inf).argmin(axis=0)
     mean, sd = np.zeros((len(y), h)), np.zeros((len(y), h))
     for i, f in enumerate(candidates):
         chosen = best == i

@@ -22,7 +22,8 @@ from demandloom.functions.series import abs_error, clip0, ratio_interval, share_
 from demandloom.session import use_checkpoints
 
 
-ROWS_PER_TASK = 200_000
+#: tasks of a pass over the training rows, unless spark.demandloom.train.tasks says otherwise
+TRAIN_TASKS = 16
 
 
 def assembler() -> VectorAssembler:
@@ -33,14 +34,16 @@ def assembler() -> VectorAssembler:
 def vectors(frame: DataFrame):
     """Training rows as label and feature vector, held on executors while trees are grown.
 
-    Every tree level is a job over all partitions, so partitions far below a task's worth of
-    rows are read together; cached blocks stay where they are.
+    Split candidates are drawn by partition, in row order. So rows are placed by a hash of their
+    series into a stated number of partitions and sorted there: the same data and the same number
+    give the same trees on any cluster. Every tree level is a job over these partitions; raise
+    the number with the number of series.
     """
-    rows = assembler().transform(frame).select(F.col("qty").cast("double").alias("label"), "features")
-    held = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    tasks = int(frame.sparkSession.conf.get("spark.demandloom.train.tasks", str(TRAIN_TASKS)))
+    placed = frame.repartition(tasks, *spec.SERIES).sortWithinPartitions(*spec.SHIPMENT_KEY)
+    held = assembler().transform(placed).select(F.col("qty").cast("double").alias("label"), "features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        tasks = max(frame.sparkSession.sparkContext.defaultParallelism, -(-held.count() // ROWS_PER_TASK))
-        yield held.coalesce(tasks)
+        yield held
     finally:
         held.unpersist()
 

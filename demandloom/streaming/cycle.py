@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom import spec
-from demandloom.functions.calendar import month_end
+from demandloom.functions.calendar import latest, month_end
 from demandloom.operators import forecasting
 from demandloom.operators.accuracy import accuracy_all
-from demandloom.operators.demand import classify, route_series
+from demandloom.operators.demand import classify, enough_history, route_series
 from demandloom.operators.features import build_features, temporal_split, training_frame
 from demandloom.operators.quality import RULES, quality_counts
 from demandloom.plans import lifecycle
@@ -260,15 +260,18 @@ def score(ws: Workspace, gold: StoredGold, run_date: str) -> None:
 
 
 def grouped_forecasts(ws: Workspace, gold: StoredGold) -> None:
-    """One forecast of all series past the data, then the hidden last year appended to the same table."""
-    ship, table = gold.fct_shipments, f"{ws.database}.fct_forecast_ai"
-    ws.store(forecasting.grouped_forecast(ship), "fct_forecast_ai", evolve=True)
-    append_table(forecasting.backtest_holdout(ship), table)
+    """One forecast of all series past the data, then the hidden last year appended to the same table.
+
+    Series that the history gate refuses have no rows; `demand.history_gate` lists them.
+    """
+    ship, last = enough_history(gold.fct_shipments), latest(gold.fct_shipments)
+    ws.store(forecasting.grouped_forecast(ship, last_month=last), "fct_forecast_ai", evolve=True)
+    append_table(forecasting.backtest_holdout(ship, last_month=last), f"{ws.database}.fct_forecast_ai")
 
 
 def many_models(ws: Workspace, gold: StoredGold, use_case: str = "scm", models=tuple(forecasting.MODELS),
                 policy: str = "B") -> None:
-    """Backtest every model on every series, keep the best per series, route the hard ones, and score.
+    """Backtest every model on every series with enough history, keep the best per series, route the hard ones, and score.
 
     Each step is stored and the next reads it back, so that no fit runs twice and a lost
     executor costs a stage, not the run.
@@ -277,12 +280,12 @@ def many_models(ws: Workspace, gold: StoredGold, use_case: str = "scm", models=t
         ws.store(df, f"{use_case}_{name}", evolve=True)
         return ws.spark.table(f"{ws.database}.{use_case}_{name}")
 
-    ship = gold.fct_shipments
+    ship, last = enough_history(gold.fct_shipments), latest(gold.fct_shipments)
     train = stored(forecasting.mm_train(ship), "train_data")
     evaluation = stored(forecasting.mm_evaluate(train, models), "evaluation_output")
     stored(forecasting.mm_score(train, models), "scoring_output")
     best = forecasting.best_models(evaluation, ties="first")
-    routes = route_series(classify(ship, spec.SERIES), policy)
+    routes = route_series(classify(ship, spec.SERIES, last), policy)
     chosen = stored(forecasting.routed_models(best, routes), "best_models")
     stored(forecasting.evaluation_summary(chosen, gold.dim_item), "evaluation_summary")
     stored(forecasting.score_routed(train, chosen), "routed_forecasts")
