@@ -1,15 +1,17 @@
 """Quality classifier: interpolated modified Kneser-Ney over characters, one model a language.
 
 Trusted text is that of the documents labelled good (quality 1, toxic 0). A seeded hash of doc_id
-puts every fifth of them aside for the threshold; in all others the ORDER-grams are counted, and every lower order counts the distinct grams that extend it to the left (continuations). Discounts for counts 1, 2 and more come from the counts of counts. A language's
-alphabet is its SYMBOLS - 2 most frequent trusted characters; others share one symbol, and one
-stands before the text. Languages with under LEAST trusted characters share a pooled model.
-
-Which grams the documents hold is gathered over all of them, and the probability of each is put
-together by joins of count tables that are sharded by gram: its own discounted count, and its
-context's remaining weight times the shorter gram's probability, down to the uniform one. The
-result has at most SYMBOLS ** ORDER rows a language, whatever the input; scoring looks grams up in
-it, a group of languages of at most GROUP rows at a time.
+puts every fifth of them aside for the threshold; in all others the ORDER-grams are counted, and every lower order counts the distinct grams that extend it to the left (continuations). Discounts for counts 1, 2 and more come from the counts of counts.
+Every character is a symbol of its own: a UTF-16 unit, of which rare characters have two, so that a
+gram is 64 bits; one that is no character stands before the text. Languages with under LEAST
+trusted characters share a pooled model.
+
+Documents are dealt into blocks of about BLOCK characters by a hash. The distinct grams of each
+block are written, and the probability of each gram is put together by joins of count tables that
+are sharded by gram: its own discounted count, and its context's remaining weight times the shorter
+gram's probability, down to the uniform one. The grams of the blocks meet the finished table in a
+join by gram (a gram comes once a block, however often it occurs) and go back to the block's
+documents. All these tables grow with the input; none passes through the driver or is broadcast.
 
 A document's perplexity is that of its characters. One above the QUANTILE of the held-out trusted
 documents' perplexities in its language is rejected. Null and empty texts have no perplexity and are kept, as
@@ -20,129 +22,106 @@ several times are trusted if no label speaks against it.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandloom.llm import shared, wordcodes
 
-SYMBOLS, ORDER = 64, 4
+BITS, ORDER = 16, 4
+SYMBOLS = 1 << BITS
 #: share of trusted documents that may be rejected
 QUANTILE = 0.995
 LEAST = 20_000
 POOLED = "*"
 #: labels sent to every task: 8 bytes each; with more the labels are joined by shuffle
 BROADCAST_LABELS = 2_000_000
-GROUP = 16_000_000
+#: characters of a block; its documents and their grams are in one task's memory
+BLOCK = 16_000_000
 #: one in FOLDS trusted documents sets the threshold; the others are counted
 FOLDS, SEED = 5, 31
-_START, _OTHER = 0, 1
-
-
-def _points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The code points of all texts, and where each row begins."""
-    rows = [(t or "").encode("utf-32-le", "surrogatepass") for t in texts.to_pylist()]
-    at = np.concatenate([[0], np.cumsum([len(r) // 4 for r in rows])]).astype(np.int64)
-    return np.frombuffer(b"".join(rows), np.uint32), at
-
-
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch, _, _ in wordcodes.chunks(batches, "text"):
-        yield batch
-
-
-def _count_characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: dict = {}
-    for batch in _slices(batches):
-        points, at = _points(batch.column("text"))
-        lang = batch.column("model").to_pylist()
-        for name in sorted(set(lang)):
-            mine = np.repeat(np.array([x == name for x in lang]), np.diff(at))
-            seen, n = np.unique(points[mine], return_counts=True)
-            have = counts.setdefault(name, {})
-            for point, k in zip(seen.tolist(), n.tolist()):
-                have[point] = have.get(point, 0) + k
-    rows = [(name, point, k) for name, have in counts.items() for point, k in have.items()]
-    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int64()))], ["model", "point", "n"])
-
-
-class Alphabet:
-    """Symbols of each model's characters, as sorted code points and their numbers."""
-
-    def __init__(self, rows: list[tuple[str, int, int]]) -> None:
-        self.of: dict = {}
-        for name in {r[0] for r in rows}:
-            mine = sorted((point, rank + 2) for m, point, rank in rows if m == name)
-            self.of[name] = np.array([p for p, _ in mine], np.uint32), np.array([r for _, r in mine], np.int32)
-
-    def table(self, name: str) -> np.ndarray:
-        """Symbol of every code point of the first planes; others are _OTHER."""
-        points, symbols = self.of[name]
-        out = np.full(0x30000, _OTHER, np.int32)
-        out[np.minimum(points, 0x2FFFF)] = symbols
-        return out
-
-
-def _grams(batch: pa.RecordBatch, tables: dict) -> tuple[np.ndarray, np.ndarray]:
-    """The gram that ends at each character, as a number, and where each row begins."""
-    points, at = _points(batch.column("text"))
-    names = batch.column("model").to_pylist()
-    symbols = np.empty(len(points), np.int32)
-    for name in set(names):
-        mine = np.repeat(np.array([x == name for x in names]), np.diff(at))
-        symbols[mine] = tables[name][np.minimum(points[mine], 0x2FFFF)]
-    code = symbols.copy()
-    left = np.arange(len(points)) - np.repeat(at[:-1], np.diff(at))
+_START = 0xFFFF
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _released(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the queries that end in here are deleted with them, not when the driver collects garbage."""
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    with _released(df.sparkSession):
+        return shared.stored(df, path)
+
+
+def _units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-16 units of all texts, and where each row begins."""
+    rows = [(t or "").encode("utf-16-le", "surrogatepass") for t in texts.to_pylist()]
+    at = np.concatenate([[0], np.cumsum([len(r) // 2 for r in rows])]).astype(np.int64)
+    return np.frombuffer(b"".join(rows), np.uint16), at
+
+
+def _grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The gram that ends at each unit, as a number, and where each row begins."""
+    units, at = _units(texts)
+    code = units.astype(np.uint64)
+    left = np.arange(len(units)) - np.repeat(at[:-1], np.diff(at))
     for back in range(1, ORDER):
-        before = np.zeros(len(symbols), np.int32)
-        before[back:] = symbols[:-back] if back else symbols
+        before = np.full(len(units), _START, np.uint64)
+        before[back:] = units[:-back]
         before[left < back] = _START
-        code += before * np.int32(SYMBOLS ** back)
-    return code, at
+        code |= before << np.uint64(BITS * back)
+    return code.view(np.int64), at
 
 
 def _merged(parts: list) -> list:
     """Parts (codes, counts) as one, with each code once."""
     codes, which = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
-    return [(codes, np.bincount(which, np.concatenate([n for _, n in parts])).astype(np.int64))]
-
-
-def _count_grams(alphabet, pool: bool):
-    """Grams of a task's documents: how often in trusted text, and (with 0) that they occur at all.
-
-    With pool, trusted text of every language is counted for the pooled model as well.
-    """
-    def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = {name: alphabet.value.table(name) for name in alphabet.value.of}
-        total: dict = {}
-
-        def add(batch):
-            code, at = _grams(batch, tables)
-            names = np.array(batch.column("model").to_pylist(), object)
-            trusted = batch.column("trusted").to_numpy(zero_copy_only=False).astype(bool)
-            for name in set(names.tolist()):
-                parts = total.setdefault(name, [])
-                for good in (False, True):
-                    mine = np.repeat((names == name) & (trusted == good), np.diff(at))
-                    seen, n = np.unique(code[mine], return_counts=True)
-                    parts.append((seen, n if good else np.zeros_like(n)))
-                if sum(len(c) for c, _ in parts) > 2_000_000:
-                    total[name] = _merged(parts)
-
-        for batch in _slices(batches):
-            add(batch)
-            if pool:
-                other = batch.filter(pa.array([t and m != POOLED for t, m in zip(batch.column("trusted").to_pylist(), batch.column("model").to_pylist())]))
-                add(other.set_column(other.schema.get_field_index("model"), "model", pa.array([POOLED] * other.num_rows, pa.string())))
-        for name, parts in total.items():
-            (codes, n), = _merged(parts)
-            for at in range(0, len(codes), 50_000):
-                part = slice(at, at + 50_000)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(codes[part]), pa.string()), pa.array(codes[part].astype(np.int64)), pa.array(n[part])], ["model", "code", "n"])
-    return count_grams
+    return [(codes, np.bincount(which, np.concatenate([n for _, n in parts]), len(codes)).astype(np.int64))]
+
+
+def _block_grams(block: pa.Table) -> pa.Table:
+    """Grams of a block's documents: how often in text to count, and (with 0) that they occur at all."""
+    total: dict = {}
+    for batch, _, _ in wordcodes.chunks(block.to_batches(), "text"):
+        code, at = _grams(batch.column("text"))
+        names = np.array(batch.column("lang").to_pylist(), object)
+        counted = batch.column("counted").to_numpy(zero_copy_only=False).astype(bool)
+        for name in set(names.tolist()):
+            parts = total.setdefault(name, [])
+            for good in (False, True):
+                seen, n = np.unique(code[np.repeat((names == name) & (counted == good), np.diff(at))], return_counts=True)
+                parts.append((seen, n if good else np.zeros_like(n)))
+            if sum(len(c) for c, _ in parts) > 1_000_000:
+                total[name] = _merged(parts)
+    found = [(name, *_merged(parts)[0]) for name, parts in total.items()]
+    number = block.column("block")[0].as_py()
+    return pa.table({
+        "block": pa.array(np.full(sum(len(codes) for _, codes, _ in found), number, np.int64)),
+        "lang": pa.array(np.repeat(np.array([name for name, _, _ in found], object), [len(codes) for _, codes, _ in found]), pa.string()),
+        "code": pa.array(np.concatenate([np.empty(0, np.int64), *[codes for _, codes, _ in found]])),
+        "n": pa.array(np.concatenate([np.empty(0, np.int64), *[n for _, _, n in found]])),
+    })
+
+
+def _context(code: str) -> Column:
+    """The gram without its last symbol."""
+    return F.shiftrightunsigned(code, BITS)
+
+
+def _last(code: str, k: int) -> Column:
+    """The last k symbols of a gram; k is under ORDER."""
+    return F.col(code).bitwiseAND(F.lit((1 << BITS * k) - 1))
 
 
 def _discounted(counts: DataFrame) -> DataFrame:
@@ -156,7 +135,7 @@ def _discounted(counts: DataFrame) -> DataFrame:
         return F.coalesce(F.when((fitted > 0) & (fitted < k), fitted), F.lit(fall_back))
 
     d = of_counts.select("model", *[discount(k, 0.5 + 0.25 * (k - 1)).alias(f"d{k}") for k in (1, 2, 3)])
-    rows = counts.join(d, "model").withColumn("context", F.floor(F.col("code") / SYMBOLS))
+    rows = counts.join(F.broadcast(d), "model").withColumn("context", _context("code"))
     taken = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
     rows = rows.withColumn("taken", F.least(taken, F.col("n").cast("double")))
     contexts = rows.groupBy("model", "context").agg(F.sum("n").alias("total"), F.sum("taken").alias("taken_"))
@@ -168,46 +147,50 @@ def probabilities(counts: DataFrame, wanted: DataFrame, folder: str) -> DataFram
     """(model, code, logp) of the wanted(model, code) grams, from counts(model, code, n)."""
     orders = {ORDER: counts}
     for k in range(ORDER - 1, 0, -1):
-        size = SYMBOLS ** k
-        orders[k] = orders[k + 1].groupBy("model", (F.col("code") % size).alias("code")).agg(F.count("*").alias("n"))
+        orders[k] = orders[k + 1].groupBy("model", _last("code", k).alias("code")).agg(F.count("*").alias("n"))
     asked = {ORDER: wanted.distinct()}
     for k in range(ORDER - 1, 0, -1):
-        asked[k] = asked[k + 1].select("model", (F.col("code") % SYMBOLS ** k).alias("code")).distinct()
+        asked[k] = asked[k + 1].select("model", _last("code", k).alias("code")).distinct()
     shorter = None
     for k in range(1, ORDER + 1):
-        model = shared.stored(_discounted(orders[k]), f"{folder}/order-{k}")
+        model = _stored(_discounted(orders[k]), f"{folder}/order-{k}")
         rest = model.select("model", "context", "rest").distinct()
-        rows = (asked[k].withColumn("context", F.floor(F.col("code") / SYMBOLS))
+        rows = (asked[k].withColumn("context", _context("code"))
                 .join(model.select("model", "code", "own"), ["model", "code"], "left").join(rest, ["model", "context"], "left"))
         if shorter is None:
             low = F.lit(1.0 / SYMBOLS)
         else:
-            rows = (rows.withColumn("tail", F.col("code") % SYMBOLS ** (k - 1))
+            rows = (rows.withColumn("tail", _last("code", k - 1))
                     .join(shorter.select("model", F.col("code").alias("tail"), F.col("p").alias("low")), ["model", "tail"]))
             low = F.col("low")
         p = F.coalesce("own", F.lit(0.0)) + F.coalesce("rest", F.lit(1.0)) * low
-        shorter = shared.stored(rows.select("model", "code", p.alias("p")), f"{folder}/p-{k}")
+        shorter = _stored(rows.select("model", "code", p.alias("p")), f"{folder}/p-{k}")
     return shorter.select("model", "code", F.log("p").alias("logp"))
 
 
-def _score(tables, alphabet, keep: tuple[str, ...], name: str):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logp, letters = tables.value, {}
-        for batch in _slices(batches):
-            for model in set(batch.column("model").to_pylist()) - set(letters):
-                letters[model] = alphabet.value.table(model)
-            code, at = _grams(batch, letters)
-            names = batch.column("model").to_pylist()
-            value = np.zeros(len(code) + 1)
-            for model in set(names):
-                mine = np.flatnonzero(np.repeat(np.array([x == model for x in names]), np.diff(at)))
-                codes, logs = logp[model]
-                value[mine] = logs[np.searchsorted(codes, code[mine])]
+def _score(keep: tuple[str, ...], text: str, lang: str, name: str):
+    """A block's documents with their perplexity, from the block's rows (lang, code, logp)."""
+    def score(block: pa.Table, found: pa.Table) -> pa.Table:
+        of, codes, logs = found.column("lang").to_numpy(), found.column("code").to_numpy(), found.column("logp").to_numpy()
+        tables = {}
+        for model in set(of.tolist()):
+            mine = np.flatnonzero(of == model)
+            mine = mine[np.argsort(codes[mine])]
+            tables[model] = codes[mine], logs[mine]
+        out = [np.empty(0)]
+        for batch, _, _ in wordcodes.chunks(block.to_batches(), text):
+            code, at = _grams(batch.column(text))
+            names = np.array(batch.column(lang).to_pylist(), object)
+            value = np.zeros(len(code))
+            for model in set(names.tolist()) & set(tables):
+                mine = np.flatnonzero(np.repeat(names == model, np.diff(at)))
+                known, logp = tables[model]
+                value[mine] = logp[np.searchsorted(known, code[mine])]
             sums = np.concatenate([[0.0], np.cumsum(value)])
             n = np.diff(at)
-            per = np.exp(-(sums[at[1:]] - sums[at[:-1]]) / np.maximum(n, 1))
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in keep], pa.array(per, mask=n == 0)], [*keep, name])
+            out.append(np.where(n > 0, np.exp(-(sums[at[1:]] - sums[at[:-1]]) / np.maximum(n, 1)), np.nan))
+        per = np.concatenate(out)
+        return block.select(keep).append_column(name, pa.array(per, mask=np.isnan(per)))
     return score
 
 
@@ -220,85 +203,54 @@ def _marked(docs: DataFrame, labels: DataFrame, trusted: str, lang: str) -> Data
             .drop("labelled_id").withColumn(trusted, F.coalesce(trusted, F.lit(False))))
 
 
-def scored(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> tuple[DataFrame, list[str]]:
+def scored(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, without: tuple[str, ...] = ()) -> tuple[DataFrame, list[str]]:
     """docs with five columns more, and their names: the language's key, trusted, perplexity, the
-    language's threshold, kept."""
+    language's threshold, kept. Columns named in `without` are left out."""
     spark = docs.sparkSession
     folder = shared.workspace(spark, "quality")
-    lang, trusted, perplexity, threshold, kept = added = shared.fresh(docs, "language", "trusted", "perplexity", "threshold", "kept")
+    lang, trusted, perplexity, threshold, kept, block_, model_ = shared.fresh(
+        docs, "language", "trusted", "perplexity", "threshold", "kept", "block", "model")
+    added = [lang, trusted, perplexity, threshold, kept]
     labels = labels.select("doc_id", "quality", "toxic")
     marked = _marked(docs, labels, trusted, lang)
     held_out = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(FOLDS)) == 0
-    plain = marked.select(F.col(lang).alias("lang"), (F.col(trusted) & ~held_out).alias("trusted"), F.coalesce("text", F.lit("")).alias("text"))
-
-    # alphabets, and which languages have a model of their own; every trusted text is read for both
-    seen = plain.filter("trusted").select(F.col("lang").alias("model"), "text").mapInArrow(_count_characters, "model string, point long, n long")
-    seen = shared.stored(seen.groupBy("model", "point").agg(F.sum("n").alias("n")), f"{folder}/characters")
-    own = [r.model for r in seen.groupBy("model").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST).select("model").collect()]
-    pooled = seen.groupBy("point").agg(F.sum("n").alias("n")).select(F.lit(POOLED).alias("model"), "point", "n")
-    rank = F.row_number().over(Window.partitionBy("model").orderBy(F.col("n").desc(), "point")) - 1
-    alphabet = (seen.filter(F.col("model").isin(own)).unionByName(pooled).withColumn("rank", rank)
-                .filter(F.col("rank") < SYMBOLS - 2).select("model", "point", "rank").collect())
-    if not alphabet:
-        out = marked.withColumns({perplexity: F.lit(None).cast("double"), threshold: F.lit(None).cast("double"), kept: F.lit(True)})
+    sizes = marked.groupBy(lang).agg(F.sum(F.length("text")).alias("n"), F.sum(F.when(F.col(trusted) & ~held_out, F.length("text"))).alias("good")).collect()
+    if not any(r.good for r in sizes):
+        out = marked.drop(*without).withColumns({perplexity: F.lit(None).cast("double"), threshold: F.lit(None).cast("double"), kept: F.lit(True)})
         return out, added
-    alphabet = spark.sparkContext.broadcast(Alphabet([tuple(r) for r in alphabet]))
-    model = F.when(F.col("lang").isin(own), F.col("lang")).otherwise(F.lit(POOLED)) if own else F.lit(POOLED)
-
-    pool = not own or not plain.filter(~F.col("lang").isin(own)).isEmpty()
-    counted = plain.select(model.alias("model"), "trusted", "text").mapInArrow(_count_grams(alphabet, pool), "model string, code long, n long")
-    counted = shared.stored(counted.groupBy("model", "code").agg(F.sum("n").alias("n")), f"{folder}/grams")
-    logp = shared.stored(probabilities(counted.filter("n > 0"), counted.select("model", "code"), folder), f"{folder}/logp")
-
-    (model_,) = shared.fresh(marked, "model")
-    keyed = marked.withColumn(model_, F.when(F.col(lang).isin(own), F.col(lang)).otherwise(F.lit(POOLED)) if own else F.lit(POOLED))
-    sizes = {r.model: r.n for r in logp.groupBy("model").agg(F.count("*").alias("n")).collect()}
-    tables = []
-    for group in _groups(sizes, GROUP):
-        table = logp.filter(F.col("model").isin(group)).toArrow().sort_by([("model", "ascending"), ("code", "ascending")])
-        names, codes, logs = np.array(table.column("model").to_pylist()), table.column("code").to_numpy().astype(np.int32), table.column("logp").to_numpy()
-        tables.append((group, spark.sparkContext.broadcast({m: (codes[names == m], logs[names == m]) for m in group})))
-
-    def score(rows: DataFrame) -> DataFrame:
-        out = None
-        for group, table in tables:
-            part = rows if len(tables) == 1 else rows.filter(F.col(model_).isin(group))
-            part = _scored_part(part, model_, table, alphabet, perplexity)
-            out = part if out is None else out.unionByName(part)
-        return out
-
-    judged = score(keyed.filter(F.col(trusted) & held_out).select("text", model_))
-    limits = judged.groupBy(model_).agg(F.percentile_approx(perplexity, quantile, 100_000)).collect()
-    limit = F.lit(None).cast("double")
-    for name, value in limits:
-        limit = F.when(F.col(model_) == name, F.lit(value)).otherwise(limit)
-    out = score(keyed).withColumn(threshold, limit).withColumn(kept, F.coalesce(F.col(perplexity) <= F.col(threshold), F.lit(True)))
-    return out.drop(model_), added
-
-
-def _groups(sizes: dict, most: int) -> list[list[str]]:
-    out, room = [], 0
-    for name in sorted(sizes):
-        if not out or sizes[name] > room:
-            out.append([])
-            room = most
-        out[-1].append(name)
-        room -= sizes[name]
-    return out
-
-
-def _scored_part(rows: DataFrame, model: str, tables, alphabet, perplexity: str) -> DataFrame:
-    keep = tuple(rows.columns)
-    plain = rows.withColumnRenamed(model, "model") if model != "model" else rows
-    columns = tuple("model" if c == model else c for c in keep)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema) + f", `{perplexity}` double"
-    scored_ = plain.mapInArrow(_score(tables, alphabet, columns, perplexity), schema)
-    return scored_.withColumnRenamed("model", model) if model != "model" else scored_
+    own = [r[lang] for r in sizes if (r.good or 0) >= LEAST]
+    blocks = max(shared.partitions(spark), -(-sum(r.n or 0 for r in sizes) // BLOCK))
+    marked = marked.withColumn(block_, F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
+
+    def model(name: str) -> Column:
+        return F.when(F.col(name).isin(own), F.col(name)).otherwise(F.lit(POOLED)) if own else F.lit(POOLED)
+
+    plain = marked.select(F.col(block_).alias("block"), F.col(lang).alias("lang"), (F.col(trusted) & ~held_out).alias("counted"), "text")
+    grams = plain.groupBy("block").applyInArrow(_block_grams, "block long, lang string, code long, n long")
+    grams = _stored(grams.withColumn("model", model("lang")), f"{folder}/grams")
+    counts = grams.filter("n > 0").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    pooled = counts.groupBy("code").agg(F.sum("n").alias("n")).select(F.lit(POOLED).alias("model"), "code", "n")
+    counts = counts.filter(F.col("lang").isin(own)).select(F.col("lang").alias("model"), "code", "n")
+    counts = _stored(counts if len(own) == len(sizes) else counts.unionByName(pooled), f"{folder}/counts")
+    logp = probabilities(counts, grams.select("model", "code"), folder)
+    found = _stored(grams.select("block", "lang", "model", "code").join(logp, ["model", "code"]).select("block", "lang", "code", "logp"), f"{folder}/found")
+
+    def score(rows: DataFrame, *drop: str) -> DataFrame:
+        keep = tuple(c for c in rows.columns if c not in (block_, *drop))
+        schema = T.StructType([T.StructField(c, rows.schema[c].dataType) for c in keep]).add(perplexity, "double")
+        return rows.groupBy(block_).cogroup(found.groupBy("block")).applyInArrow(_score(keep, "text", lang, perplexity), schema)
+
+    judged = score(marked.filter(F.col(trusted) & held_out).select(block_, lang, "text"), "text").withColumn(model_, model(lang))
+    limits = judged.groupBy(model_).agg(F.percentile_approx(perplexity, quantile, 100_000).alias(threshold))
+    with _released(spark):
+        limits = spark.createDataFrame(limits.collect(), limits.schema)
+    out = score(marked, *without).withColumn(model_, model(lang)).join(F.broadcast(limits), model_, "left").drop(model_)
+    return out.withColumn(kept, F.coalesce(F.col(perplexity) <= F.col(threshold), F.lit(True))), added
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """doc_id, lang, perplexity, threshold and kept of every document."""
-    out, (_, _, perplexity, threshold, kept) = scored(docs.select("doc_id", "text", "lang"), labels, quantile)
+    out, (_, _, perplexity, threshold, kept) = scored(docs.select("doc_id", "text", "lang"), labels, quantile, without=("text",))
     return out.select("doc_id", "lang", F.round(perplexity, 9).alias("perplexity"), F.round(threshold, 9).alias("threshold"), F.col(kept).alias("kept"))
 
 

@@ -308,3 +308,68 @@ def test_probabilities_sum_to_one(spark, folder):
     wanted = spark.createDataFrame([("m", context * quality.SYMBOLS + k) for k in range(quality.SYMBOLS)], "model string, code long")
     total = sum(np.exp(r.logp) for r in quality.probabilities(table, wanted, folder).collect())
     assert abs(total - 1) < 1e-9
+
+
+def test_quality_tells_characters_apart(spark):
+    """A script of more letters than 62: each is a symbol of its own."""
+    rng = random.Random(8)
+    letters = [chr(0x4E00 + k) for k in range(3000)]
+    words = ["".join(rng.choices(letters, k=3)) for _ in range(400)]
+    good = lambda: "".join(rng.choices(words, k=60))
+    shuffled = lambda: "".join(rng.choices(letters, k=180))
+    rows = [(k, good() if k < 800 else shuffled(), "zh") for k in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(500)], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id for r in quality.classify(docs, labels).collect() if r.kept}
+    assert not kept & set(range(800, 900)) and len(kept) >= 780
+
+
+def _perplexity(counts, text, order=quality.ORDER):
+    """Plain Kneser-Ney over UTF-16 units, units before the text being -1."""
+    levels = {order: counts}
+    for k in range(order - 1, 0, -1):
+        levels[k] = Counter(g[1:] for g in levels[k + 1])
+    d = {}
+    for k, level in levels.items():
+        of = Counter(level.values())
+        y = of[1] / (of[1] + 2 * of[2]) if of[1] + 2 * of[2] else None
+        d[k] = []
+        for c in (1, 2, 3):
+            fitted = c - (c + 1) * y * of[c + 1] / of[c] if y is not None and of[c] else -1
+            d[k].append(fitted if 0 < fitted < c else 0.5 + 0.25 * (c - 1))
+
+    sums = {k: Counter() for k in levels}
+    taken = {k: Counter() for k in levels}
+    for k, level in levels.items():
+        for g, n in level.items():
+            sums[k][g[:-1]] += n
+            taken[k][g[:-1]] += min(n, d[k][min(n, 3) - 1])
+
+    def p(g):
+        k = len(g)
+        low = p(g[1:]) if k > 1 else 1 / quality.SYMBOLS
+        n, total = levels[k].get(g, 0), sums[k].get(g[:-1])
+        if not total:
+            return low
+        return (n - min(n, d[k][min(n, 3) - 1]) if n else 0) / total + taken[k][g[:-1]] / total * low
+
+    grams = _units(text, order)
+    return float(np.exp(-np.mean([np.log(p(g)) for g in grams])))
+
+
+def _units(text, order=quality.ORDER):
+    u = [-1] * (order - 1) + list(np.frombuffer(text.encode("utf-16-le"), np.uint16).tolist())
+    return [tuple(u[k:k + order]) for k in range(len(u) - order + 1)]
+
+
+def test_quality_equals_brute_force(spark):
+    rng = random.Random(3)
+    alphabet = [chr(0x61 + k) for k in range(26)] + [chr(0x3040 + k) for k in range(80)] + ["😀", "𠀀", " "]
+    rows = [(k, "".join(rng.choices(alphabet, weights=range(1, len(alphabet) + 1), k=rng.randint(1, 300))), "ja") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(200)], "doc_id long, quality int, toxic int")
+    held = {r.doc_id for r in docs.filter(f"pmod(xxhash64(doc_id, {quality.SEED}), {quality.FOLDS}) = 0").collect()}
+    counts = Counter(g for k, text, _ in rows if k < 200 and k not in held for g in _units(text))
+    out = {r.doc_id: r.perplexity for r in quality.classify(docs, labels).collect()}
+    for k, text, _ in rows[::7]:
+        assert out[k] == pytest.approx(_perplexity(counts, text), rel=1e-6)
