@@ -3,8 +3,8 @@
 Trusted text is that of the documents labelled good (quality 1, toxic 0). A seeded hash of doc_id
 puts every fifth of them aside for the threshold; in all others the ORDER-grams are counted, and every lower order counts the distinct grams that extend it to the left (continuations). Discounts for counts 1, 2 and more come from the counts of counts.
 Every character is a symbol of its own: a UTF-16 unit, of which rare characters have two, so that a
-gram is 64 bits; one that is no character stands before the text. Languages with under LEAST
-trusted characters share a pooled model.
+gram is 64 bits; one that is no character stands before the text. Each language has its own model
+and threshold, however little trusted text it has.
 
 Documents are dealt into blocks of about BLOCK characters by a hash. The distinct grams of each
 block are written, and the probability of each gram is put together by joins of count tables that
@@ -14,8 +14,8 @@ join by gram (a gram comes once a block, however often it occurs) and go back to
 documents. All these tables grow with the input; none passes through the driver or is broadcast.
 
 A document's perplexity is that of its characters. One above the QUANTILE of the held-out trusted
-documents' perplexities in its language is rejected. Null and empty texts have no perplexity and are kept, as
-are all documents of a model without trusted ones. A null language is one of its own. Documents labelled
+documents' perplexities in its language is rejected; of under 200 such documents that is the largest. Null and empty texts have no perplexity and are kept, as
+are all documents of a language without counted or without held-out trusted text. A null language is one of its own. Documents labelled
 several times are trusted if no label speaks against it.
 """
 
@@ -36,8 +36,6 @@ BITS, ORDER = 16, 4
 SYMBOLS = 1 << BITS
 #: share of trusted documents that may be rejected
 QUANTILE = 0.995
-LEAST = 20_000
-POOLED = "*"
 #: labels sent to every task: 8 bytes each; with more the labels are joined by shuffle
 BROADCAST_LABELS = 2_000_000
 #: characters of a block; its documents and their grams are in one task's memory
@@ -208,8 +206,8 @@ def scored(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, witho
     language's threshold, kept. Columns named in `without` are left out."""
     spark = docs.sparkSession
     folder = shared.workspace(spark, "quality")
-    lang, trusted, perplexity, threshold, kept, block_, model_ = shared.fresh(
-        docs, "language", "trusted", "perplexity", "threshold", "kept", "block", "model")
+    lang, trusted, perplexity, threshold, kept, block_ = shared.fresh(
+        docs, "language", "trusted", "perplexity", "threshold", "kept", "block")
     added = [lang, trusted, perplexity, threshold, kept]
     labels = labels.select("doc_id", "quality", "toxic")
     marked = _marked(docs, labels, trusted, lang)
@@ -218,33 +216,27 @@ def scored(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, witho
     if not any(r.good for r in sizes):
         out = marked.drop(*without).withColumns({perplexity: F.lit(None).cast("double"), threshold: F.lit(None).cast("double"), kept: F.lit(True)})
         return out, added
-    own = [r[lang] for r in sizes if (r.good or 0) >= LEAST]
+    own = [r[lang] for r in sizes if r.good]
     blocks = max(shared.partitions(spark), -(-sum(r.n or 0 for r in sizes) // BLOCK))
     marked = marked.withColumn(block_, F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
 
-    def model(name: str) -> Column:
-        return F.when(F.col(name).isin(own), F.col(name)).otherwise(F.lit(POOLED)) if own else F.lit(POOLED)
-
     plain = marked.select(F.col(block_).alias("block"), F.col(lang).alias("lang"), (F.col(trusted) & ~held_out).alias("counted"), "text")
     grams = plain.groupBy("block").applyInArrow(_block_grams, "block long, lang string, code long, n long")
-    grams = _stored(grams.withColumn("model", model("lang")), f"{folder}/grams")
-    counts = grams.filter("n > 0").groupBy("lang", "code").agg(F.sum("n").alias("n"))
-    pooled = counts.groupBy("code").agg(F.sum("n").alias("n")).select(F.lit(POOLED).alias("model"), "code", "n")
-    counts = counts.filter(F.col("lang").isin(own)).select(F.col("lang").alias("model"), "code", "n")
-    counts = _stored(counts if len(own) == len(sizes) else counts.unionByName(pooled), f"{folder}/counts")
+    grams = _stored(grams, f"{folder}/grams").withColumnRenamed("lang", "model")
+    counts = _stored(grams.filter("n > 0").groupBy("model", "code").agg(F.sum("n").alias("n")), f"{folder}/counts")
     logp = probabilities(counts, grams.select("model", "code"), folder)
-    found = _stored(grams.select("block", "lang", "model", "code").join(logp, ["model", "code"]).select("block", "lang", "code", "logp"), f"{folder}/found")
+    found = _stored(grams.select("block", "model", "code").join(logp, ["model", "code"]).select("block", F.col("model").alias("lang"), "code", "logp"), f"{folder}/found")
 
     def score(rows: DataFrame, *drop: str) -> DataFrame:
         keep = tuple(c for c in rows.columns if c not in (block_, *drop))
         schema = T.StructType([T.StructField(c, rows.schema[c].dataType) for c in keep]).add(perplexity, "double")
         return rows.groupBy(block_).cogroup(found.groupBy("block")).applyInArrow(_score(keep, "text", lang, perplexity), schema)
 
-    judged = score(marked.filter(F.col(trusted) & held_out).select(block_, lang, "text"), "text").withColumn(model_, model(lang))
-    limits = judged.groupBy(model_).agg(F.percentile_approx(perplexity, quantile, 100_000).alias(threshold))
+    judged = score(marked.filter(F.col(trusted) & held_out & F.col(lang).isin(own)).select(block_, lang, "text"), "text")
+    limits = judged.groupBy(lang).agg(F.percentile_approx(perplexity, quantile, 100_000).alias(threshold))
     with _released(spark):
         limits = spark.createDataFrame(limits.collect(), limits.schema)
-    out = score(marked, *without).withColumn(model_, model(lang)).join(F.broadcast(limits), model_, "left").drop(model_)
+    out = score(marked, *without).join(F.broadcast(limits), lang, "left")
     return out.withColumn(kept, F.coalesce(F.col(perplexity) <= F.col(threshold), F.lit(True))), added
 
 

@@ -373,3 +373,16 @@ def test_quality_equals_brute_force(spark):
     out = {r.doc_id: r.perplexity for r in quality.classify(docs, labels).collect()}
     for k, text, _ in rows[::7]:
         assert out[k] == pytest.approx(_perplexity(counts, text), rel=1e-6)
+
+
+def test_quality_thresholds_by_language(spark):
+    rng = random.Random(12)
+    text = lambda letters: " ".join("".join(rng.choices(letters, k=4)) for _ in range(12))
+    rows = [(k, text("abcde") if k % 6 else text("абвгдежзик"), "aa" if k % 6 else "bb") for k in range(300)] + [(900 + k, text("xyz"), "cc") for k in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(200)], "doc_id long, quality int, toxic int")
+    held = {r.doc_id for r in docs.filter(f"doc_id < 200 AND pmod(xxhash64(doc_id, {quality.SEED}), {quality.FOLDS}) = 0").collect()}
+    out = quality.classify(docs, labels).collect()
+    for lang in ("aa", "bb"):
+        assert {r.threshold for r in out if r.lang == lang} == {max(r.perplexity for r in out if r.lang == lang and r.doc_id in held)}
+    assert all(r.kept and r.threshold is None for r in out if r.lang == "cc")
