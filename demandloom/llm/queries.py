@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandloom.llm import decontam, fingerprint, mixture, neardup, quality, secretscan, shards, substrings, urlfilter, warc
+from demandloom.llm import (align, audit, decontam, fingerprint, jaccard, mixture, neardup, quality, secretscan, shards,
+                            substrings, urlfilter, warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,18 +58,33 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeated(_table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignments(_table(spark, sf_dir, "documents"))
+
+
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.joined(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_secret_scan, op2_sharding, op3_minhash_dedup, op4_warc, op5_fingerprint,
-    op6_url_filter, op7_decontamination, op8_quality, op9_mixing, op10_substring_dedup)}
+    op6_url_filter, op7_decontamination, op8_quality, op9_mixing, op10_substring_dedup,
+    op11_filter_audit, op12_token_alignment, op13_jaccard_join)}
 
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
-OP3 = rf"""
-WITH RECURSIVE words AS (
+
+def _components(width: int) -> str:
+    """Documents, the sizes of their shingle sets, and the smallest doc_id that links of 0.8 reach."""
+    return rf"""WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(string_split_regex({_LOW}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 shingles AS (
-  SELECT DISTINCT doc_id, CASE WHEN len(w) < 4 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 3], ' ') END AS s
-  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM words WHERE len(w) > 0)),
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < {width} THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + {width} - 1], ' ') END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {width} + 2, 2))) AS i FROM words WHERE len(w) > 0)),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 common AS (
   SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
@@ -81,10 +97,14 @@ reach AS (
   UNION
   SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
 roots AS (SELECT a, min(b) AS root FROM reach GROUP BY a)
-SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, root AS component_id, d.doc_id = root AS kept
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, root AS component_id
 FROM documents d JOIN roots ON roots.a = d.doc_id LEFT JOIN sizes ON sizes.doc_id = d.doc_id
 """
 
+
+OP3 = f"SELECT *, doc_id = component_id AS kept FROM ({_components(4)})"
+OP13 = _components(5)
+
 OP4 = """
 WITH digests AS (
   SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
@@ -134,4 +154,39 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
 FROM words LEFT JOIN left_over USING (doc_id)
 """
 
-ORACLES = {"op3_minhash_dedup": OP3, "op4_warc": OP4, "op7_decontamination": OP7, "op10_substring_dedup": OP10}
+OP11 = r"""
+WITH copies AS (SELECT coalesce(text, '') AS t, min(doc_id) AS first FROM documents GROUP BY 1),
+texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w, first
+  FROM (SELECT *, coalesce(text, '') AS t FROM documents) JOIN copies USING (t)),
+marks AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+failed AS (
+  SELECT part, (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+    + 4 * (100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t))::INT
+    + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(first < doc_id, false)::INT AS mask,
+    coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM texts LEFT JOIN marks USING (doc_id)),
+counted AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic FROM failed GROUP BY part, mask),
+letters AS (SELECT unnest(range(0, 5)) AS k),
+orders AS (
+  SELECT [a.k, b.k, c.k, d.k, e.k] AS ks FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5),
+steps AS (
+  SELECT list_aggregate(list_transform(ks, lambda k: substr('ABCDE', k + 1, 1)), 'string_agg', '') AS filter_order, step,
+    1 << ks[step] AS bit, coalesce(list_sum(list_transform(ks[1:step - 1], lambda k: 1 << k)), 0)::INT AS earlier
+  FROM orders, (SELECT unnest(range(1, 6))::INT AS step)),
+applied AS (
+  SELECT part, filter_order, step, bit,
+    coalesce(sum(n) FILTER (mask & (earlier | bit) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (mask & earlier = 0 AND mask & bit <> 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (mask & earlier <> 0 AND mask & bit <> 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+    coalesce(sum(n_good) FILTER (mask & earlier = 0 AND mask & bit <> 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(n_toxic) FILTER (mask & earlier = 0 AND mask & bit <> 0), 0)::BIGINT AS toxic_lost
+  FROM counted, steps GROUP BY part, filter_order, step, bit)
+SELECT * EXCLUDE (bit), (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM applied
+"""
+
+ORACLES = {"op3_minhash_dedup": OP3, "op4_warc": OP4, "op7_decontamination": OP7, "op10_substring_dedup": OP10,
+           "op11_filter_audit": OP11, "op13_jaccard_join": OP13}
