@@ -8,14 +8,15 @@ r = 1 - percent / 100. That distance is a metric.
 Documents with one and the same set are one point, so copies cost nothing. At a distance below 1 two
 sets share a shingle, and with shingles in one fixed order, rare ones first, linked sets share one
 within the first (1 - t) n + 1 of either: the points that have such a shingle in common are a first
-region, and every linked pair lies together in one. Its pivot is one of its points:
+region, and every linked pair lies together in one. Sizes of linked sets differ by a factor of at most
+1/t: regions are cut by classes of size, each with the next smaller one's points as its boundary. A
+region's pivot is one of its points:
 
 * all points of a region are measured against its pivot, exactly. Those within r are linked with it,
   and so are in one component with each other: no pair of them is looked at;
 * by the triangle inequality linked points differ by at most r in their distance to the pivot. The
   region is cut into shells of that width, and each shell takes the points of the next inner one as
-  its boundary: a linked pair is together in the outer one's shell. Sizes of linked sets differ by
-  a factor of at most 1/t, so that classes of size, with a boundary too, cut the shells further;
+  its boundary: a linked pair is together in the outer one's shell;
 * a shell whose points are already in one component is done. Each other one is a region of the next
   round, without the pivot, and takes a pivot of its own from its inner points.
 
@@ -121,7 +122,7 @@ def _linked(percent: int) -> Column:
 def _contracted(links: DataFrame, roots: DataFrame | None, folder: str) -> DataFrame:
     """(node, root) after more links: they join whole components of the roots found before."""
     if roots is None:
-        return shared.stored(components(links, folder), f"{folder}/out")
+        return shared.stored_alone(components(links, folder), f"{folder}/out")
     ends = links
     for side in ("a", "b"):
         known = roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
@@ -129,7 +130,7 @@ def _contracted(links: DataFrame, roots: DataFrame | None, folder: str) -> DataF
     among = components(ends.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")), folder)
     moved = among.select(F.col("node").alias("root"), F.col("root").alias("moved"))
     out = roots.join(moved.hint("merge"), "root", "left").select("node", F.coalesce("moved", "root").alias("root"))
-    return shared.stored(out.unionByName(among.join(roots.hint("merge"), "node", "left_anti").select("node", "root")), f"{folder}/out")
+    return shared.stored_alone(out.unionByName(among.join(roots.hint("merge"), "node", "left_anti").select("node", "root")), f"{folder}/out")
 
 
 def _classes(percent: int) -> Column:
@@ -137,18 +138,26 @@ def _classes(percent: int) -> Column:
     return F.floor(F.log(F.col("n_shingles").cast("double")) / F.lit(float(-np.log(percent / 100))) * (1 - 1e-9)).cast("long")
 
 
+def _sized(members: DataFrame, percent: int) -> DataFrame:
+    """members(region, node, n_shingles, root) dealt into classes of size: each point is an upper one of
+    its own class and a boundary point of the next."""
+    ways = F.explode(F.array(F.lit(0), F.lit(1)))
+    return members.withColumn("class", _classes(percent)).withColumn("way", ways).select(
+        F.xxhash64("region", F.col("class") + F.col("way")).alias("region"), "node", "n_shingles", F.lit(True).alias("inner"),
+        (F.col("way") == 0).alias("upper"), "root")
+
+
 def _shells(members: DataFrame, percent: int) -> DataFrame:
-    """members(region, node, n_shingles, both, either, root) of measured regions, dealt into shells.
+    """members(region, node, n_shingles, both, either, root) of measured regions, dealt into shells and classes of size.
 
-    Each point is an inner one of its own shell and size class and a boundary point of the next ones.
+    Each point is an inner one of its own shell and a boundary point of the next. Which of two points
+    is further out and which is larger may differ: both are in the cell of the larger values of either.
     """
     shell = F.expr(f"(either - both) * 100 div (either * {100 - percent})")
-    spot = members.withColumns({"shell": shell, "class": _classes(percent)})
-    ways = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x in (0, 1) for y in (0, 1)])
-    spot = spot.withColumn("way", F.explode(ways))
-    # which of the two is further out and which is larger may differ: a point is inner to a cell in either respect
-    return spot.select(F.xxhash64("region", F.col("shell") + F.col("way.x"), F.col("class") + F.col("way.y")).alias("region"),
-                       "node", "n_shingles", (F.col("way.x") == 0).alias("inner"), (F.col("way.y") == 0).alias("upper"), "root")
+    spot = members.withColumn("shell", shell).withColumn("out", F.explode(F.array(F.lit(0), F.lit(1))))
+    spot = spot.withColumn("region", F.xxhash64("region", F.col("shell") + F.col("out")))
+    return _sized(spot.select("region", F.struct("node", (F.col("out") == 0).alias("inner")).alias("node"), "n_shingles", "root"), percent).select(
+        "region", F.col("node.node").alias("node"), "n_shingles", F.col("node.inner").alias("inner"), "upper", "root")
 
 
 def _open_regions(cells: DataFrame) -> DataFrame:
@@ -188,32 +197,38 @@ def jaccard_join(docs: DataFrame, width: int = 5, percent: int = 80, rounds: int
     counts[tally["slot"].to_numpy(np.int64)] = tally["n"].to_numpy(np.int64)
     sent = spark.sparkContext.broadcast(counts)
     identity = "set_a long, set_b long, n_shingles long"
-    rows = shared.stored(base.mapInArrow(_pointed(width, percent, sent), f"doc_id long, {identity}, rare array<long>"), f"{folder}/rows")
+    rows = shared.stored_alone(base.mapInArrow(_pointed(width, percent, sent), f"doc_id long, {identity}, rare array<long>"), f"{folder}/rows")
     named = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
 
     # one point for each distinct set, numbered as written
     points = named.groupBy(*_SET).agg(F.min("doc_id").alias("first"), F.first("rare").alias("rare"))
-    points = shared.stored(points.withColumn("node", F.monotonically_increasing_id()), f"{folder}/points")
+    points = shared.stored_alone(points.withColumn("node", F.monotonically_increasing_id()), f"{folder}/points")
     member = (rows.drop("rare").join(points.select(*_SET, "node").hint("merge"), _SET, "left")
               .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node")))
-    member = shared.stored(member, f"{folder}/member")
+    member = shared.stored_alone(member, f"{folder}/member")
+    repeats = not named.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
+    shared.dropped(spark, f"{folder}/rows")
     several = (member.filter("node IS NOT NULL").groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("a"))
                .filter("a <> b").select("a", "b"))
-    repeats = not named.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
 
     # first regions: points that share one of their rarest shingles
     shingled = points.select(F.explode("rare").alias("region"), "node", "n_shingles")
-    met = shingled.groupBy("region").agg(F.count("*").alias("crowd"), F.min("node").alias("pivot")).filter("crowd > 1")
-    cells = shared.stored(shingled.join(met.hint("merge"), "region"), f"{folder}/cells-0")
+    met = shingled.groupBy("region").agg(F.count("*").alias("n")).filter("n > 1").select("region")
+    together = shingled.join(met.hint("merge"), "region").withColumn("root", F.col("node"))
+    dealt = shared.stored_alone(_sized(together, percent), f"{folder}/dealt-0")
+    cells = shared.stored_alone(dealt.join(_open_regions(dealt).hint("merge"), "region"), f"{folder}/cells-0")
 
     # full sets of the points that share a region, made anew from their texts
-    wanted = shared.stored(points.drop("rare").join(cells.select("node").distinct().hint("merge"), "node", "left_semi"), f"{folder}/wanted")
+    wanted = shared.stored_alone(points.drop("rare").join(cells.select("node").distinct().hint("merge"), "node", "left_semi"), f"{folder}/wanted")
     texts = base.join(wanted.select(F.col("first").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
     whole = texts.select("text").mapInArrow(_whole(width), f"{identity}, shingles array<long>")
     if repeats:
         whole = whole.groupBy(*_SET).agg(F.first("shingles").alias("shingles"))
     sets = whole.join(wanted.select(*_SET, "node").hint("merge"), _SET).select("node", "shingles")
-    sets = shared.stored(sets, f"{folder}/sets")
+    sets = shared.stored_alone(sets, f"{folder}/sets")
+
+    for done in ("dealt-0", "wanted"):
+        shared.dropped(spark, f"{folder}/{done}")
 
     roots, seen, k = None, None, 0
     while True:
@@ -221,7 +236,7 @@ def jaccard_join(docs: DataFrame, width: int = 5, percent: int = 80, rounds: int
                 .agg(F.max("crowd").alias("crowd")))
         if seen is not None:
             star = star.join(seen.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
-        now = shared.stored(_measured(star, sets), f"{folder}/measured-{k}")
+        now = shared.stored_alone(_measured(star, sets), f"{folder}/measured-{k}")
         seen = now if seen is None else seen.unionByName(now)
         links = now.filter(_linked(percent)).select("a", "b")
         roots = _contracted(links.unionByName(several) if repeats and not k else links, roots, f"{folder}/roots-{k}")
@@ -230,12 +245,12 @@ def jaccard_join(docs: DataFrame, width: int = 5, percent: int = 80, rounds: int
         # regions in one component are done; dealing out their points would be in vain
         split = known.join(_split(cells, roots).hint("merge"), "region", "left_semi")
         k += 1
-        dealt = shared.stored(_shells(split, percent), f"{folder}/dealt-{k}")
-        cells = shared.stored(dealt.join(_open_regions(dealt).hint("merge"), "region"), f"{folder}/cells-{k}")
+        dealt = shared.stored_alone(_shells(split, percent), f"{folder}/dealt-{k}")
+        cells = shared.stored_alone(dealt.join(_open_regions(dealt).hint("merge"), "region"), f"{folder}/cells-{k}")
         if k >= rounds or cells.isEmpty():
             break
     rest = _left_over(cells, percent).join(seen.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
-    late = shared.stored(_measured(rest, sets), f"{folder}/measured-{k}")
+    late = shared.stored_alone(_measured(rest, sets), f"{folder}/measured-{k}")
     roots = _contracted(late.filter(_linked(percent)).select("a", "b"), roots, f"{folder}/roots-{k}")
 
     placed = points.select("node", "first").join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -11,7 +11,8 @@ block are written, and the probability of each gram is put together by joins of
 are sharded by gram: its own discounted count, and its context's remaining weight times the shorter
 gram's probability, down to the uniform one. The grams of the blocks meet the finished table in a
 join by gram (a gram comes once a block, however often it occurs) and go back to the block's
-documents. All these tables grow with the input; none passes through the driver or is broadcast.
+documents. All these tables grow with the input; none passes through the driver or is broadcast. Texts cross the network twice, to be counted
+and to be scored, each compressed by itself; a table is deleted when the next one stands.
 
 A document's perplexity is that of its characters. One above the QUANTILE of the held-out trusted
 documents' perplexities in its language is rejected; of under 200 such documents that is the largest. Null and empty texts have no perplexity and are kept, as
@@ -22,11 +23,11 @@ several times are trusted if no label speaks against it.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,23 +44,6 @@ BLOCK = 16_000_000
 #: one in FOLDS trusted documents sets the threshold; the others are counted
 FOLDS, SEED = 5, 31
 _START = 0xFFFF
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-@contextmanager
-def _released(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of the queries that end in here are deleted with them, not when the driver collects garbage."""
-    before = spark.conf.get(_CLEANUP)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(_CLEANUP, before)
-
-
-def _stored(df: DataFrame, path: str) -> DataFrame:
-    with _released(df.sparkSession):
-        return shared.stored(df, path)
 
 
 def _units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -82,6 +66,25 @@ def _grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return code.view(np.int64), at
 
 
+def _packed(rows: DataFrame, text: str = "text") -> DataFrame:
+    """The rows with each text compressed, for the way through a shuffle."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            at = batch.schema.get_field_index(text)
+            small = pa.array([None if t is None else squeeze(t.encode()) for t in batch.column(at).to_pylist()], pa.binary())
+            yield batch.set_column(at, text, small)
+
+    schema = T.StructType([T.StructField(f.name, T.BinaryType() if f.name == text else f.dataType) for f in rows.schema])
+    return rows.mapInArrow(pack, schema)
+
+
+def _unpacked(block: pa.Table, text: str = "text") -> pa.Table:
+    stretch = zstandard.ZstdDecompressor().decompress
+    whole = pa.array([None if t is None else stretch(t) for t in block.column(text).to_pylist()], pa.binary()).cast(pa.string())
+    return block.set_column(block.schema.get_field_index(text), text, whole)
+
+
 def _merged(parts: list) -> list:
     """Parts (codes, counts) as one, with each code once."""
     codes, which = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
@@ -91,6 +94,7 @@ def _merged(parts: list) -> list:
 def _block_grams(block: pa.Table) -> pa.Table:
     """Grams of a block's documents: how often in text to count, and (with 0) that they occur at all."""
     total: dict = {}
+    block = _unpacked(block)
     for batch, _, _ in wordcodes.chunks(block.to_batches(), "text"):
         code, at = _grams(batch.column("text"))
         names = np.array(batch.column("lang").to_pylist(), object)
@@ -151,7 +155,7 @@ def probabilities(counts: DataFrame, wanted: DataFrame, folder: str) -> DataFram
         asked[k] = asked[k + 1].select("model", _last("code", k).alias("code")).distinct()
     shorter = None
     for k in range(1, ORDER + 1):
-        model = _stored(_discounted(orders[k]), f"{folder}/order-{k}")
+        model = shared.stored_alone(_discounted(orders[k]), f"{folder}/order-{k}")
         rest = model.select("model", "context", "rest").distinct()
         rows = (asked[k].withColumn("context", _context("code"))
                 .join(model.select("model", "code", "own"), ["model", "code"], "left").join(rest, ["model", "context"], "left"))
@@ -162,13 +166,16 @@ def probabilities(counts: DataFrame, wanted: DataFrame, folder: str) -> DataFram
                     .join(shorter.select("model", F.col("code").alias("tail"), F.col("p").alias("low")), ["model", "tail"]))
             low = F.col("low")
         p = F.coalesce("own", F.lit(0.0)) + F.coalesce("rest", F.lit(1.0)) * low
-        shorter = _stored(rows.select("model", "code", p.alias("p")), f"{folder}/p-{k}")
+        shorter = shared.stored_alone(rows.select("model", "code", p.alias("p")), f"{folder}/p-{k}")
+        for done in (f"{folder}/order-{k}", f"{folder}/p-{k - 1}"):
+            shared.dropped(counts.sparkSession, done)
     return shorter.select("model", "code", F.log("p").alias("logp"))
 
 
 def _score(keep: tuple[str, ...], text: str, lang: str, name: str):
     """A block's documents with their perplexity, from the block's rows (lang, code, logp)."""
     def score(block: pa.Table, found: pa.Table) -> pa.Table:
+        block = _unpacked(block, text)
         of, codes, logs = found.column("lang").to_numpy(), found.column("code").to_numpy(), found.column("logp").to_numpy()
         tables = {}
         for model in set(of.tolist()):
@@ -221,22 +228,22 @@ def scored(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, witho
     marked = marked.withColumn(block_, F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
 
     plain = marked.select(F.col(block_).alias("block"), F.col(lang).alias("lang"), (F.col(trusted) & ~held_out).alias("counted"), "text")
-    grams = plain.groupBy("block").applyInArrow(_block_grams, "block long, lang string, code long, n long")
-    grams = _stored(grams, f"{folder}/grams").withColumnRenamed("lang", "model")
-    counts = _stored(grams.filter("n > 0").groupBy("model", "code").agg(F.sum("n").alias("n")), f"{folder}/counts")
+    grams = _packed(plain).groupBy("block").applyInArrow(_block_grams, "block long, lang string, code long, n long")
+    grams = shared.stored_alone(grams, f"{folder}/grams").withColumnRenamed("lang", "model")
+    counts = shared.stored_alone(grams.filter("n > 0").groupBy("model", "code").agg(F.sum("n").alias("n")), f"{folder}/counts")
     logp = probabilities(counts, grams.select("model", "code"), folder)
-    found = _stored(grams.select("block", "model", "code").join(logp, ["model", "code"]).select("block", F.col("model").alias("lang"), "code", "logp"), f"{folder}/found")
-
-    def score(rows: DataFrame, *drop: str) -> DataFrame:
-        keep = tuple(c for c in rows.columns if c not in (block_, *drop))
-        schema = T.StructType([T.StructField(c, rows.schema[c].dataType) for c in keep]).add(perplexity, "double")
-        return rows.groupBy(block_).cogroup(found.groupBy("block")).applyInArrow(_score(keep, "text", lang, perplexity), schema)
-
-    judged = score(marked.filter(F.col(trusted) & held_out & F.col(lang).isin(own)).select(block_, lang, "text"), "text")
-    limits = judged.groupBy(lang).agg(F.percentile_approx(perplexity, quantile, 100_000).alias(threshold))
-    with _released(spark):
+    shared.dropped(spark, f"{folder}/counts")
+    found = grams.select("block", "model", "code").join(logp, ["model", "code"]).select("block", F.col("model").alias("lang"), "code", "logp")
+
+    keep = tuple(c for c in marked.columns if c not in (block_, *without))
+    schema = T.StructType([T.StructField(c, marked.schema[c].dataType) for c in keep]).add(perplexity, "double")
+    judged = _packed(marked).groupBy(block_).cogroup(found.groupBy("block")).applyInArrow(_score(keep, "text", lang, perplexity), schema)
+    judged = shared.stored_alone(judged, f"{folder}/judged")
+    aside = judged.filter(F.col(trusted) & held_out & F.col(lang).isin(own))
+    limits = aside.groupBy(lang).agg(F.percentile_approx(perplexity, quantile, 100_000).alias(threshold))
+    with shared.released(spark):
         limits = spark.createDataFrame(limits.collect(), limits.schema)
-    out = score(marked, *without).join(F.broadcast(limits), lang, "left")
+    out = judged.join(F.broadcast(limits), lang, "left")
     return out.withColumn(kept, F.coalesce(F.col(perplexity) <= F.col(threshold), F.lit(True))), added
 
 

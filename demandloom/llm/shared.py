@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_root(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; a scratch one only on a local master that names none."""
@@ -31,6 +35,29 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the queries that end in here are deleted with them, not when the driver collects garbage."""
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
+def stored_alone(df: DataFrame, path: str) -> DataFrame:
+    """The rows as a written table, whose shuffle files are gone when it stands."""
+    with released(df.sparkSession):
+        return stored(df, path)
+
+
+def dropped(spark: SparkSession, path: str) -> None:
+    """Delete a written table that no later step reads."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
