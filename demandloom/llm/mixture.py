@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandloom.llm import shared, wordcodes
@@ -131,7 +131,7 @@ def _flight(seed: int, land: bool):
     return flight
 
 
-FLIGHT = "rid long, doc_id long, source string, size long, block long, draw long, p double, included int"
+FLIGHT = "rid string, doc_id long, source string, size long, block long, draw long, p double, included int"
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED) -> DataFrame:
@@ -142,7 +142,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     spark = docs.sparkSession
     folder = shared.workspace(spark, "mixture")
     base = docs.select(row_id(docs).alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "source", "text")
-    sized = shared.stored(base.mapInArrow(_count_words, "rid long, doc_id long, source string, size long"), f"{folder}/sized")
+    sized = shared.stored(base.mapInArrow(_count_words, "rid string, doc_id long, source string, size long"), f"{folder}/sized")
     by_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     aims = shared.stored(targets(by_source, weights, share, most), f"{folder}/targets")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -169,8 +169,10 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
             .select("rid", "doc_id", "source", "size", "source_size", "target", (F.floor("ratio").cast("int") + F.col("included")).alias("copies")))
 
 
-def row_id(docs: DataFrame):
-    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+def row_id(docs: DataFrame) -> Column:
+    """128 bits of a row: two hashes of all its columns."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(k), *columns)), 16, "0") for k in (0, 1)])
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:

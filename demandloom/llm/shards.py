@@ -49,12 +49,13 @@ def shard(docs: DataFrame, shards: int = SHARDS, bucket_bytes: int = BUCKET_BYTE
     placed = placed.withColumn("bucket", F.col("shard") * buckets + F.pmod(spread, F.lit(buckets)))
 
     n = shards * buckets
-    entry = F.struct(F.xxhash64("record.doc_id", "text_crc32", F.lit(seed + 2)).alias("order"), "text_crc32", "size", "shard", "grown_shard", "record")
+    entry = F.struct(F.xxhash64("record.doc_id", "text_crc32", F.lit(seed + 2)).alias("order"), F.xxhash64(*[F.col(f"record.`{c}`") for c in own], F.lit(seed + 3)).alias("tie"),
+                     "text_crc32", "size", "shard", "grown_shard", "record")
     gathered = (placed.repartition(n, "bucket").sortWithinPartitions("bucket").groupBy("bucket")
                 .agg(F.collect_list(entry).alias("rows"))
                 .select("bucket", F.shuffle(_ordered("rows"), F.lit(seed)).alias("rows"))
                 .select("bucket", F.posexplode("rows").alias("place", "row"))
-                .select("bucket", "place", "row.*").drop("order"))
+                .select("bucket", "place", "row.*").drop("order", "tie"))
     written = shared.stored(gathered, folder)
 
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -66,10 +67,10 @@ def shard(docs: DataFrame, shards: int = SHARDS, bucket_bytes: int = BUCKET_BYTE
 
 
 def _ordered(rows: str) -> Column:
-    """By seeded hash, checksum and size; records that tie in these are taken as they come."""
+    """By seeded hash, checksum and size, then by a hash of the whole record: only equal records tie."""
     def compare(a: Column, b: Column) -> Column:
         less = F.lit(0)
-        for name in ("size", "text_crc32", "order"):
+        for name in ("tie", "size", "text_crc32", "order"):
             less = F.when(a[name] < b[name], -1).when(a[name] > b[name], 1).otherwise(less)
         return less
     return F.array_sort(rows, compare)
