@@ -107,6 +107,18 @@ class Context:
     def by_series(self) -> DataFrame:
         return demand.classify(self.ship, spec.SERIES, self.last)
 
+    @property
+    def part_routes(self) -> DataFrame:
+        return demand.route_series(demand.classify(self.parts.sparse_shipments, spec.SERIES, self.last), "C")
+
+    @property
+    def sparse_train(self) -> DataFrame:
+        return forecasting.mm_train(forecasting.on_route(self.parts.shipments, self.part_routes, spec.SEPARATE_ROUTE))
+
+    @property
+    def sparse_scores(self) -> DataFrame:
+        return forecasting.mm_evaluate(self.sparse_train, forecasting.SPARSE)
+
     def rules_evaluated(self) -> DataFrame:
         return forecasting.mm_evaluate(self.train, forecasting.RULES)
 
@@ -254,6 +266,8 @@ QUERIES: dict[str, Callable[[Context], DataFrame]] = {
     "demand_stats": lambda c: demand.demand_stats(c.ship, ["item_code"], c.last),
     "demand_class": lambda c: c.by_series,
     "route_series": lambda c: demand.route_series(c.by_series),
+    "route_series_a": lambda c: demand.route_series(c.by_series, "A"),
+    "route_series_c": lambda c: demand.route_series(c.by_series, "C"),
     "history_gate": lambda c: demand.history_gate(c.silver.sparse_shipments),
     "enough_history": lambda c: demand.enough_history(c.silver.sparse_shipments),
     "safety_stock": _safety,
@@ -343,7 +357,13 @@ QUERIES: dict[str, Callable[[Context], DataFrame]] = {
     "group_forecast": lambda c: forecasting.grouped_forecast(c.ship, last_month=c.last),
     "group_backtest": lambda c: forecasting.backtest_holdout(c.ship, last_month=c.last),
     "mm_evaluate": lambda c: forecasting.mm_evaluate(c.train),
+    "mm_evaluate_arima": lambda c: forecasting.mm_evaluate(c.train, ["arima"]),
+    "mm_airline": lambda c: forecasting.mm_score(c.train, ["airline"]).select("unique_id", "model", "target_ym", "p50"),
     "mm_score": lambda c: forecasting.mm_score(c.train),
+    # the separate run of series with few demands, at the finest grain
+    "sparse_forecasts": lambda c: forecasting.mm_score(c.sparse_train, forecasting.SPARSE),
+    "sparse_evaluate": lambda c: c.sparse_scores,
+    "sparse_winners": lambda c: forecasting.sparse_winners(c.sparse_scores, c.part_routes),
     # one global model
     "train_trials": _trials,
     "best_trial": lambda c: lifecycle.best_trial(_trials(c)),

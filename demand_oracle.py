@@ -287,6 +287,46 @@ def grouped(value: str, low: str = "CAST(NULL AS DOUBLE)", high: str = "CAST(NUL
     JOIN last_year l ON l.item_code = s.item_code AND l.channel = s.channel AND l.m = (a.k - 1) % 12 + 1 {extra}"""
 
 
+#: hard series of the finest grain, and what each sparse method makes of them at the ends of history named by {windows}
+SPARSE = f"""
+    hard AS (
+      SELECT item_code, channel FROM ({demand('item_code, channel', 'part_sparse')}) WHERE COALESCE({CLASS} NOT IN ('smooth', 'erratic'), TRUE)),
+    months AS (
+      SELECT item_code || '|' || channel AS unique_id, qty, row_number() OVER (PARTITION BY item_code, channel ORDER BY ym) AS t,
+             count(*) OVER (PARTITION BY item_code, channel) AS n FROM part_ship SEMI JOIN hard USING (item_code, channel)),
+    seen AS (SELECT unique_id, window_no, n - 24 + 6 * window_no AS cut, t, qty FROM months, windows WHERE t <= n - 24 + 6 * window_no),
+    hits AS (
+      SELECT *, row_number() OVER (PARTITION BY unique_id, window_no ORDER BY t) AS i,
+             count(*) OVER (PARTITION BY unique_id, window_no) AS h FROM seen WHERE qty > 0),
+    tsb AS (
+      SELECT unique_id, window_no, sum(qty * CASE WHEN i = 1 THEN power(CAST(0.8 AS DOUBLE), h - 1) ELSE 0.2 * power(CAST(0.8 AS DOUBLE), h - i) END)
+               * (power(CAST(0.9 AS DOUBLE), cut) * h / cut + sum(0.1 * power(CAST(0.9 AS DOUBLE), cut - t))) AS level
+      FROM hits GROUP BY unique_id, window_no, cut, h),
+    spans AS (
+      SELECT unique_id, window_no, cut, greatest(1, least(CAST(COALESCE(round(cut / NULLIF(count(*) FILTER (qty > 0), 0)), cut) AS BIGINT), cut // 2)) AS most
+      FROM seen GROUP BY unique_id, window_no, cut),
+    totals AS (
+      SELECT unique_id, window_no, most, k, (cut - t) // k AS j, cut // k AS m, sum(qty) AS total
+      FROM seen JOIN (SELECT *, unnest(generate_series(1, most)) AS k FROM spans) USING (unique_id, window_no, cut)
+      WHERE (cut - t) // k < cut // k GROUP BY ALL),
+    levels AS (
+      SELECT unique_id, window_no, most, k,
+             sum(total * CASE WHEN j = m - 1 THEN power(CAST(0.8 AS DOUBLE), j) ELSE 0.2 * power(CAST(0.8 AS DOUBLE), j) END) / k AS level
+      FROM totals GROUP BY ALL),
+    sparse_levels AS (
+      SELECT unique_id, window_no, 'tsb' AS model, COALESCE(level, 0.0) AS level FROM spans LEFT JOIN tsb USING (unique_id, window_no)
+      UNION ALL SELECT unique_id, window_no, 'adida', level FROM levels WHERE k = most
+      UNION ALL SELECT unique_id, window_no, 'imapa', avg(level) FROM levels GROUP BY unique_id, window_no),
+    sparse_scores AS (
+      SELECT unique_id, model, window_no, max(n) AS n,
+             avg(CASE WHEN abs(qty) + abs(level) = 0 THEN 0 ELSE 2 * abs(qty - level) / (abs(qty) + abs(level)) END) AS metric_value
+      FROM sparse_levels JOIN months USING (unique_id) WHERE t BETWEEN n - 23 + 6 * window_no AND n - 6 + 6 * window_no GROUP BY ALL)"""
+
+
+def sparse(windows: str, select: str) -> str:
+    return f"WITH windows AS (SELECT CAST(unnest([{windows}]) AS INTEGER) AS window_no), {SPARSE} {select}"
+
+
 def _statements() -> dict[str, str]:
     q: dict[str, str] = {}
     q["load_set_a"] = "SELECT * FROM ship WHERE ym < (SELECT last_ym FROM bounds)"
@@ -584,6 +624,31 @@ def _statements() -> dict[str, str]:
           WHERE ym <= (SELECT {shift('last_ym', -12)} FROM bounds) AND ym > (SELECT {shift('last_ym', -24)} FROM bounds)
           GROUP BY ALL) m ON m.item_code = s.item_code AND m.channel = s.channel"""
 
+    q["mm_airline"] = """
+    WITH RECURSIVE lists AS (
+      SELECT item_code || '|' || channel AS unique_id, list(CAST(qty AS DOUBLE) ORDER BY ym) AS ys, count(*) AS n FROM ship GROUP BY item_code, channel),
+    walk AS (
+      SELECT unique_id, ys, n, CAST(13 AS BIGINT) AS t, list_transform(range(13), lambda x: CAST(0 AS DOUBLE)) AS es FROM lists
+      UNION ALL
+      SELECT unique_id, CASE WHEN t < n THEN ys ELSE list_append(ys, f) END, n, t + 1,
+             list_append(es, CASE WHEN t < n THEN ys[t + 1] - f ELSE CAST(0 AS DOUBLE) END)
+      FROM (SELECT *, ys[t] + ys[t - 11] - ys[t - 12] - 0.4 * es[t] - 0.6 * es[t - 11] + 0.24 * es[t - 12] AS f FROM walk) WHERE t < n + 18)
+    SELECT unique_id, 'airline' AS model, target_ym, round(greatest(ys[n + k], 0), 6) AS p50 FROM walk CROSS JOIN ahead WHERE t = n + 18"""
+    q["route_series_a"] = f"SELECT item_code, channel, {STATS}, demand_class, 'main_pipeline' AS forecast_source FROM series_class"
+    q["route_series_c"] = f"""
+    SELECT item_code, channel, {STATS}, demand_class,
+           CASE WHEN demand_class IN ('smooth', 'erratic') THEN 'main_pipeline' ELSE 'separate_pipeline' END AS forecast_source FROM series_class"""
+    q["sparse_forecasts"] = sparse("4", """
+    SELECT unique_id, model, target_ym, round(level, 6) AS p50, CAST(NULL AS DOUBLE) AS lower_bound, CAST(NULL AS DOUBLE) AS upper_bound
+    FROM sparse_levels CROSS JOIN ahead""")
+    q["sparse_evaluate"] = sparse("0, 1", """
+    SELECT unique_id, model, window_no, last_day(CAST(date_trunc('month', last_ym) - to_months(CAST(24 - 6 * window_no AS INTEGER)) AS DATE)) AS cutoff_ym,
+           round(metric_value, 6) AS metric_value FROM sparse_scores CROSS JOIN bounds""")
+    q["sparse_winners"] = sparse("0, 1", """
+    SELECT unique_id, model, round(avg_metric, 6) AS avg_metric, 'separate_pipeline' AS forecast_source
+    FROM (SELECT unique_id, model, round(avg(metric_value), 9) AS avg_metric FROM sparse_scores GROUP BY unique_id, model)
+    QUALIFY row_number() OVER (PARTITION BY unique_id ORDER BY avg_metric, model) = 1""")
+
     q["part_demand_class"] = f"""
     SELECT item_code, {STATS}, {CLASS} AS demand_class FROM ({demand('item_code', 'part_sparse')})"""
     q["part_accuracy"] = f"""

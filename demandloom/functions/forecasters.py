@@ -14,10 +14,12 @@ from functools import wraps
 
 import numpy as np
 
+from demandloom.functions import arima as seasonal_arima
+
 SEASON = 12
 #: months a method needs; those not named take any
 LEAST = {"seasonal_naive": SEASON, "ets": 2 * SEASON, "theta": 2 * SEASON, "mfles": 2 * SEASON,
-         "auto_ar": 2 * SEASON + 6, "auto": 2 * SEASON}
+         "auto_ar": 2 * SEASON + 6, "auto": 2 * SEASON, "arima": 2 * SEASON, "airline": 2 * SEASON + 2}
 
 
 def _long_enough(method):
@@ -184,6 +186,21 @@ def auto_ar(y: np.ndarray, h: int):
     return mean, np.repeat(sd, h, axis=1)
 
 
+@_long_enough
+def arima(y: np.ndarray, h: int):
+    """Seasonal ARIMA, differences and orders chosen per series."""
+    out = seasonal_arima.arima(y, h)
+    # a root near one lets a path run away: no month is further from the past than its whole range, twice
+    reach = 2 * (y.max(axis=1) - y.min(axis=1))[:, None]
+    return np.clip(out.mean, y.min(axis=1)[:, None] - reach, y.max(axis=1)[:, None] + reach), out.sd
+
+
+@_long_enough
+def airline(y: np.ndarray, h: int):
+    """The (0,1,1)(0,1,1) ARIMA with fixed coefficients."""
+    return seasonal_arima.fixed_airline(y, h)
+
+
 def _waves(t: np.ndarray, harmonics: int) -> np.ndarray:
     angle = 2 * np.pi * np.outer(t, np.arange(1, harmonics + 1)) / SEASON
     return np.concatenate([np.sin(angle), np.cos(angle)], axis=1)
@@ -220,7 +237,7 @@ def mfles(y: np.ndarray, h: int, rounds: int = 10, rate: float = 0.5):
 
 
 MODELS = {
-    "ets": ets, "theta": theta, "auto_ar": auto_ar, "mfles": mfles,
+    "ets": ets, "theta": theta, "arima": arima, "mfles": mfles,
     "croston_sba": croston_sba, "fourier_trend": fourier_trend,
 }
 AUTO_CANDIDATES = ("seasonal_naive", "ets", "theta", "croston_sba")
@@ -244,4 +261,4 @@ def auto(y: np.ndarray, h: int):
     return mean, sd
 
 
-FITTED = {**MODELS, "seasonal_naive": seasonal_naive, "auto": auto}
+FITTED = {**MODELS, "auto_ar": auto_ar, "airline": airline, "seasonal_naive": seasonal_naive, "auto": auto}

@@ -61,8 +61,8 @@ def classify(ship: DataFrame, by: list[str], last_month: Column | None = None) -
     return demand_stats(ship, by, last_month).withColumn("demand_class", demand_class())
 
 
-# What happens to hard-to-forecast series under each policy.
-ROUTES = {"A": spec.MAIN_ROUTE, "B": "simple_rule", "C": "separate_pipeline"}
+#: what happens to hard-to-forecast series under each policy: with the others, by a fixed rule, or in a run of their own
+ROUTES = {"A": spec.MAIN_ROUTE, "B": "simple_rule", "C": spec.SEPARATE_ROUTE}
 
 
 def route_series(classified: DataFrame, policy: str = "B") -> DataFrame:

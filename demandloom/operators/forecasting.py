@@ -20,11 +20,14 @@ from demandloom import spec
 from demandloom.functions.calendar import latest, month_end, month_number, shift_month_end
 from demandloom.functions.forecasters import FITTED, MODELS
 from demandloom.functions.series import series_id, smape_term, split_series_id
+from demandloom.operators import sparse_demand
 
 # Half-width of a 95 % normal interval, and the rules that need no fitting.
 Z95 = 1.96
 SCORE_DIGITS = 9
 RULES = ("naive_12", "mean_12", "last_value", "zero")
+#: methods for series with few demands; like the rules, expressions that need no fitting
+SPARSE = tuple(sparse_demand.METHODS)
 
 ID, TIME, VALUE = "unique_id", "ds", "y"
 
@@ -82,10 +85,12 @@ def _rule(model: Column, y: Column, horizon: Column) -> Column:
         "mean_12": lambda k: mean,
         "last_value": lambda k: F.get(y, n - 1),
         "zero": lambda k: F.lit(0.0),
+        **{name: lambda k, level=level: level(y) for name, level in sparse_demand.METHODS.items()},
     }
     chosen = None
     for name, value in by_step.items():
-        arm = F.transform(steps, value)
+        # one level for all months: worked out once
+        arm = F.transform(steps, value) if name not in SPARSE else F.array_repeat(value(None), horizon.cast("int"))
         chosen = F.when(model == name, arm) if chosen is None else chosen.when(model == name, arm)
     return F.when((n > 0) & (horizon > 0), chosen)
 
@@ -97,16 +102,17 @@ def predict(rows: DataFrame, horizon: Column, models: Iterable[str] | None = Non
     rows may hold, where that is known, to plan only the branch that is needed.
     """
     rows = rows.withColumn("_h", horizon)
-    known = list(models) if models is not None else [*RULES, *FITTED]
-    simple = rows.filter(F.col("model").isin(*RULES)).withColumns({
+    plain = (*RULES, *SPARSE)
+    known = list(models) if models is not None else [*plain, *FITTED]
+    simple = rows.filter(F.col("model").isin(*plain)).withColumns({
         "p50": _rule(F.col("model"), F.col("y"), F.col("_h")),
         "sd": F.lit(None).cast("array<double>"),
     })
-    if all(m in RULES for m in known):
+    if all(m in plain for m in known):
         return simple.drop("_h")
-    fitted = rows.filter(~F.col("model").isin(*RULES)).withColumn("_f", _fit("y", "model", "_h")).select(
+    fitted = rows.filter(~F.col("model").isin(*plain)).withColumn("_f", _fit("y", "model", "_h")).select(
         *rows.columns, F.col("_f.p50").alias("p50"), F.col("_f.sd").alias("sd"))
-    return (simple.unionByName(fitted) if any(m in RULES for m in known) else fitted).drop("_h")
+    return (simple.unionByName(fitted) if any(m in plain for m in known) else fitted).drop("_h")
 
 
 def unpack(predicted: DataFrame, keep: list[str]) -> DataFrame:
@@ -133,7 +139,7 @@ def forecast_by_group(df: DataFrame, horizon: str | Column, time_col: str, value
     """
     if frequency != "ME":
         raise ValueError(f"only month-end series (frequency='ME') are supported, not {frequency!r}")
-    if model not in FITTED and model not in RULES:
+    if model not in FITTED and model not in RULES and model not in SPARSE:
         raise ValueError(f"unknown model {model!r}")
     end = F.lit(horizon).cast("date") if isinstance(horizon, str) else horizon
     rows = pack(df, group_col, time_col, value_col).withColumns({
@@ -262,6 +268,18 @@ def routed_models(best: DataFrame, routed: DataFrame, rule: str = "naive_12") ->
         F.when(~simple, F.col("avg_metric")).alias("avg_metric"), F.col("_route").alias("forecast_source"))
 
 
+def on_route(df: DataFrame, routed: DataFrame, route: str) -> DataFrame:
+    """The rows of the series that `demand.route_series` sends down a route."""
+    return df.join(routed.filter(F.col("forecast_source") == route).select(*spec.SERIES), spec.SERIES, "left_semi")
+
+
+def sparse_winners(evaluation: DataFrame, routed: DataFrame) -> DataFrame:
+    """The best sparse method of each series on the separate route; without any score it is the first one."""
+    best = best_models(evaluation, ties="first").select(ID, "model", "avg_metric")
+    route = routed.filter(F.col("forecast_source") == spec.SEPARATE_ROUTE).select(series_id(*spec.SERIES).alias(ID), "forecast_source")
+    return route.join(best, ID, "left").select(ID, F.coalesce("model", F.lit(SPARSE[0])).alias("model"), "avg_metric", "forecast_source")
+
+
 def score_routed(train: DataFrame, chosen: DataFrame, horizon: int = spec.HORIZON_MONTHS) -> DataFrame:
     """Forecast of each series with the model chosen for it, recording the route."""
     rows = pack(train, ID, TIME, VALUE).join(chosen.select(ID, "model", "forecast_source"), ID)

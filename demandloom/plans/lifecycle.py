@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from demandloom import spec
 from demandloom.functions.calendar import forecast_run_month
 from demandloom.functions.series import abs_error, clip0, ratio_interval, share_of
+from demandloom.plans.boosting import boosted_grid
 from demandloom.session import use_checkpoints
 
 
@@ -30,6 +31,10 @@ def assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=list(spec.FEATURES), outputCol="features")
 
 
+def train_tasks(frame: DataFrame) -> int:
+    return int(frame.sparkSession.conf.get("spark.demandloom.train.tasks", str(TRAIN_TASKS)))
+
+
 @contextmanager
 def vectors(frame: DataFrame):
     """Training rows as label and feature vector, held on executors while trees are grown.
@@ -39,9 +44,9 @@ def vectors(frame: DataFrame):
     give the same trees on any cluster. Every tree level is a job over these partitions; raise
     the number with the number of series.
     """
-    tasks = int(frame.sparkSession.conf.get("spark.demandloom.train.tasks", str(TRAIN_TASKS)))
-    placed = frame.repartition(tasks, *spec.SERIES).sortWithinPartitions(*spec.SHIPMENT_KEY)
-    held = assembler().transform(placed).select(F.col("qty").cast("double").alias("label"), "features").persist(StorageLevel.MEMORY_AND_DISK)
+    placed = frame.repartition(train_tasks(frame), *spec.SERIES).sortWithinPartitions(*spec.SHIPMENT_KEY)
+    held = (assembler().transform(placed).select(*spec.SHIPMENT_KEY, F.col("qty").cast("double").alias("label"), "features")
+            .persist(StorageLevel.MEMORY_AND_DISK))
     try:
         yield held
     finally:
@@ -58,9 +63,9 @@ def fit(held: DataFrame, params: Mapping) -> PipelineModel:
     return PipelineModel([assembler(), trees.fit(held)])
 
 
-def train(frame: DataFrame, params: Mapping) -> PipelineModel:
-    with vectors(frame) as held:
-        return fit(held, params)
+def train(frame: DataFrame, params: Mapping, folder: str | None = None) -> PipelineModel:
+    """One model; with a folder, in stages that a later run goes on from."""
+    return fit_trials(frame, [{"name": "model", **params}], folder)[params.get("name", "model")]
 
 
 def predictions(frame: DataFrame, models: Mapping[str, PipelineModel]) -> DataFrame:
@@ -102,16 +107,23 @@ def compare(frame: DataFrame, names: Iterable[str], actual: str = "qty", naive:
     return frame.groupBy(*by).agg(*columns).select(*by, F.explode(rows).alias("_c")).select(*by, "_c.*")
 
 
-def fit_trials(training: DataFrame, grid: Iterable[Mapping]) -> dict[str, PipelineModel]:
-    """One model per configuration, all on the same cached vectors."""
+def fit_trials(training: DataFrame, grid: Iterable[Mapping], folder: str | None = None) -> dict[str, PipelineModel]:
+    """One model per configuration, all on the same cached vectors.
+
+    With a folder all are fitted at once and in stages: what a run that broke off had finished
+    there, for the same rows and settings, is not done again.
+    """
     with vectors(training) as held:
+        if folder:
+            return boosted_grid(held, grid, folder, [assembler()], train_tasks(training))
         return {g["name"]: fit(held, g) for g in grid}
 
 
-def train_trials(frame: DataFrame, grid: Iterable[Mapping] = spec.TRIAL_GRID) -> tuple[dict[str, PipelineModel], DataFrame]:
+def train_trials(frame: DataFrame, grid: Iterable[Mapping] = spec.TRIAL_GRID,
+                 folder: str | None = None) -> tuple[dict[str, PipelineModel], DataFrame]:
     """Fit the grid on the train rows and score it on the valid rows of a split frame."""
     grid = list(grid)
-    models = fit_trials(frame.filter(F.col("split") == "train"), grid)
+    models = fit_trials(frame.filter(F.col("split") == "train"), grid, folder)
     valid = frame.filter(F.col("split") == "valid")
     scores = compare(predictions(valid, models), models)
     settings = F.create_map(*[x for g in grid for x in (

@@ -20,6 +20,7 @@ MODEL_RATIO = (0.7, 1.3)
 MODEL_PREFIX = "demand_forecast_v"
 GROUPED_MODEL = "ai_forecast"
 MAIN_ROUTE = "main_pipeline"
+SEPARATE_ROUTE = "separate_pipeline"
 HORIZON_MONTHS = 18
 HOLDOUT_MONTHS = 12
 BACKTEST_MONTHS = 24

@@ -128,18 +128,27 @@ def in_months(day: str, months: list) -> Column:
     return found | F.col(day).isNull() if None in months else found
 
 
+def repriced_months(shipments: DataFrame, old: DataFrame, new: DataFrame) -> list:
+    """Months in which an item shipped whose price the new item master has otherwise than the old one."""
+    was, now = (df.select("item_code", F.struct("unit_price").alias(name)) for df, name in ((old, "was"), (new, "now")))
+    changed = was.join(now, "item_code", "full").filter(~F.col("was").eqNullSafe(F.col("now"))).select("item_code")
+    return [r[0] for r in shipments.join(changed, "item_code", "left_semi").select("ym").distinct().collect()]
+
+
 def refresh_months(ws: Workspace) -> StoredGold:
     """Like `refresh`, rebuilding only the months that new rows touch.
 
     A key holds its month, so a new row can change nothing outside that month; the touched
     months are rebuilt from all bronze rows of theirs and replace their folders. New item
-    masters change values of every month, and a first run has nothing to build on: both
-    rebuild in full, nothing else does. Marks advance last, so a run that broke off is simply repeated.
+    masters reach as far as what changed in them: items whose price is another one, new or gone
+    count in the months in which they shipped. Only a first run, with nothing to build on,
+    rebuilds in full. The item master is replaced after all that depends on it and marks
+    advance last, so a run that broke off is simply repeated.
     """
     ingest(ws)
     arrived = {feed: _arrived(ws, feed) for feed in spec.SOURCES}
     stored = all(ws.spark.catalog.tableExists(f"{ws.database}.{t}") for t in GOLD_TABLES)
-    if not stored or None in arrived.values() or arrived["items"].head() is not None:
+    if not stored or None in arrived.values():
         return rebuild(ws)
 
     touched = {}
@@ -162,12 +171,16 @@ def refresh_months(ws: Workspace) -> StoredGold:
 
     silver = stored_silver(ws)
     ship, plan = touched["shipments"], touched["forecast_baseline"]
+    new_items = arrived["items"].head() is not None
+    if new_items:
+        silver = replace(silver, items=clean(ws.table("bronze_items"), "items"))
+        ship = list(dict.fromkeys([*ship, *repriced_months(silver.shipments, ws.table("silver_items"), silver.items)]))
     scoped = Gold(replace(
         silver,
         shipments=silver.shipments.filter(in_months("ym", ship)),
         inventory=silver.inventory.filter(in_months("ym", touched["inventory"])),
         forecast_baseline=silver.forecast_baseline.filter(in_months("target_ym", plan))))
-    either = list(dict.fromkeys([*ship, *plan]))
+    either = list(dict.fromkeys([*touched["shipments"], *plan]))
     scored = Gold(replace(
         silver, shipments=silver.shipments.filter(in_months("ym", either)),
         forecast_baseline=silver.forecast_baseline.filter(in_months("target_ym", either))))
@@ -176,9 +189,12 @@ def refresh_months(ws: Workspace) -> StoredGold:
         if months:
             put(getattr(gold, name), name)
     full = Gold(silver)
-    for name, feed in (("dim_channel", "channels"), ("dim_lead_time", "lead_time")):
+    for name, feed in (("dim_item", "items"), ("dim_channel", "channels"), ("dim_lead_time", "lead_time")):
         if arrived[feed].head() is not None:
             ws.store(getattr(full, name), name)
+    if new_items:
+        ws.store(silver.items, "silver_items")
+        _record_quality(ws, "items")
     for feed, rows in arrived.items():
         _mark(ws, feed, rows)
     return StoredGold(ws.spark, ws.database)
@@ -208,7 +224,7 @@ def initial_train(ws: Workspace, gold: StoredGold, grid=spec.TRIAL_GRID) -> int:
     """Train the grid as of half a year ago, register the best run as champion."""
     registry = ws.registry()
     frame = _split(ws, gold, spec.BUILT_MONTHS_AGO)
-    models, trials = lifecycle.train_trials(frame, grid)
+    models, trials = lifecycle.train_trials(frame, grid, f"{ws.folder}/training")
     through, available = _newest(frame, "train"), _newest(frame, "valid")
     rows = sorted((r.asDict() for r in trials.collect()), key=lambda r: (r["mae"] is None, r["mae"] or 0.0, r["name"]))
     runs = {r["name"]: registry.log_run(r["name"], r, r, through, available) for r in rows}
@@ -228,7 +244,7 @@ def retrain(ws: Workspace, gold: StoredGold) -> dict:
         raise LookupError("no champion is registered: run initial_train first")
     params = registry.params_of(champion)
     frame = _split(ws, gold, 0)
-    model = lifecycle.train(frame.filter(F.col("split") == "train"), params)
+    model = lifecycle.train(frame.filter(F.col("split") == "train"), params, f"{ws.folder}/training")
     valid = frame.filter(F.col("split") == "valid")
     both = {"champion": registry.load(champion), "challenger": model}
     scores = lifecycle.compare(lifecycle.predictions(valid, both), both)
@@ -273,6 +289,8 @@ def many_models(ws: Workspace, gold: StoredGold, use_case: str = "scm", models=t
                 policy: str = "B") -> None:
     """Backtest every model on every series with enough history, keep the best per series, route the hard ones, and score.
 
+    Under policy C the hard ones are left to `sparse_models`.
+
     Each step is stored and the next reads it back, so that no fit runs twice and a lost
     executor costs a stage, not the run.
     """
@@ -281,16 +299,31 @@ def many_models(ws: Workspace, gold: StoredGold, use_case: str = "scm", models=t
         return ws.spark.table(f"{ws.database}.{use_case}_{name}")
 
     ship, last = enough_history(gold.fct_shipments), latest(gold.fct_shipments)
+    routes = stored(route_series(classify(ship, spec.SERIES, last), policy), "routes")
+    if policy == "C":
+        sparse_models(ws, ship, routes)
+        ship, routes = (forecasting.on_route(df, routes, spec.MAIN_ROUTE) for df in (ship, routes))
     train = stored(forecasting.mm_train(ship), "train_data")
     evaluation = stored(forecasting.mm_evaluate(train, models), "evaluation_output")
     stored(forecasting.mm_score(train, models), "scoring_output")
     best = forecasting.best_models(evaluation, ties="first")
-    routes = route_series(classify(ship, spec.SERIES, last), policy)
     chosen = stored(forecasting.routed_models(best, routes), "best_models")
     stored(forecasting.evaluation_summary(chosen, gold.dim_item), "evaluation_summary")
     stored(forecasting.score_routed(train, chosen), "routed_forecasts")
 
 
+def sparse_models(ws: Workspace, ship: DataFrame, routes: DataFrame, use_case: str = "sparse") -> None:
+    """The run of the series on the separate route, with methods for few demands and tables of its own."""
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        ws.store(df, f"{use_case}_{name}", evolve=True)
+        return ws.spark.table(f"{ws.database}.{use_case}_{name}")
+
+    train = stored(forecasting.mm_train(forecasting.on_route(ship, routes, spec.SEPARATE_ROUTE)), "train_data")
+    evaluation = stored(forecasting.mm_evaluate(train, forecasting.SPARSE), "evaluation_output")
+    chosen = stored(forecasting.sparse_winners(evaluation, routes), "best_models")
+    stored(forecasting.score_routed(train, chosen), "forecasts")
+
+
 def compare_all_versions(ws: Workspace, gold: StoredGold) -> DataFrame:
     """Every registered version re-scored on the newest windows, stored as a table."""
     registry = ws.registry()

@@ -220,6 +220,54 @@ def test_month_scoped_refresh_equals_a_full_one(spark, database, folder):
     assert gold.fct_shipments.filter("item_code = 'I0' AND amount <> qty * 99").count() == 0
 
 
+def test_a_price_change_rewrites_only_the_months_it_counts_in(spark, database, folder):
+    landing = f"{folder}/landing"
+    _newest, ends = land(spark, landing, 26)
+    write(landing, "shipments", "rare.csv", [("I9", "DOM", ends[4], 5), ("I9", "EXP", ends[9], 6)])
+    write(landing, "items", "nine.csv", [("I9", "Name", "cat", "main", 7, "lumpy", 9.0, 0.1, "false", "2020-05-31")])
+    ws = cycle.Workspace(spark, database, landing, f"{folder}/shared")
+    cycle.refresh_months(ws)
+
+    def touched(work):
+        before = listing(spark, f"{database}.fct_shipments")
+        work()
+        after = listing(spark, f"{database}.fct_shipments")
+        return {m for m in after if after[m] != before.get(m)}
+
+    def amounts():
+        return rows(spark.table(f"{database}.fct_shipments").filter("item_code = 'I9'").select("qty", "amount"))
+
+    write(landing, "items", "price.csv", [("I9", "Name", "cat", "main", 8, "lumpy", 9.0, 0.1, "false", "2020-05-31")])
+    assert touched(lambda: cycle.refresh_months(ws)) == {f"ym={ends[4]}", f"ym={ends[9]}"}
+    assert amounts() == [(5, 40), (6, 48)]
+    write(landing, "items", "name.csv", [("I0", "Another", "cat", "main", 10, "smooth", 1.0, 0.1, "false", "2020-01-31")])
+    assert touched(lambda: cycle.refresh_months(ws)) == set(), "a name is in no fact"
+    assert spark.table(f"{database}.dim_item").filter("item_code = 'I0'").first()["item_name"] == "Another"
+
+    # a run that breaks off before its end has the change before it again
+    write(landing, "items", "again.csv", [("I9", "Name", "cat", "main", 9, "lumpy", 9.0, 0.1, "false", "2020-05-31")])
+    store, real = [], cycle.Workspace.store
+
+    def broken(self, df, name, evolve=False):
+        store.append(name)
+        if name == "silver_items":
+            raise RuntimeError("lost")
+        real(self, df, name, evolve)
+
+    cycle.Workspace.store = broken
+    try:
+        with pytest.raises(RuntimeError, match="lost"):
+            cycle.refresh_months(ws)
+    finally:
+        cycle.Workspace.store = real
+    assert touched(lambda: cycle.refresh_months(ws)) == {f"ym={ends[4]}", f"ym={ends[9]}"}
+    scoped = {t: rows(spark.table(f"{database}.{t}").select(*sorted(spark.table(f"{database}.{t}").columns))) for t in cycle.GOLD_TABLES}
+    cycle.rebuild(ws)
+    for t in cycle.GOLD_TABLES:
+        full = spark.table(f"{database}.{t}")
+        assert rows(full.select(*sorted(full.columns))) == scoped[t], t
+
+
 def test_counts_follow_from_the_calendar(spark):
     """23 items, 7 of them domestic only, over 80 months: every derived count is fixed."""
     from demandloom.operators import accuracy, baseline
@@ -244,3 +292,64 @@ def test_checkpoint_folder_comes_from_the_session(spark, scratch):
     far = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="yarn"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_root(far)
+
+
+def test_staged_boosting_goes_on_where_it_broke_off(spark, folder, frame, monkeypatch):
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    from demandloom.plans import boosting
+
+    train = frame.filter("split = 'train'")
+    probe = frame.filter("split <> 'train'")
+    params = {"name": "s", "max_depth": 3, "learning_rate": 0.2, "max_iter": 7}
+    monkeypatch.setattr(boosting.boosted_grid, "__defaults__", (16, 3))
+    grown, real = [], DecisionTreeRegressor.fit
+
+    def counted(self, *args):
+        grown.append(1)
+        if counted.lost and len(grown) > counted.lost:
+            raise RuntimeError("lost")
+        return real(self, *args)
+
+    monkeypatch.setattr(DecisionTreeRegressor, "fit", counted)
+
+    def predicted(model):
+        return rows(lifecycle.predictions(probe, {"p": model}).select(*spec.SHIPMENT_KEY, "p"))
+
+    counted.lost = None
+    whole = lifecycle.train(train, params, f"{folder}/whole")
+    assert len(grown) == 7 and whole.stages[-1].getNumTrees == 7
+    counted.lost = 7 + 5
+    with pytest.raises(RuntimeError, match="lost"):
+        lifecycle.train(train, params, f"{folder}/broken")
+    counted.lost = None
+    del grown[:]
+    resumed = lifecycle.train(train.repartition(5), params, f"{folder}/broken")
+    assert len(grown) == 4, "the first stage of three trees stood"
+    assert predicted(resumed) == predicted(whole)
+    del grown[:]
+    lifecycle.train(train, params, f"{folder}/broken")
+    assert not grown
+    lifecycle.train(train.filter("item_code <> 'I0'"), params, f"{folder}/broken")
+    assert len(grown) == 7, "other rows are another model"
+
+    # the score is what the trees add up to, and more trees fit better
+    features = lifecycle.assembler().transform(probe)
+    parts = [t.transform(features).select(*spec.SHIPMENT_KEY, "prediction") for t in whole.stages[-1].trees]
+    single = [{tuple(r)[:3]: r["prediction"] for r in p.collect()} for p in parts]
+    for *key, p in predicted(whole)[:40]:
+        total = single[0][tuple(key)] + 0.2 * sum(s[tuple(key)] for s in single[1:])
+        assert p == pytest.approx(max(total, 0.0))
+    stored = f"{folder}/saved"
+    whole.write().overwrite().save(stored)
+    from pyspark.ml import PipelineModel
+    assert predicted(PipelineModel.load(stored)) == predicted(whole)
+
+
+def test_settings_fitted_at_once_equal_those_alone(folder, frame):
+    train = frame.filter("split = 'train'")
+    both = lifecycle.fit_trials(train, GRID, f"{folder}/both")
+    probe = frame.limit(60).cache()
+    for g in GRID:
+        alone = lifecycle.fit_trials(train, [g], f"{folder}/alone")[g["name"]]
+        assert rows(lifecycle.predictions(probe, {"p": both[g["name"]]}).select("p")) == rows(lifecycle.predictions(probe, {"p": alone}).select("p"))
