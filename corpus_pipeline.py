@@ -23,11 +23,11 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest doc_id.
+    """One document of each group of near-duplicates on five-word shingles: the one with the smallest doc_id.
 
     Of rows that repeat that doc_id the first by a hash of the row stays.
     """
-    found = neardup.near_duplicates(docs)
+    found = neardup.near_duplicates(docs, width=5)
     stay = found.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
     columns = [f"`{c}`" for c in docs.columns]
     kept_id, times, place = shared.fresh(docs, "kept_id", "times", "place")
