@@ -12,17 +12,21 @@ region, and every linked pair lies together in one. Sizes of linked sets differ
 1/t: regions are cut by classes of size, each with the next smaller one's points as its boundary. A
 region's pivot is one of its points:
 
-* all points of a region are measured against its pivot, exactly. Those within r are linked with it,
-  and so are in one component with each other: no pair of them is looked at;
-* by the triangle inequality linked points differ by at most r in their distance to the pivot. The
+* every point of a region is held against its pivot by sketches first. A sketch has two bits or more a
+  shingle, each the parity of the shingles in its hash class; sketches differ in no more bits than
+  their sets in shingles. A point whose sketch is too far away is further than r from the pivot. The
+  others are measured on the full sets: those within r are linked with the pivot, and so are in one
+  component with each other; no pair of them is looked at;
+* the numbers of differing bits obey the triangle inequality, too: those of two linked points to one pivot
+  differ by no more than the shingles that linked sets of the region's sizes can differ in. The
   region is cut into shells of that width, and each shell takes the points of the next inner one as
   its boundary: a linked pair is together in the outer one's shell;
 * a shell whose points are already in one component is done. Each other one is a region of the next
   round, without the pivot, and takes a pivot of its own from its inner points.
 
 Regions with the same pivot measure a point once. After ROUNDS rounds, what is left is compared
-within its shells, pair by pair, exactly: only pairs that pass the windows of all their pivots, of
-sets not yet in one component, are left there. Nothing is capped.
+within its shells, pair by pair, by sketch and then exactly: only pairs that pass the windows of all their
+pivots, of sets not yet in one component, are left there. Nothing is capped.
 
 The measured pairs bring both full sets together by shuffle; a pivot with many points is dealt out
 over as many copies of its set. Points and links go through written tables in the shared folder.
@@ -78,9 +82,16 @@ def _listed(values: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.uint64), *values]).view(np.int64)))
 
 
+def _sketch(values: np.ndarray) -> np.ndarray:
+    """Parities of a set's hash classes, at least two classes a shingle, as 64-bit numbers."""
+    bits = max(64, 1 << int(2 * len(values) - 1).bit_length()) if len(values) else 64
+    odd = np.bincount((values >> np.uint64(24)).astype(np.int64) % bits, minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+
+
 def _pointed(width: int, percent: int, counts):
     def point(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each document's set as a point: its identity and its rarest shingles, as many as two linked sets cannot both miss."""
+        """Each document's set as a point: its identity, its rarest shingles, as many as two linked sets cannot both miss, and its sketch."""
         common = counts.value
         for batch, data, at in wordcodes.chunks(batches, "text"):
             sets = shingle_sets(data, at, width)
@@ -88,7 +99,8 @@ def _pointed(width: int, percent: int, counts):
             for s in sets:
                 n = len(s) - -(-len(s) * percent // 100) + 1 if len(s) else 0
                 first.append(s[np.lexsort((s, common[(s % np.uint64(SLOTS)).astype(np.int64)]))[:n]])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *_identity(sets), _listed(first)], ["doc_id", *_SET, "rare"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *_identity(sets), _listed(first), _listed([_sketch(s) for s in sets])],
+                                             ["doc_id", *_SET, "rare", "sketch"])
     return point
 
 
@@ -119,6 +131,27 @@ def _linked(percent: int) -> Column:
     return 100 * F.col("both") >= percent * F.col("either")
 
 
+def _apart(x: Column, y: Column) -> Column:
+    """In how many bits two sketches differ; one twice as long as the other is folded to its length."""
+    def folded(long: Column, short: Column) -> Column:
+        half = F.size(short)
+        return F.when(F.size(long) > half, F.zip_with(F.slice(long, F.lit(1), half), F.slice(long, half + 1, half),
+                                                      lambda a, b: a.bitwiseXOR(b))).otherwise(long)
+    return F.aggregate(F.zip_with(folded(x, y), folded(y, x), lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b).cast("long")
+
+
+def _sketched(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """pairs(a, b, crowd) with `apart`, the bits in which their sketches differ, and if they may be linked."""
+    for side in ("a", "b"):
+        mine = points.select(F.col("node").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}"))
+        pairs = pairs.join(mine.hint("merge"), side)
+    both = F.col("n_a") + F.col("n_b")
+    sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    return (pairs.withColumn("apart", _apart(F.col("sketch_a"), F.col("sketch_b")))
+            .withColumn("near", sizes & ((100 + percent) * F.col("apart") <= (100 - percent) * both))
+            .select("a", "b", "crowd", "apart", "near"))
+
+
 def _contracted(links: DataFrame, roots: DataFrame | None, folder: str) -> DataFrame:
     """(node, root) after more links: they join whole components of the roots found before."""
     if roots is None:
@@ -134,38 +167,36 @@ def _contracted(links: DataFrame, roots: DataFrame | None, folder: str) -> DataF
 
 
 def _classes(percent: int) -> Column:
-    """Classes of set sizes: those of linked sets are equal or neighbours."""
+    """Classes of set sizes: those of linked sets are equal or neighbours, and sizes of neighbours differ less than twofold each."""
     return F.floor(F.log(F.col("n_shingles").cast("double")) / F.lit(float(-np.log(percent / 100))) * (1 - 1e-9)).cast("long")
 
 
 def _sized(members: DataFrame, percent: int) -> DataFrame:
-    """members(region, node, n_shingles, root) dealt into classes of size: each point is an upper one of
-    its own class and a boundary point of the next."""
-    ways = F.explode(F.array(F.lit(0), F.lit(1)))
-    return members.withColumn("class", _classes(percent)).withColumn("way", ways).select(
-        F.xxhash64("region", F.col("class") + F.col("way")).alias("region"), "node", "n_shingles", F.lit(True).alias("inner"),
-        (F.col("way") == 0).alias("upper"), "root")
+    """members(region, node, n_shingles) dealt into classes of size: each point is an upper one of its own
+    class and a boundary point of the next."""
+    spot = members.withColumn("class", _classes(percent)).withColumn("way", F.explode(F.array(F.lit(0), F.lit(1))))
+    return spot.select(F.xxhash64("region", F.col("class") + F.col("way")).alias("region"), "node", "n_shingles",
+                       F.lit(True).alias("inner"), (F.col("way") == 0).alias("upper"), F.col("node").alias("root"))
 
 
 def _shells(members: DataFrame, percent: int) -> DataFrame:
-    """members(region, node, n_shingles, both, either, root) of measured regions, dealt into shells and classes of size.
+    """members(region, node, n_shingles, upper, apart, top, root) of sketched regions, dealt into shells.
 
-    Each point is an inner one of its own shell and a boundary point of the next. Which of two points
-    is further out and which is larger may differ: both are in the cell of the larger values of either.
+    Each point is an inner one of its own shell and a boundary point of the next. Linked sets of up to
+    `top` shingles differ in at most (1 - t) / (1 + t) * 2 top of them.
     """
-    shell = F.expr(f"(either - both) * 100 div (either * {100 - percent})")
-    spot = members.withColumn("shell", shell).withColumn("out", F.explode(F.array(F.lit(0), F.lit(1))))
-    spot = spot.withColumn("region", F.xxhash64("region", F.col("shell") + F.col("out")))
-    return _sized(spot.select("region", F.struct("node", (F.col("out") == 0).alias("inner")).alias("node"), "n_shingles", "root"), percent).select(
-        "region", F.col("node.node").alias("node"), "n_shingles", F.col("node.inner").alias("inner"), "upper", "root")
+    width = F.greatest(F.lit(1), F.expr(f"2 * {100 - percent} * top div {100 + percent}"))
+    spot = members.withColumn("shell", F.floor(F.col("apart") / width)).withColumn("out", F.explode(F.array(F.lit(0), F.lit(1))))
+    return spot.select(F.xxhash64("region", F.col("shell") + F.col("out")).alias("region"), "node", "n_shingles",
+                       (F.col("out") == 0).alias("inner"), "upper", "root")
 
 
 def _open_regions(cells: DataFrame) -> DataFrame:
     """Regions that may hold an unseen link: points of two components, and inner ones to choose a pivot from."""
     return (cells.groupBy("region").agg(
-        F.count("*").alias("crowd"), F.min("root").alias("least"), F.max("root").alias("most"), F.max("inner").alias("has_inner"),
-        F.max("upper").alias("has_upper"), F.min(F.when(F.col("inner"), F.col("node"))).alias("pivot"))
-        .filter("least <> most AND has_inner AND has_upper").select("region", "crowd", "pivot"))
+        F.count("*").alias("crowd"), F.min("root").alias("least"), F.max("root").alias("most"), F.max("upper").alias("has_upper"),
+        F.max("n_shingles").alias("top"), F.min(F.when(F.col("inner"), F.col("node"))).alias("pivot"))
+        .filter("least <> most AND pivot IS NOT NULL AND has_upper").select("region", "crowd", "top", "pivot"))
 
 
 def _left_over(cells: DataFrame, percent: int) -> DataFrame:
@@ -197,13 +228,13 @@ def jaccard_join(docs: DataFrame, width: int = 5, percent: int = 80, rounds: int
     counts[tally["slot"].to_numpy(np.int64)] = tally["n"].to_numpy(np.int64)
     sent = spark.sparkContext.broadcast(counts)
     identity = "set_a long, set_b long, n_shingles long"
-    rows = shared.stored_alone(base.mapInArrow(_pointed(width, percent, sent), f"doc_id long, {identity}, rare array<long>"), f"{folder}/rows")
+    rows = shared.stored_alone(base.mapInArrow(_pointed(width, percent, sent), f"doc_id long, {identity}, rare array<long>, sketch array<long>"), f"{folder}/rows")
     named = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
 
     # one point for each distinct set, numbered as written
-    points = named.groupBy(*_SET).agg(F.min("doc_id").alias("first"), F.first("rare").alias("rare"))
+    points = named.groupBy(*_SET).agg(F.min("doc_id").alias("first"), F.first("rare").alias("rare"), F.first("sketch").alias("sketch"))
     points = shared.stored_alone(points.withColumn("node", F.monotonically_increasing_id()), f"{folder}/points")
-    member = (rows.drop("rare").join(points.select(*_SET, "node").hint("merge"), _SET, "left")
+    member = (rows.drop("rare", "sketch").join(points.select(*_SET, "node").hint("merge"), _SET, "left")
               .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node")))
     member = shared.stored_alone(member, f"{folder}/member")
     repeats = not named.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
@@ -214,44 +245,51 @@ def jaccard_join(docs: DataFrame, width: int = 5, percent: int = 80, rounds: int
     # first regions: points that share one of their rarest shingles
     shingled = points.select(F.explode("rare").alias("region"), "node", "n_shingles")
     met = shingled.groupBy("region").agg(F.count("*").alias("n")).filter("n > 1").select("region")
-    together = shingled.join(met.hint("merge"), "region").withColumn("root", F.col("node"))
-    dealt = shared.stored_alone(_sized(together, percent), f"{folder}/dealt-0")
+    dealt = shared.stored_alone(_sized(shingled.join(met.hint("merge"), "region"), percent), f"{folder}/dealt-0")
     cells = shared.stored_alone(dealt.join(_open_regions(dealt).hint("merge"), "region"), f"{folder}/cells-0")
-
-    # full sets of the points that share a region, made anew from their texts
-    wanted = shared.stored_alone(points.drop("rare").join(cells.select("node").distinct().hint("merge"), "node", "left_semi"), f"{folder}/wanted")
-    texts = base.join(wanted.select(F.col("first").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
-    whole = texts.select("text").mapInArrow(_whole(width), f"{identity}, shingles array<long>")
-    if repeats:
-        whole = whole.groupBy(*_SET).agg(F.first("shingles").alias("shingles"))
-    sets = whole.join(wanted.select(*_SET, "node").hint("merge"), _SET).select("node", "shingles")
-    sets = shared.stored_alone(sets, f"{folder}/sets")
-
-    for done in ("dealt-0", "wanted"):
-        shared.dropped(spark, f"{folder}/{done}")
-
-    roots, seen, k = None, None, 0
+    shared.dropped(spark, f"{folder}/dealt-0")
+
+    def measured(pairs: DataFrame, k: int) -> DataFrame:
+        """The pairs that may be linked, measured on their full sets, which are made anew from their texts."""
+        ends = shared.stored_alone(pairs.filter("near").select(F.explode(F.array("a", "b")).alias("node")).distinct(), f"{folder}/ends-{k}")
+        wanted = shared.stored_alone(points.drop("rare", "sketch").join(ends.hint("merge"), "node", "left_semi"), f"{folder}/wanted-{k}")
+        texts = base.join(wanted.select(F.col("first").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
+        whole = texts.select("text").mapInArrow(_whole(width), f"{identity}, shingles array<long>")
+        if repeats:
+            whole = whole.groupBy(*_SET).agg(F.first("shingles").alias("shingles"))
+        sets = whole.join(wanted.select(*_SET, "node").hint("merge"), _SET).select("node", "shingles")
+        sets = shared.stored_alone(sets, f"{folder}/sets-{k}")
+        out = shared.stored_alone(_measured(pairs.filter("near"), sets), f"{folder}/measured-{k}")
+        shared.dropped(spark, f"{folder}/sets-{k}")
+        return out
+
+    roots, seen, links, k = None, None, None, 0
     while True:
         star = (cells.filter("node <> pivot").groupBy(F.col("node").alias("a"), F.col("pivot").alias("b"))
                 .agg(F.max("crowd").alias("crowd")))
         if seen is not None:
             star = star.join(seen.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
-        now = shared.stored_alone(_measured(star, sets), f"{folder}/measured-{k}")
+        now = shared.stored_alone(_sketched(star, points, percent), f"{folder}/sketched-{k}")
         seen = now if seen is None else seen.unionByName(now)
-        links = now.filter(_linked(percent)).select("a", "b")
-        roots = _contracted(links.unionByName(several) if repeats and not k else links, roots, f"{folder}/roots-{k}")
-        known = cells.select("region", "node", "n_shingles", "pivot").join(seen.withColumnsRenamed({"a": "node", "b": "pivot"}).hint("merge"), ["node", "pivot"])
-        known = known.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-        # regions in one component are done; dealing out their points would be in vain
-        split = known.join(_split(cells, roots).hint("merge"), "region", "left_semi")
+        found = measured(now, k).filter(_linked(percent))
+        links = found if links is None else links.unionByName(found)
+        edges = found.select("a", "b")
+        roots = _contracted(edges.unionByName(several) if repeats and not k else edges, roots, f"{folder}/roots-{k}")
+        placed = cells.drop("root").join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        # regions in one component are done
+        split = placed.groupBy("region").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("region")
+        known = (placed.join(split.hint("merge"), "region", "left_semi")
+                 .join(seen.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "apart").hint("merge"), ["node", "pivot"]))
         k += 1
-        dealt = shared.stored_alone(_shells(split, percent), f"{folder}/dealt-{k}")
+        dealt = shared.stored_alone(_shells(known, percent), f"{folder}/dealt-{k}")
         cells = shared.stored_alone(dealt.join(_open_regions(dealt).hint("merge"), "region"), f"{folder}/cells-{k}")
         if k >= rounds or cells.isEmpty():
             break
     rest = _left_over(cells, percent).join(seen.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
-    late = shared.stored_alone(_measured(rest, sets), f"{folder}/measured-{k}")
-    roots = _contracted(late.filter(_linked(percent)).select("a", "b"), roots, f"{folder}/roots-{k}")
+    late = shared.stored_alone(_sketched(rest, points, percent).filter("near"), f"{folder}/sketched-{k}")
+    found = measured(late, k).filter(_linked(percent))
+    links = links.unionByName(found)
+    roots = _contracted(found.select("a", "b"), roots, f"{folder}/roots-{k}")
 
     placed = points.select("node", "first").join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     label = placed.groupBy("root").agg(F.min("first").alias("component_id"))
@@ -261,19 +299,12 @@ def jaccard_join(docs: DataFrame, width: int = 5, percent: int = 80, rounds: int
         one = out.groupBy("doc_id").agg(F.min("component_id").alias("component_id")).filter("doc_id IS NOT NULL")
         out = out.drop("component_id").join(one, "doc_id", "left")
     names = points.select(F.col("node"), F.col("first"))
-    links = seen.unionByName(late).filter(_linked(percent))
     for side in ("a", "b"):
         links = links.join(names.withColumnsRenamed({"node": side, "first": f"first_{side}"}).hint("merge"), side)
     links = links.select(F.col("first_a").alias("a"), F.col("first_b").alias("b"), "both", "either")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")), links
 
 
-def _split(cells: DataFrame, roots: DataFrame) -> DataFrame:
-    """Regions whose points lie in several components."""
-    placed = cells.select("region", "node").join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    return placed.groupBy("region").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("region")
-
-
 def joined(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     return jaccard_join(docs, width, percent)[0]
