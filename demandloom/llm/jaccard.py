@@ -21,11 +21,11 @@ region's pivot is one of its points:
   differ by no more than the shingles that linked sets of the region's sizes can differ in. The
   region is cut into shells of that width, and each shell takes the points of the next inner one as
   its boundary: a linked pair is together in the outer one's shell;
-* a shell whose points are already in one component is done. Each other one is a region of the next
+* regions of the very same points are looked at once. A shell whose points are already in one component is done. Each other one is a region of the next
   round, without the pivot, and takes a pivot of its own from its inner points.
 
 Regions with the same pivot measure a point once. After ROUNDS rounds, what is left is compared
-within its shells, pair by pair, by sketch and then exactly: only pairs that pass the windows of all their
+within its shells, pair by pair, by sketch inside the join and then exactly: only pairs that pass the windows of all their
 pivots, of sets not yet in one component, are left there. Nothing is capped.
 
 The measured pairs bring both full sets together by shuffle; a pivot with many points is dealt out
@@ -52,7 +52,9 @@ from demandloom.llm.neardup import shingle_sets
 #: counters that order shingles from rare to common; another number gives the same links
 SLOTS = 1 << 16
 #: rounds of pivots before what is left is compared directly
-ROUNDS = 3
+ROUNDS = 2
+#: 64-bit numbers of a mask: a sketch folded to one length for all, looked at before the sketch
+MASK = 8
 #: points that meet one copy of a pivot's set
 CROWD = 500
 _SET = ["set_a", "set_b", "n_shingles"]
@@ -89,6 +91,13 @@ def _sketch(values: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
+def _mask(sketch: np.ndarray) -> np.ndarray:
+    """The sketch with MASK numbers: parts of a longer one folded together, a shorter one filled up."""
+    if len(sketch) < MASK:
+        return np.concatenate([sketch, np.zeros(MASK - len(sketch), np.uint64)])
+    return np.bitwise_xor.reduce(sketch.reshape(-1, MASK), axis=0)
+
+
 def _pointed(width: int, percent: int, counts):
     def point(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each document's set as a point: its identity, its rarest shingles, as many as two linked sets cannot both miss, and its sketch."""
@@ -99,8 +108,10 @@ def _pointed(width: int, percent: int, counts):
             for s in sets:
                 n = len(s) - -(-len(s) * percent // 100) + 1 if len(s) else 0
                 first.append(s[np.lexsort((s, common[(s % np.uint64(SLOTS)).astype(np.int64)]))[:n]])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *_identity(sets), _listed(first), _listed([_sketch(s) for s in sets])],
-                                             ["doc_id", *_SET, "rare", "sketch"])
+            sketches = [_sketch(s) for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *_identity(sets), _listed(first), _listed(sketches), _listed([_mask(s) for s in sketches])],
+                ["doc_id", *_SET, "rare", "sketch", "mask"])
     return point
 
 
@@ -192,21 +203,34 @@ def _shells(members: DataFrame, percent: int) -> DataFrame:
 
 
 def _open_regions(cells: DataFrame) -> DataFrame:
-    """Regions that may hold an unseen link: points of two components, and inner ones to choose a pivot from."""
-    return (cells.groupBy("region").agg(
-        F.count("*").alias("crowd"), F.min("root").alias("least"), F.max("root").alias("most"), F.max("upper").alias("has_upper"),
-        F.max("n_shingles").alias("top"), F.min(F.when(F.col("inner"), F.col("node"))).alias("pivot"))
-        .filter("least <> most AND pivot IS NOT NULL AND has_upper").select("region", "crowd", "top", "pivot"))
+    """Regions that may hold an unseen link: points of two components, and inner ones to choose a pivot from.
 
-
-def _left_over(cells: DataFrame, percent: int) -> DataFrame:
-    """The pairs of each region that pass its windows and are not in one component."""
-    left = cells.select("region", *[F.col(c).alias(f"{c}_1") for c in ("node", "n_shingles", "inner", "upper", "root")])
-    right = cells.select("region", *[F.col(c).alias(f"{c}_2") for c in ("node", "n_shingles", "inner", "upper", "root")])
+    Of regions that hold the same points in the same roles one is enough.
+    """
+    member = F.xxhash64("node", "inner", "upper")
+    found = cells.groupBy("region").agg(
+        F.count("*").alias("crowd"), F.min("root").alias("least"), F.max("root").alias("most"), F.max("upper").alias("has_upper"),
+        F.max("n_shingles").alias("top"), F.min(F.when(F.col("inner"), F.col("node"))).alias("pivot"),
+        F.bit_xor(member).alias("x"), F.sum(F.xxhash64("node", "upper", "inner").cast("decimal(20,0)")).alias("s"))
+    return (found.filter("least <> most AND pivot IS NOT NULL AND has_upper")
+            .groupBy("crowd", "top", "pivot", "x", "s").agg(F.min("region").alias("region")).select("region", "crowd", "top", "pivot"))
+
+
+def _left_over(cells: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """The pairs of each region that pass its windows, may be linked by their sketches and are not in one component."""
+    sketched = cells.select("region", "node", "n_shingles", "inner", "upper", "root").join(
+        points.select("node", "sketch", *[F.get("mask", F.lit(k)).alias(f"m{k}") for k in range(MASK)]).hint("merge"), "node")
+    left, right = (sketched.select("region", *[F.col(c).alias(f"{c}_{side}") for c in sketched.columns if c != "region"]) for side in (1, 2))
+    both = F.col("n_shingles_1") + F.col("n_shingles_2")
     sizes = (100 * F.least("n_shingles_1", "n_shingles_2") >= percent * F.greatest("n_shingles_1", "n_shingles_2"))
+    # masks of two lengths of sketch differ in more than their sets; those of over MASK numbers never do
+    masks = sum((F.bit_count(F.col(f"m{k}_1").bitwiseXOR(F.col(f"m{k}_2"))) for k in range(MASK)), F.lit(0))
+    whole = (F.size("sketch_1") >= MASK) & (F.size("sketch_2") >= MASK)
     return (left.join(right.hint("merge"), "region")
             .filter((F.col("node_1") < F.col("node_2")) & (F.col("root_1") != F.col("root_2")) & sizes
-                    & (F.col("inner_1") | F.col("inner_2")) & (F.col("upper_1") | F.col("upper_2")))
+                    & (F.col("inner_1") | F.col("inner_2")) & (F.col("upper_1") | F.col("upper_2"))
+                    & (~whole | ((100 + percent) * masks <= (100 - percent) * both))
+                    & ((100 + percent) * _apart(F.col("sketch_1"), F.col("sketch_2")) <= (100 - percent) * both))
             .select(F.col("node_2").alias("a"), F.col("node_1").alias("b")).distinct()
             .withColumn("crowd", F.lit(0).cast("long")))
 
@@ -228,13 +252,13 @@ def jaccard_join(docs: DataFrame, width: int = 5, percent: int = 80, rounds: int
     counts[tally["slot"].to_numpy(np.int64)] = tally["n"].to_numpy(np.int64)
     sent = spark.sparkContext.broadcast(counts)
     identity = "set_a long, set_b long, n_shingles long"
-    rows = shared.stored_alone(base.mapInArrow(_pointed(width, percent, sent), f"doc_id long, {identity}, rare array<long>, sketch array<long>"), f"{folder}/rows")
+    rows = shared.stored_alone(base.mapInArrow(_pointed(width, percent, sent), f"doc_id long, {identity}, rare array<long>, sketch array<long>, mask array<long>"), f"{folder}/rows")
     named = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
 
     # one point for each distinct set, numbered as written
-    points = named.groupBy(*_SET).agg(F.min("doc_id").alias("first"), F.first("rare").alias("rare"), F.first("sketch").alias("sketch"))
+    points = named.groupBy(*_SET).agg(F.min("doc_id").alias("first"), F.first("rare").alias("rare"), F.first("sketch").alias("sketch"), F.first("mask").alias("mask"))
     points = shared.stored_alone(points.withColumn("node", F.monotonically_increasing_id()), f"{folder}/points")
-    member = (rows.drop("rare", "sketch").join(points.select(*_SET, "node").hint("merge"), _SET, "left")
+    member = (rows.drop("rare", "sketch", "mask").join(points.select(*_SET, "node").hint("merge"), _SET, "left")
               .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node")))
     member = shared.stored_alone(member, f"{folder}/member")
     repeats = not named.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
@@ -252,7 +276,7 @@ def jaccard_join(docs: DataFrame, width: int = 5, percent: int = 80, rounds: int
     def measured(pairs: DataFrame, k: int) -> DataFrame:
         """The pairs that may be linked, measured on their full sets, which are made anew from their texts."""
         ends = shared.stored_alone(pairs.filter("near").select(F.explode(F.array("a", "b")).alias("node")).distinct(), f"{folder}/ends-{k}")
-        wanted = shared.stored_alone(points.drop("rare", "sketch").join(ends.hint("merge"), "node", "left_semi"), f"{folder}/wanted-{k}")
+        wanted = shared.stored_alone(points.drop("rare", "sketch", "mask").join(ends.hint("merge"), "node", "left_semi"), f"{folder}/wanted-{k}")
         texts = base.join(wanted.select(F.col("first").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
         whole = texts.select("text").mapInArrow(_whole(width), f"{identity}, shingles array<long>")
         if repeats:
@@ -274,7 +298,8 @@ def jaccard_join(docs: DataFrame, width: int = 5, percent: int = 80, rounds: int
         found = measured(now, k).filter(_linked(percent))
         links = found if links is None else links.unionByName(found)
         edges = found.select("a", "b")
-        roots = _contracted(edges.unionByName(several) if repeats and not k else edges, roots, f"{folder}/roots-{k}")
+        if not k or not edges.isEmpty():
+            roots = _contracted(edges.unionByName(several) if repeats and not k else edges, roots, f"{folder}/roots-{k}")
         placed = cells.drop("root").join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
         # regions in one component are done
         split = placed.groupBy("region").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("region")
@@ -285,11 +310,12 @@ def jaccard_join(docs: DataFrame, width: int = 5, percent: int = 80, rounds: int
         cells = shared.stored_alone(dealt.join(_open_regions(dealt).hint("merge"), "region"), f"{folder}/cells-{k}")
         if k >= rounds or cells.isEmpty():
             break
-    rest = _left_over(cells, percent).join(seen.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
+    rest = _left_over(cells, points, percent).join(seen.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
     late = shared.stored_alone(_sketched(rest, points, percent).filter("near"), f"{folder}/sketched-{k}")
     found = measured(late, k).filter(_linked(percent))
     links = links.unionByName(found)
-    roots = _contracted(found.select("a", "b"), roots, f"{folder}/roots-{k}")
+    if not found.isEmpty():
+        roots = _contracted(found.select("a", "b"), roots, f"{folder}/roots-{k}")
 
     placed = points.select("node", "first").join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     label = placed.groupBy("root").agg(F.min("first").alias("component_id"))
