@@ -358,6 +358,7 @@ QUERIES: dict[str, Callable[[Context], DataFrame]] = {
     "group_backtest": lambda c: forecasting.backtest_holdout(c.ship, last_month=c.last),
     "mm_evaluate": lambda c: forecasting.mm_evaluate(c.train),
     "mm_evaluate_arima": lambda c: forecasting.mm_evaluate(c.train, ["arima"]),
+    "conformal_rule": lambda c: forecasting.conformal_forecast(c.train, "mean_12"),
     "mm_airline": lambda c: forecasting.mm_score(c.train, ["airline"]).select("unique_id", "model", "target_ym", "p50"),
     "mm_score": lambda c: forecasting.mm_score(c.train),
     # the separate run of series with few demands, at the finest grain

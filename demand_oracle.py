@@ -308,19 +308,20 @@ SPARSE = f"""
     totals AS (
       SELECT unique_id, window_no, most, k, (cut - t) // k AS j, cut // k AS m, sum(qty) AS total
       FROM seen JOIN (SELECT *, unnest(generate_series(1, most)) AS k FROM spans) USING (unique_id, window_no, cut)
-      WHERE (cut - t) // k < cut // k GROUP BY ALL),
+      WHERE (cut - t) // k < cut // k GROUP BY unique_id, window_no, most, k, (cut - t) // k, cut // k),
     levels AS (
       SELECT unique_id, window_no, most, k,
              sum(total * CASE WHEN j = m - 1 THEN power(CAST(0.8 AS DOUBLE), j) ELSE 0.2 * power(CAST(0.8 AS DOUBLE), j) END) / k AS level
-      FROM totals GROUP BY ALL),
+      FROM totals GROUP BY unique_id, window_no, most, k),
     sparse_levels AS (
       SELECT unique_id, window_no, 'tsb' AS model, COALESCE(level, 0.0) AS level FROM spans LEFT JOIN tsb USING (unique_id, window_no)
       UNION ALL SELECT unique_id, window_no, 'adida', level FROM levels WHERE k = most
       UNION ALL SELECT unique_id, window_no, 'imapa', avg(level) FROM levels GROUP BY unique_id, window_no),
     sparse_scores AS (
-      SELECT unique_id, model, window_no, max(n) AS n,
+      SELECT unique_id, model, window_no,
              avg(CASE WHEN abs(qty) + abs(level) = 0 THEN 0 ELSE 2 * abs(qty - level) / (abs(qty) + abs(level)) END) AS metric_value
-      FROM sparse_levels JOIN months USING (unique_id) WHERE t BETWEEN n - 23 + 6 * window_no AND n - 6 + 6 * window_no GROUP BY ALL)"""
+      FROM sparse_levels JOIN months USING (unique_id) WHERE t BETWEEN n - 23 + 6 * window_no AND n - 6 + 6 * window_no
+      GROUP BY unique_id, model, window_no)"""
 
 
 def sparse(windows: str, select: str) -> str:
@@ -634,6 +635,22 @@ def _statements() -> dict[str, str]:
              list_append(es, CASE WHEN t < n THEN ys[t + 1] - f ELSE CAST(0 AS DOUBLE) END)
       FROM (SELECT *, ys[t] + ys[t - 11] - ys[t - 12] - 0.4 * es[t] - 0.6 * es[t - 11] + 0.24 * es[t - 12] AS f FROM walk) WHERE t < n + 18)
     SELECT unique_id, 'airline' AS model, target_ym, round(greatest(ys[n + k], 0), 6) AS p50 FROM walk CROSS JOIN ahead WHERE t = n + 18"""
+    q["conformal_rule"] = """
+    WITH starts AS (
+      SELECT p.item_code, p.channel, n - o AS cut, o FROM (SELECT item_code, channel, count(*) AS n FROM placed GROUP BY ALL) p,
+             (SELECT unnest(generate_series(1, 36)) AS o) WHERE o < n),
+    guesses AS (
+      SELECT item_code, channel, cut, o, avg(qty) AS f FROM starts JOIN placed USING (item_code, channel)
+      WHERE t BETWEEN cut - 11 AND cut GROUP BY item_code, channel, cut, o),
+    misses AS (
+      SELECT item_code, channel, t - cut AS k, abs(qty - f) AS miss FROM guesses JOIN placed USING (item_code, channel) WHERE t BETWEEN cut + 1 AND cut + 18),
+    ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY item_code, channel, k ORDER BY miss) AS place, count(*) OVER (PARTITION BY item_code, channel, k) AS m FROM misses),
+    widths AS (
+      SELECT item_code, channel, k, miss AS width FROM ranked WHERE place = least(m, CAST(ceil((m + 1) * CAST(0.95 AS DOUBLE)) AS BIGINT)))
+    SELECT item_code || '|' || channel AS unique_id, 'mean_12' AS model, target_ym, round(mean_12, 6) AS p50,
+           round(greatest(mean_12 - width, 0), 6) AS lower_bound, round(mean_12 + width, 6) AS upper_bound
+    FROM year_mean JOIN widths USING (item_code, channel) JOIN ahead USING (k)"""
     q["route_series_a"] = f"SELECT item_code, channel, {STATS}, demand_class, 'main_pipeline' AS forecast_source FROM series_class"
     q["route_series_c"] = f"""
     SELECT item_code, channel, {STATS}, demand_class,

@@ -226,6 +226,36 @@ def mm_score(train: DataFrame, models: Iterable[str] = tuple(MODELS), horizon: i
     return unpack(predict(rows, F.lit(horizon), models), [ID, "model"])
 
 
+def conformal_forecast(train: DataFrame, model: str, horizon: int = spec.HORIZON_MONTHS,
+                       origins: int = 2 * spec.HORIZON_MONTHS, level: float = 0.95) -> DataFrame:
+    """Forecast of one model for every series, with bounds from its own past misses.
+
+    The model is run from each of the last `origins` months; the absolute misses k months ahead
+    are ranked, and the one at rank ceil((m + 1) * level) of m is the half-width for that step.
+    No shape of the errors is assumed. A step that no origin reaches has the last known
+    half-width; a series without any miss has no bounds.
+    """
+    packed = pack(train, ID, TIME, VALUE).withColumn("model", F.lit(model))
+    size = F.size("y")
+    past = packed.filter(size > 1).withColumn("origin", F.explode(F.sequence(F.lit(1), F.least(F.lit(origins), size - 1))))
+    past = past.select(ID, "last_ym", "model", F.slice("y", F.lit(1), size - F.col("origin")).alias("y"),
+                       F.slice("y", size - F.col("origin") + 1, F.lit(horizon)).alias("actual"))
+    tried = predict(past, F.lit(horizon), [model]).filter(F.col("p50").isNotNull())
+    misses = F.zip_with("actual", F.slice("p50", F.lit(1), F.size("actual")), lambda a, p: F.abs(a - F.greatest(p, F.lit(0.0))))
+    ranked = tried.select(ID, F.posexplode(misses).alias("step", "miss")).groupBy(ID, "step").agg(F.array_sort(F.collect_list("miss")).alias("ranked"))
+    rank = F.least(F.size("ranked"), F.ceil((F.size("ranked") + 1) * F.lit(level)).cast("int"))
+    steps = ranked.select(ID, F.struct("step", F.get("ranked", rank - 1).alias("width")).alias("s")).groupBy(ID).agg(
+        F.array_sort(F.collect_list("s")).alias("steps"))
+    widths = steps.select(ID, F.transform("steps", lambda x: x["width"]).alias("widths"))
+    ahead = predict(packed, F.lit(horizon), [model]).join(widths, ID, "left")
+    rows = ahead.select(ID, "model", "last_ym", "widths", F.posexplode("p50").alias("k", "p50"))
+    width = F.get("widths", F.least(F.col("k"), F.size("widths") - 1))
+    return rows.select(
+        ID, "model", shift_month_end("last_ym", F.col("k") + 1).alias("target_ym"), F.greatest("p50", F.lit(0.0)).alias("p50"),
+        F.greatest(F.greatest("p50", F.lit(0.0)) - width, F.when(width.isNotNull(), 0.0)).alias("lower_bound"),
+        (F.greatest("p50", F.lit(0.0)) + width).alias("upper_bound"))
+
+
 def best_models(evaluation: DataFrame, ties: str = "keep") -> DataFrame:
     """Model with the lowest mean score per series; NULL scores do not count.
 

@@ -16,10 +16,10 @@ from demandloom import spec
 from demandloom.operators.dedup import latest_by
 from demandloom.sources.tables import append_table
 
-# Layout of the registry tables.
+#: layout of the registry tables; the last column of each says when a row was added
 LAYOUT = {
     "model_runs": "run_id INT, name STRING, max_depth INT, learning_rate DOUBLE, max_iter INT, mae DOUBLE, "
-                  "mase DOUBLE, baseline_mae DOUBLE, trained_through DATE, data_available_through DATE, logged_at TIMESTAMP",
+                  "mase DOUBLE, baseline_mae DOUBLE, trained_through DATE, data_available_through DATE, logged_by STRING, logged_at TIMESTAMP",
     "model_versions": "version INT, run_id INT, path STRING, registered_at TIMESTAMP",
     "model_alias_events": "event_no INT, alias STRING, version INT, set_at TIMESTAMP",
     "model_tags": "event_no INT, version INT, tag STRING, value STRING, set_at TIMESTAMP",
@@ -53,7 +53,8 @@ class Registry:
             "run_id": run, "name": name, "max_depth": int(params["max_depth"]),
             "learning_rate": float(params["learning_rate"]), "max_iter": int(params["max_iter"]),
             "mae": metrics["mae"], "mase": metrics["mase"], "baseline_mae": metrics["baseline_mae"],
-            "trained_through": trained_through, "data_available_through": available_through})
+            "trained_through": trained_through, "data_available_through": available_through,
+            "logged_by": self.spark.range(1).select(F.current_user()).head()[0]})
         return run
 
     def register(self, model: PipelineModel, run_id: int) -> int:

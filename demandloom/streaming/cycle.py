@@ -324,13 +324,32 @@ def sparse_models(ws: Workspace, ship: DataFrame, routes: DataFrame, use_case: s
     stored(forecasting.score_routed(train, chosen), "forecasts")
 
 
+def score_versions(ws: Workspace, gold: StoredGold) -> DataFrame:
+    """Scores of every registered version on the newest windows: one row per version and window.
+
+    Only versions that have no score for the window yet are loaded, each scored on the stored
+    rows by a plan of its own, and appended; a second run in the same month adds nothing.
+    """
+    registry, table = ws.registry(), f"{ws.database}.model_version_scores"
+    through = latest(gold.fct_shipments)
+    known = registry.table("model_versions").select("version")
+    if existing(ws.spark, [table]):
+        done = ws.spark.table(table).filter(F.col("window_ym") == through).select("version")
+        known = known.join(done, "version", "left_anti")
+    numbers = [r[0] for r in known.orderBy("version").collect()]
+    if numbers:
+        frame = temporal_split(feature_frame(gold.fct_shipments), gold.fct_shipments, built_ago=0)
+        ws.store(frame.filter(F.col("split") == "valid"), "version_window", evolve=True)
+    for n in numbers:
+        scores = lifecycle.stack_versions(ws.table("version_window"), {n: registry.load(n)})
+        append_table(scores.select(through.alias("window_ym"), "*", F.current_timestamp().alias("scored_at")), table)
+    return ws.spark.table(table).filter(F.col("window_ym") == through)
+
+
 def compare_all_versions(ws: Workspace, gold: StoredGold) -> DataFrame:
-    """Every registered version re-scored on the newest windows, stored as a table."""
-    registry = ws.registry()
-    frame = temporal_split(feature_frame(gold.fct_shipments), gold.fct_shipments, built_ago=0)
-    numbers = [r[0] for r in registry.table("model_versions").select("version").orderBy("version").collect()]
-    scores = lifecycle.stack_versions(frame.filter(F.col("split") == "valid"), {n: registry.load(n) for n in numbers})
-    known = registry.versions().select("version", "alias", "trained_through")
+    """Every registered version with its scores on the newest windows, stored as a table."""
+    scores = score_versions(ws, gold).drop("window_ym", "scored_at")
+    known = ws.registry().versions().select("version", "alias", "trained_through")
     ws.store(known.join(scores, "version"), "model_version_comparison", evolve=True)
     return ws.spark.table(f"{ws.database}.model_version_comparison")
 

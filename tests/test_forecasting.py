@@ -187,3 +187,21 @@ def test_fits_use_all_partitions(spark):
     train = forecasting.mm_train(ship(spark, {(f"I{i}", "DOM"): [i] * 24 for i in range(40)}))
     out = forecasting.mm_score(train, ["ets"], horizon=2)
     assert out.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_bounds_from_past_misses_cover_what_comes(spark):
+    rng = np.random.default_rng(12)
+    months = [dt.date(2015 + k // 12, k % 12 + 1, 28) for k in range(96)]
+    data = {f"S{i}|DOM": rng.gamma(4.0, 10.0 + i % 7, 96) for i in range(150)}
+    lines = [(k, m, float(v)) for k, y in data.items() for m, v in zip(months[:78], y)]
+    train = spark.createDataFrame(lines, "unique_id STRING, ds DATE, y DOUBLE").withColumn("ds", F.last_day("ds"))
+    for model in ("mean_12", "theta"):
+        got = forecasting.conformal_forecast(train, model).collect()
+        assert len(got) == 150 * 18
+        inside = []
+        for r in got:
+            k = (r["target_ym"].year - 2015) * 12 + r["target_ym"].month - 1
+            inside.append(r["lower_bound"] <= data[r["unique_id"]][k] <= r["upper_bound"])
+        assert 0.90 <= np.mean(inside) <= 0.98
+    short = spark.createDataFrame([("S|D", dt.date(2024, 1, 31), 5.0)], "unique_id STRING, ds DATE, y DOUBLE")
+    assert {(r["p50"], r["lower_bound"], r["upper_bound"]) for r in forecasting.conformal_forecast(short, "mean_12").collect()} == {(5.0, None, None)}

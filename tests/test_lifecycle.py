@@ -153,6 +153,17 @@ def test_monthly_cycle(spark, database, folder):
     assert accuracy.filter("model_name LIKE 'demand_forecast_v%'").count() == 32 * 6
     versions = cycle.compare_all_versions(ws, gold)
     assert rows(versions.select("version")) == [(1,), (2,)]
+    first, load = rows(versions), Registry.load
+    loaded = []
+    Registry.load = lambda self, n: loaded.append(n) or load(self, n)
+    try:
+        assert rows(cycle.compare_all_versions(ws, gold)) == first and not loaded, "what has a score is not scored again"
+        Registry(spark, database, ws.folder).register(load(ws.registry(), 1), 1)
+        assert [r[0] for r in rows(cycle.compare_all_versions(ws, gold).select("version"))] == [1, 2, 3] and loaded == [3]
+    finally:
+        Registry.load = load
+    assert spark.table(f"{database}.model_version_scores").count() == 3
+    assert spark.table(f"{database}.model_runs").filter("logged_by IS NULL").isEmpty()
     cycle.grouped_forecasts(ws, gold)
     cycle.score(ws, gold, "2024-01-05")
     methods = spark.table(f"{database}.fct_forecast_accuracy_all").groupBy("model_name").count()

@@ -224,3 +224,30 @@ def test_demand_class_does_not_depend_on_the_partitioning(spark, star):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+class HandMade:
+    """Facts and dimensions of two items, one of which was never exported, and stock at three sites."""
+
+    def __init__(self, spark):
+        months = month_ends(dt.date(2024, 1, 31), 3)
+        self.last_month = self.last_stock_month = F.lit(months[-1]).cast("date")
+        lines = [("A", "DOM", months[0], 4, 40), ("A", "DOM", months[2], 5, 50), ("B", "DOM", months[1], 9, 90), ("B", "EXP", months[1], 1, 10)]
+        self.fct_shipments = spark.createDataFrame(lines, "item_code STRING, channel STRING, ym DATE, qty INT, amount BIGINT")
+        self.dim_item = spark.createDataFrame(
+            [("A", "Item A", "c", "main", 10, "lumpy", 1.5, 0.6, True, months[0]), ("B", "Item B", "c", "main", 10, "erratic", 1.0, 0.6, False, months[1])],
+            spec.SOURCES["items"].schema)
+        stock = [("A", "S1", months[2], 9, 4, 0, 5), ("B", "S1", months[2], 1, 4, 0, -3), ("A", "S2", months[2], 0, 4, 1, -4),
+                 ("A", "S3", months[1], 99, 4, 0, 95), ("B", "S3", months[2], 4, 4, 0, 0)]
+        self.fct_inventory = spark.createDataFrame(
+            stock, "item_code STRING, site_code STRING, ym DATE, closing_qty INT, safety_stock_qty INT, stockout_flag INT, surplus_qty INT")
+
+
+def test_reports_of_items_never_exported_and_of_surplus_sites(spark):
+    from demandloom.plans import reports
+
+    gold = HandMade(spark)
+    assert rows(reports.domestic_items(gold)) == [("A", "Item A", 4.5)]
+    assert rows(reports.surplus_sites(gold)) == [("S1", 2)]
+    profile = {r["demand_class"] for r in reports.class_profile(gold).collect()}
+    assert profile == {"lumpy", "erratic"}
