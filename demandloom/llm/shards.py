@@ -3,7 +3,7 @@
 First pass: every record goes to a shard by rendezvous hashing of its doc_id (the shard with the
 largest seeded hash wins, so one shard more takes records only into itself) and, by another seeded
 hash, to one of the shard's buckets. The number of buckets follows from the bytes of all texts, so
-that a bucket fits a task's memory. Second pass: each bucket is put in a fixed order, shuffled
+that a bucket fits a task's memory, and bucket k goes to partition k, so that no two meet in a task. Second pass: each bucket is put in a fixed order, shuffled
 (Spark's `shuffle` is Fisher-Yates with a given seed) and written to the shared folder. A record's
 slot is its place in its bucket plus the sizes of the shard's earlier buckets.
 
@@ -46,12 +46,12 @@ def shard(docs: DataFrame, shards: int = SHARDS, bucket_bytes: int = BUCKET_BYTE
         record.alias("record"), size.alias("size"), crc.alias("text_crc32"),
         rendezvous("doc_id", shards, seed).alias("shard"), rendezvous("doc_id", shards + 1, seed).alias("grown_shard"))
     spread = F.xxhash64("record.doc_id", "text_crc32", F.lit(seed + 1))
-    placed = placed.withColumn("bucket", F.col("shard") * buckets + F.pmod(spread, F.lit(buckets)))
+    placed = placed.withColumn("bucket", (F.col("shard") * buckets + F.pmod(spread, F.lit(buckets))).cast("int"))
 
     n = shards * buckets
     entry = F.struct(F.xxhash64("record.doc_id", "text_crc32", F.lit(seed + 2)).alias("order"), F.xxhash64(*[F.col(f"record.`{c}`") for c in own], F.lit(seed + 3)).alias("tie"),
                      "text_crc32", "size", "shard", "grown_shard", "record")
-    gathered = (placed.repartition(n, "bucket").sortWithinPartitions("bucket").groupBy("bucket")
+    gathered = (placed.repartitionById(n, F.col("bucket")).groupBy("bucket")
                 .agg(F.collect_list(entry).alias("rows"))
                 .select("bucket", F.shuffle(_ordered("rows"), F.lit(seed)).alias("rows"))
                 .select("bucket", F.posexplode("rows").alias("place", "row"))
