@@ -70,7 +70,7 @@ def _packed(rows: DataFrame, text: str = "text") -> DataFrame:
     """The rows with each text compressed, for the way through a shuffle."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1).compress
-        for batch in batches:
+        for batch, _, _ in wordcodes.chunks(batches, text):
             at = batch.schema.get_field_index(text)
             small = pa.array([None if t is None else squeeze(t.encode()) for t in batch.column(at).to_pylist()], pa.binary())
             yield batch.set_column(at, text, small)
@@ -81,7 +81,10 @@ def _packed(rows: DataFrame, text: str = "text") -> DataFrame:
 
 def _unpacked(block: pa.Table, text: str = "text") -> pa.Table:
     stretch = zstandard.ZstdDecompressor().decompress
-    whole = pa.array([None if t is None else stretch(t) for t in block.column(text).to_pylist()], pa.binary()).cast(pa.string())
+    # some hundreds at a time, so that few texts are Python objects at once
+    parts = [pa.array([None if t is None else stretch(t) for t in part.to_pylist()], pa.binary()).cast(pa.string())
+             for start in range(0, block.num_rows, 256) for part in (block.column(text).slice(start, 256),)]
+    whole = pa.chunked_array(parts, pa.string())
     return block.set_column(block.schema.get_field_index(text), text, whole)
 
 
