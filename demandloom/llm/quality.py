@@ -40,7 +40,7 @@ QUANTILE = 0.995
 #: labels sent to every task: 8 bytes each; with more the labels are joined by shuffle
 BROADCAST_LABELS = 2_000_000
 #: characters of a block; its documents and their grams are in one task's memory
-BLOCK = 16_000_000
+BLOCK = 8_000_000
 #: one in FOLDS trusted documents sets the threshold; the others are counted
 FOLDS, SEED = 5, 31
 _START = 0xFFFF
@@ -110,6 +110,7 @@ def _block_grams(block: pa.Table) -> pa.Table:
             if sum(len(c) for c, _ in parts) > 1_000_000:
                 total[name] = _merged(parts)
     found = [(name, *_merged(parts)[0]) for name, parts in total.items()]
+    pa.default_memory_pool().release_unused()  # the worker goes on to other blocks
     number = block.column("block")[0].as_py()
     return pa.table({
         "block": pa.array(np.full(sum(len(codes) for _, codes, _ in found), number, np.int64)),
@@ -181,7 +182,7 @@ def _score(keep: tuple[str, ...], text: str, lang: str, name: str):
         block = _unpacked(block, text)
         of, codes, logs = found.column("lang").to_numpy(), found.column("code").to_numpy(), found.column("logp").to_numpy()
         tables = {}
-        for model in set(of.tolist()):
+        for model in set(found.column("lang").unique().to_pylist()):
             mine = np.flatnonzero(of == model)
             mine = mine[np.argsort(codes[mine])]
             tables[model] = codes[mine], logs[mine]
@@ -198,6 +199,7 @@ def _score(keep: tuple[str, ...], text: str, lang: str, name: str):
             n = np.diff(at)
             out.append(np.where(n > 0, np.exp(-(sums[at[1:]] - sums[at[:-1]]) / np.maximum(n, 1)), np.nan))
         per = np.concatenate(out)
+        pa.default_memory_pool().release_unused()
         return block.select(keep).append_column(name, pa.array(per, mask=np.isnan(per)))
     return score
 
