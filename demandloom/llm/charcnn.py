@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 WIDTH, FILTERS, EMBED = 5, 24, 8
@@ -51,13 +53,16 @@ class CharCNN:
     def score(self, x: np.ndarray, batch: int = 2048) -> np.ndarray:
         return np.concatenate([np.empty(0), *(self._forward(x[i:i + batch])[3] for i in range(0, len(x), batch))])
 
+    def likely(self, score: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.scale * score + self.shift, -40, 40)))
+
     def probability(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.scale * self.score(x) + self.shift, -40, 40)))
+        return self.likely(self.score(x))
 
-    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int, seed: int, batch: int = 128, rate: float = 0.01) -> None:
-        """Adam on the logistic loss, both labels weighing the same."""
+    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int, seed: int, batch: int = 128, rate: float = 0.01, weight: np.ndarray | None = None) -> None:
+        """Adam on the logistic loss, both labels weighing the same if no weights are given."""
         rng = np.random.default_rng(seed)
-        weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())) * len(y)
+        weight = balanced(y) * len(y) if weight is None else weight
         first = {k: np.zeros_like(v) for k, v in self.w.items()}
         second = {k: np.zeros_like(v) for k, v in self.w.items()}
         step = 0
@@ -89,17 +94,50 @@ class CharCNN:
     def calibrate(self, x: np.ndarray, y: np.ndarray, recall: float) -> None:
         """Platt scaling on held-out findings; the threshold is the highest that keeps the recall."""
         z = self.score(x)
-        weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
-        a, b = 1.0, 0.0
-        for _ in range(200):
+        weight = balanced(y)
+
+        def sums(a: float, b: float) -> tuple[float, ...]:
             p = 1 / (1 + np.exp(-np.clip(a * z + b, -40, 40)))
-            g, h = weight * (p - y), weight * p * (1 - p) + 1e-9
-            ga, gb = (g * z).sum() + 1e-4 * (a - 1), g.sum() + 1e-4 * b
-            haa, hab, hbb = (h * z * z).sum() + 1e-4, (h * z).sum(), h.sum() + 1e-4
-            det = haa * hbb - hab * hab
-            da, db = (hbb * ga - hab * gb) / det, (haa * gb - hab * ga) / det
-            size = max(1.0, abs(da), abs(db))
-            a, b = a - da / size, b - db / size
-        self.scale, self.shift = float(max(a, 1e-3)), float(b)
+            g, h = weight * (p - y), weight * p * (1 - p)
+            return (g * z).sum(), g.sum(), (h * z * z).sum(), (h * z).sum(), h.sum()
+
+        self.scale, self.shift = platt(sums)
         found = np.sort(self.probability(x[y == 1]))
         self.threshold = float(found[int(np.floor((1 - recall) * len(found)))]) if len(found) else 1.1
+
+    def weights(self) -> np.ndarray:
+        """All weights in a row."""
+        return np.concatenate([self.w[k].ravel() for k in sorted(self.w)])
+
+    def put(self, weights: np.ndarray) -> None:
+        """Takes weights in the order of weights()."""
+        at = 0
+        for k in sorted(self.w):
+            n = self.w[k].size
+            self.w[k] = weights[at:at + n].reshape(self.w[k].shape)
+            at += n
+
+
+def balanced(y: np.ndarray) -> np.ndarray:
+    """Weights with which either label adds up to a half."""
+    return np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
+
+
+def platt(sums: Callable[[float, float], tuple[float, ...]]) -> tuple[float, float]:
+    """Scale and shift by Newton's method.
+
+    sums(a, b) adds up, over the weighted findings of score z and with p for a z + b, those of
+    g z, g, h z z, h z and h, where g is p less the label and h is p (1 - p).
+    """
+    a, b = 1.0, 0.0
+    for _ in range(200):
+        gz, g, hzz, hz, h = sums(a, b)
+        ga, gb = gz + 1e-4 * (a - 1), g + 1e-4 * b
+        haa, hbb = hzz + 1e-4, h + 1e-4
+        det = haa * hbb - hz * hz
+        da, db = (hbb * ga - hz * gb) / det, (haa * gb - hz * ga) / det
+        size = max(1.0, abs(da), abs(db))
+        a, b = a - da / size, b - db / size
+        if abs(da) + abs(db) < 1e-7:
+            break
+    return float(max(a, 1e-3)), float(b)
