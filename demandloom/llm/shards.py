@@ -5,7 +5,8 @@ largest seeded hash wins, so one shard more takes records only into itself) and,
 hash, to one of the shard's buckets. The number of buckets follows from the bytes of all texts, so
 that a bucket fits a task's memory, and bucket k goes to partition k, so that no two meet in a task. Second pass: each bucket is put in a fixed order, shuffled
 (Spark's `shuffle` is Fisher-Yates with a given seed) and written to the shared folder. A record's
-slot is its place in its bucket plus the sizes of the shard's earlier buckets.
+slot is its place in its bucket plus the sizes of the shard's earlier buckets, which are sent to the
+written records (one row a bucket), so that the records are shuffled once.
 
 The law is `key`: doc_id and the number of shards alone decide. A null doc_id is a key like any
 other; null texts have no bytes and the checksum of an empty text. Rows that repeat a doc_id share
@@ -56,12 +57,12 @@ def shard(docs: DataFrame, shards: int = SHARDS, bucket_bytes: int = BUCKET_BYTE
                 .select("bucket", F.shuffle(_ordered("rows"), F.lit(seed)).alias("rows"))
                 .select("bucket", F.posexplode("rows").alias("place", "row"))
                 .select("bucket", "place", "row.*").drop("order", "tie"))
-    written = shared.stored(gathered, folder)
+    written = shared.stored_alone(gathered, folder)
 
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = (written.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
             .select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")))
-    return written.join(base, "bucket").select(
+    return written.join(F.broadcast(base), "bucket").select(
         "record.*", "size", "text_crc32", F.lit("key").alias("law"), "shard",
         (F.col("base") + F.col("place")).cast("long").alias("slot"), "grown_shard")
 

@@ -171,6 +171,19 @@ def test_shards(docs, empty, texts):
     assert shards.shard(empty).count() == 0
 
 
+def test_shards_shuffle_records_once(spark, docs):
+    """Slots are found without a second shuffle of the records, whatever the sizes are estimated at."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = shards.shard(docs)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and "BroadcastHashJoin" in plan
+    slots = {k: sorted(r.slot for r in out.collect() if r.shard == k) for k in range(8)}
+    assert all(found == list(range(len(found))) for found in slots.values())
+
+
 def test_targets(spark):
     sizes = {"a": 10, "b": 1000, "c": 5, "d": 300, None: 0, "é": 40}
     budget, names = 1.5 * sum(sizes.values()), sorted((s for s in sizes if s), key=lambda s: s) + [None]
