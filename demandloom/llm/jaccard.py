@@ -10,7 +10,8 @@ sets share a shingle, and with shingles in one fixed order, rare ones first, lin
 within the first (1 - t) n + 1 of either: the points that have such a shingle in common are a first
 region, and every linked pair lies together in one. Sizes of linked sets differ by a factor of at most
 1/t: regions are cut by classes of size, each with the next smaller one's points as its boundary. A
-region's pivot is one of its points:
+region's pivot is the one of its points whose rarest shingles are the most common ones: of a crowd of near copies
+that is the least edited, which most others are linked with. The choice changes no result:
 
 * every point of a region is held against its pivot by sketches first. A sketch has two bits or more a
   shingle, each the parity of the shingles in its hash class; sketches differ in no more bits than
@@ -98,6 +99,12 @@ def _mask(sketch: np.ndarray) -> np.ndarray:
     return np.bitwise_xor.reduce(sketch.reshape(-1, MASK), axis=0)
 
 
+def _rank(rare: np.ndarray, common: np.ndarray) -> int:
+    """How common a set's rarest shingles are; the last bits are a hash, as equal ranks would give regions of the same points different pivots."""
+    total = min(int(common[(rare % np.uint64(SLOTS)).astype(np.int64)].sum()), 1 << 42)
+    return total << 20 | int(rare.sum(dtype=np.uint64) >> np.uint64(44))
+
+
 def _pointed(width: int, percent: int, counts):
     def point(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each document's set as a point: its identity, its rarest shingles, as many as two linked sets cannot both miss, and its sketch."""
@@ -110,8 +117,9 @@ def _pointed(width: int, percent: int, counts):
                 first.append(s[np.lexsort((s, common[(s % np.uint64(SLOTS)).astype(np.int64)]))[:n]])
             sketches = [_sketch(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *_identity(sets), _listed(first), _listed(sketches), _listed([_mask(s) for s in sketches])],
-                ["doc_id", *_SET, "rare", "sketch", "mask"])
+                [batch.column("doc_id"), *_identity(sets), pa.array([_rank(s, common) for s in first], pa.int64()),
+                 _listed(first), _listed(sketches), _listed([_mask(s) for s in sketches])],
+                ["doc_id", *_SET, "rank", "rare", "sketch", "mask"])
     return point
 
 
@@ -183,22 +191,22 @@ def _classes(percent: int) -> Column:
 
 
 def _sized(members: DataFrame, percent: int) -> DataFrame:
-    """members(region, node, n_shingles) dealt into classes of size: each point is an upper one of its own
+    """members(region, node, n_shingles, rank) dealt into classes of size: each point is an upper one of its own
     class and a boundary point of the next."""
     spot = members.withColumn("class", _classes(percent)).withColumn("way", F.explode(F.array(F.lit(0), F.lit(1))))
-    return spot.select(F.xxhash64("region", F.col("class") + F.col("way")).alias("region"), "node", "n_shingles",
+    return spot.select(F.xxhash64("region", F.col("class") + F.col("way")).alias("region"), "node", "n_shingles", "rank",
                        F.lit(True).alias("inner"), (F.col("way") == 0).alias("upper"), F.col("node").alias("root"))
 
 
 def _shells(members: DataFrame, percent: int) -> DataFrame:
-    """members(region, node, n_shingles, upper, apart, top, root) of sketched regions, dealt into shells.
+    """members(region, node, n_shingles, rank, upper, apart, top, root) of sketched regions, dealt into shells.
 
     Each point is an inner one of its own shell and a boundary point of the next. Linked sets of up to
     `top` shingles differ in at most (1 - t) / (1 + t) * 2 top of them.
     """
     width = F.greatest(F.lit(1), F.expr(f"2 * {100 - percent} * top div {100 + percent}"))
     spot = members.withColumn("shell", F.floor(F.col("apart") / width)).withColumn("out", F.explode(F.array(F.lit(0), F.lit(1))))
-    return spot.select(F.xxhash64("region", F.col("shell") + F.col("out")).alias("region"), "node", "n_shingles",
+    return spot.select(F.xxhash64("region", F.col("shell") + F.col("out")).alias("region"), "node", "n_shingles", "rank",
                        (F.col("out") == 0).alias("inner"), "upper", "root")
 
 
@@ -210,7 +218,7 @@ def _open_regions(cells: DataFrame) -> DataFrame:
     member = F.xxhash64("node", "inner", "upper")
     found = cells.groupBy("region").agg(
         F.count("*").alias("crowd"), F.min("root").alias("least"), F.max("root").alias("most"), F.max("upper").alias("has_upper"),
-        F.max("n_shingles").alias("top"), F.min(F.when(F.col("inner"), F.col("node"))).alias("pivot"),
+        F.max("n_shingles").alias("top"), F.max_by("node", F.when(F.col("inner"), F.col("rank"))).alias("pivot"),
         F.bit_xor(member).alias("x"), F.sum(F.xxhash64("node", "upper", "inner").cast("decimal(20,0)")).alias("s"))
     return (found.filter("least <> most AND pivot IS NOT NULL AND has_upper")
             .groupBy("crowd", "top", "pivot", "x", "s").agg(F.min("region").alias("region")).select("region", "crowd", "top", "pivot"))
@@ -252,13 +260,13 @@ def jaccard_join(docs: DataFrame, width: int = 5, percent: int = 80, rounds: int
     counts[tally["slot"].to_numpy(np.int64)] = tally["n"].to_numpy(np.int64)
     sent = spark.sparkContext.broadcast(counts)
     identity = "set_a long, set_b long, n_shingles long"
-    rows = shared.stored_alone(base.mapInArrow(_pointed(width, percent, sent), f"doc_id long, {identity}, rare array<long>, sketch array<long>, mask array<long>"), f"{folder}/rows")
+    rows = shared.stored_alone(base.mapInArrow(_pointed(width, percent, sent), f"doc_id long, {identity}, rank long, rare array<long>, sketch array<long>, mask array<long>"), f"{folder}/rows")
     named = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
 
     # one point for each distinct set, numbered as written
-    points = named.groupBy(*_SET).agg(F.min("doc_id").alias("first"), F.first("rare").alias("rare"), F.first("sketch").alias("sketch"), F.first("mask").alias("mask"))
+    points = named.groupBy(*_SET).agg(F.min("doc_id").alias("first"), F.first("rank").alias("rank"), F.first("rare").alias("rare"), F.first("sketch").alias("sketch"), F.first("mask").alias("mask"))
     points = shared.stored_alone(points.withColumn("node", F.monotonically_increasing_id()), f"{folder}/points")
-    member = (rows.drop("rare", "sketch", "mask").join(points.select(*_SET, "node").hint("merge"), _SET, "left")
+    member = (rows.drop("rank", "rare", "sketch", "mask").join(points.select(*_SET, "node").hint("merge"), _SET, "left")
               .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node")))
     member = shared.stored_alone(member, f"{folder}/member")
     repeats = not named.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
@@ -267,7 +275,7 @@ def jaccard_join(docs: DataFrame, width: int = 5, percent: int = 80, rounds: int
                .filter("a <> b").select("a", "b"))
 
     # first regions: points that share one of their rarest shingles
-    shingled = points.select(F.explode("rare").alias("region"), "node", "n_shingles")
+    shingled = points.select(F.explode("rare").alias("region"), "node", "n_shingles", "rank")
     met = shingled.groupBy("region").agg(F.count("*").alias("n")).filter("n > 1").select("region")
     dealt = shared.stored_alone(_sized(shingled.join(met.hint("merge"), "region"), percent), f"{folder}/dealt-0")
     cells = shared.stored_alone(dealt.join(_open_regions(dealt).hint("merge"), "region"), f"{folder}/cells-0")
@@ -276,7 +284,7 @@ def jaccard_join(docs: DataFrame, width: int = 5, percent: int = 80, rounds: int
     def measured(pairs: DataFrame, k: int) -> DataFrame:
         """The pairs that may be linked, measured on their full sets, which are made anew from their texts."""
         ends = shared.stored_alone(pairs.filter("near").select(F.explode(F.array("a", "b")).alias("node")).distinct(), f"{folder}/ends-{k}")
-        wanted = shared.stored_alone(points.drop("rare", "sketch", "mask").join(ends.hint("merge"), "node", "left_semi"), f"{folder}/wanted-{k}")
+        wanted = shared.stored_alone(points.drop("rank", "rare", "sketch", "mask").join(ends.hint("merge"), "node", "left_semi"), f"{folder}/wanted-{k}")
         texts = base.join(wanted.select(F.col("first").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
         whole = texts.select("text").mapInArrow(_whole(width), f"{identity}, shingles array<long>")
         if repeats:

@@ -252,3 +252,24 @@ def test_jaccard_join_repeated_null_and_no_rows(spark):
     assert jaccard.joined(docs.limit(0)).count() == 0
     with pytest.raises(ValueError):
         jaccard.jaccard_join(docs, percent=100)
+
+
+def test_pivot_of_a_crowd_is_its_middle(spark, monkeypatch):
+    """Of texts with more and less edits of one, that one is the pivot of most: it is linked with more than any other."""
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(3000)]
+    centre = rng.choices(vocabulary, k=150)
+    texts = {}
+    for k in range(200):
+        words = list(centre)
+        for at in rng.sample(range(150), min(k // 17, 12)):
+            words[at] = rng.choice(vocabulary)
+        texts[199 - k] = " ".join(words)
+    looked = []
+    plain = jaccard._sketched
+    monkeypatch.setattr(jaccard, "_sketched", lambda *given: looked.append(given) or plain(*given))
+    out = jaccard.joined(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out.collect()} == components_of(texts, 5)
+    pairs, points, _ = looked[0]
+    pivot = pairs.groupBy("b").count().orderBy("count", ascending=False).first()["b"]
+    assert texts[points.filter(f"node = {pivot}").first()["first"]] == " ".join(centre)
