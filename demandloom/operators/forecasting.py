@@ -26,7 +26,7 @@ from demandloom.operators import sparse_demand
 Z95 = 1.96
 SCORE_DIGITS = 9
 RULES = ("naive_12", "mean_12", "last_value", "zero")
-#: methods for series with few demands; like the rules, expressions that need no fitting
+#: methods for series with few demands; like the rules, they need no fitting
 SPARSE = tuple(sparse_demand.METHODS)
 
 ID, TIME, VALUE = "unique_id", "ds", "y"
@@ -73,8 +73,8 @@ def _fit(y: pd.Series, model: pd.Series, horizon: pd.Series) -> pd.DataFrame:
     return out
 
 
-def _rule(model: Column, y: Column, horizon: Column) -> Column:
-    """Forecast of the fixed rules as array expressions, without leaving the JVM."""
+def _rule(model: Column, y: Column, horizon: Column, level: Column) -> Column:
+    """Forecast of the fixed rules as array expressions, without leaving the JVM; `level` is that of the sparse methods."""
     n = F.size(y)
     last12 = F.slice(y, F.greatest(n - 11, F.lit(1)), F.lit(12))
     width = F.size(last12)
@@ -85,29 +85,28 @@ def _rule(model: Column, y: Column, horizon: Column) -> Column:
         "mean_12": lambda k: mean,
         "last_value": lambda k: F.get(y, n - 1),
         "zero": lambda k: F.lit(0.0),
-        **{name: lambda k, level=level: level(y) for name, level in sparse_demand.METHODS.items()},
     }
-    chosen = None
+    chosen = F.when(model.isin(*SPARSE), F.array_repeat(level, horizon.cast("int")))
     for name, value in by_step.items():
-        # one level for all months: worked out once
-        arm = F.transform(steps, value) if name not in SPARSE else F.array_repeat(value(None), horizon.cast("int"))
-        chosen = F.when(model == name, arm) if chosen is None else chosen.when(model == name, arm)
+        chosen = chosen.when(model == name, F.transform(steps, value))
     return F.when((n > 0) & (horizon > 0), chosen)
 
 
 def predict(rows: DataFrame, horizon: Column, models: Iterable[str] | None = None) -> DataFrame:
     """Add `p50` and `sd` arrays to rows holding `y` and `model`.
 
-    Rules are evaluated as expressions, everything else is fitted. `models` names what the
-    rows may hold, where that is known, to plan only the branch that is needed.
+    Rules are evaluated as expressions, sparse methods in blocks of rows, everything else is fitted.
+    `models` names what the rows may hold, where that is known, to plan only what is needed.
     """
     rows = rows.withColumn("_h", horizon)
     plain = (*RULES, *SPARSE)
     known = list(models) if models is not None else [*plain, *FITTED]
-    simple = rows.filter(F.col("model").isin(*plain)).withColumns({
-        "p50": _rule(F.col("model"), F.col("y"), F.col("_h")),
+    sparse = F.col("model").isin(*SPARSE)
+    level = sparse_demand.level(F.col("model"), F.when(sparse, F.col("y"))) if any(m in SPARSE for m in known) else F.lit(None).cast("double")
+    simple = rows.filter(F.col("model").isin(*plain)).withColumn("_level", level).withColumns({
+        "p50": _rule(F.col("model"), F.col("y"), F.col("_h"), F.col("_level")),
         "sd": F.lit(None).cast("array<double>"),
-    })
+    }).drop("_level")
     if all(m in plain for m in known):
         return simple.drop("_h")
     fitted = rows.filter(~F.col("model").isin(*plain)).withColumn("_f", _fit("y", "model", "_h")).select(
@@ -188,8 +187,8 @@ def _with_models(packed: DataFrame, models: Iterable[str]) -> DataFrame:
     return packed.withColumn("model", F.explode(F.array(*[F.lit(m) for m in models])))
 
 
-def _mean_of(terms: Column) -> Column:
-    return F.aggregate(terms, F.lit(0.0), lambda a, v: a + v) / F.size(terms)
+def _mean_of(terms: Column, count: Column) -> Column:
+    return F.aggregate(terms, F.lit(0.0), lambda a, v: a + v) / count
 
 
 METRICS = {
@@ -216,7 +215,8 @@ def mm_evaluate(train: DataFrame, models: Iterable[str] = tuple(MODELS), horizon
     error = METRICS[metric]
     scored = predict(rows, F.lit(horizon), models)
     terms = F.zip_with("actual", "p50", lambda a, p: error(a, F.greatest(p, F.lit(0.0))))
-    return scored.select(ID, "model", "window_no", "cutoff_ym", F.when(F.col("p50").isNotNull(), _mean_of(terms)).alias("metric_value"))
+    mean = _mean_of(terms, F.greatest(F.size("actual"), F.size("p50")))
+    return scored.select(ID, "model", "window_no", "cutoff_ym", F.when(F.col("p50").isNotNull(), mean).alias("metric_value"))
 
 
 def mm_score(train: DataFrame, models: Iterable[str] = tuple(MODELS), horizon: int = spec.HORIZON_MONTHS) -> DataFrame:
@@ -263,8 +263,9 @@ def best_models(evaluation: DataFrame, ties: str = "keep") -> DataFrame:
     scores are rounded so that the order of summation cannot break or make a tie. The
     window ranks the models of one series, as many rows as there are models.
     """
-    scored = evaluation.filter(F.col("metric_value").isNotNull())
-    mean = scored.groupBy(ID, "model").agg(F.round(F.avg("metric_value"), SCORE_DIGITS).alias("avg_metric"))
+    mean = evaluation.groupBy(ID, "model").agg(F.round(F.avg("metric_value"), SCORE_DIGITS).alias("avg_metric"))
+    # only now: a filter on the score itself is pushed below the forecasts and computes every one of them again, several times over
+    mean = mean.filter(F.col("avg_metric").isNotNull())
     per_series = Window.partitionBy(ID).orderBy("avg_metric")
     rank = F.rank().over(per_series) if ties == "keep" else F.row_number().over(per_series.orderBy("avg_metric", "model"))
     return mean.withColumn("_rank", rank).filter(F.col("_rank") == 1).select(
