@@ -40,15 +40,17 @@ def mm_train(ship: DataFrame) -> DataFrame:
 def pack(df: DataFrame, key: str, time: str, value: str) -> DataFrame:
     """One row per series: key, newest month `last_ym`, values in month order `y`.
 
-    One shuffle, into the configured number of partitions. What follows costs CPU rather
-    than bytes, and a given count keeps adaptive coalescing from packing these small rows
-    into one task; models and windows are fanned out behind it, inside the partitions.
+    The months of a series that a task holds are put together before anything is shuffled, so that
+    after gap filling, which leaves a series in one place, only one row a series travels. Those
+    rows are then dealt over the configured number of partitions, by a hash of the key since Spark
+    drops a second exchange by the key itself. What follows costs CPU rather than bytes, and a given
+    count keeps adaptive coalescing from packing these small rows into one task; models and windows
+    are fanned out behind it, inside the partitions.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    df = df.select(key, time, value).repartition(parts, key)
     points = F.array_sort(F.collect_list(F.struct(F.col(time).alias("t"), F.col(value).cast("double").alias("v"))))
     packed = df.groupBy(F.col(key)).agg(F.max(time).alias("last_ym"), points.alias("_points"))
-    return packed.select(key, "last_ym", F.transform("_points", lambda p: p["v"]).alias("y"))
+    return packed.select(key, "last_ym", F.transform("_points", lambda p: p["v"]).alias("y")).repartition(parts, F.xxhash64(key))
 
 
 _CURVE = T.ArrayType(T.DoubleType())
@@ -73,8 +75,8 @@ def _fit(y: pd.Series, model: pd.Series, horizon: pd.Series) -> pd.DataFrame:
     return out
 
 
-def _rule(model: Column, y: Column, horizon: Column, level: Column) -> Column:
-    """Forecast of the fixed rules as array expressions, without leaving the JVM; `level` is that of the sparse methods."""
+def _rule(model: Column, y: Column, horizon: Column) -> Column:
+    """Forecast of the fixed rules as array expressions, without leaving the JVM."""
     n = F.size(y)
     last12 = F.slice(y, F.greatest(n - 11, F.lit(1)), F.lit(12))
     width = F.size(last12)
@@ -86,12 +88,21 @@ def _rule(model: Column, y: Column, horizon: Column, level: Column) -> Column:
         "last_value": lambda k: F.get(y, n - 1),
         "zero": lambda k: F.lit(0.0),
     }
-    chosen = F.when(model.isin(*SPARSE), F.array_repeat(level, horizon.cast("int")))
+    chosen = None
     for name, value in by_step.items():
-        chosen = chosen.when(model == name, F.transform(steps, value))
+        arm = F.transform(steps, value)
+        chosen = F.when(model == name, arm) if chosen is None else chosen.when(model == name, arm)
     return F.when((n > 0) & (horizon > 0), chosen)
 
 
+def _with_levels(rows: DataFrame) -> DataFrame:
+    """Add the months `_n` of each row and what the sparse method it names makes of them, `_level`, unless there already."""
+    if "_level" in rows.columns:
+        return rows
+    own = F.when(F.col("model").isin(*SPARSE), F.col("y"))
+    return rows.withColumns({"_n": F.size("y"), "_level": sparse_demand.level(F.col("model"), own)})
+
+
 def predict(rows: DataFrame, horizon: Column, models: Iterable[str] | None = None) -> DataFrame:
     """Add `p50` and `sd` arrays to rows holding `y` and `model`.
 
@@ -101,17 +112,22 @@ def predict(rows: DataFrame, horizon: Column, models: Iterable[str] | None = Non
     rows = rows.withColumn("_h", horizon)
     plain = (*RULES, *SPARSE)
     known = list(models) if models is not None else [*plain, *FITTED]
-    sparse = F.col("model").isin(*SPARSE)
-    level = sparse_demand.level(F.col("model"), F.when(sparse, F.col("y"))) if any(m in SPARSE for m in known) else F.lit(None).cast("double")
-    simple = rows.filter(F.col("model").isin(*plain)).withColumn("_level", level).withColumns({
-        "p50": _rule(F.col("model"), F.col("y"), F.col("_h"), F.col("_level")),
-        "sd": F.lit(None).cast("array<double>"),
-    }).drop("_level")
+    simple = rows.filter(F.col("model").isin(*plain))
+    p50 = None
+    if any(m in SPARSE for m in known):
+        simple = _with_levels(simple)
+        flat = F.when((F.col("_n") > 0) & (F.col("_h") > 0), F.array_repeat("_level", F.col("_h").cast("int")))
+        p50 = F.when(F.col("model").isin(*SPARSE), flat)
+    if p50 is None or any(m in RULES for m in known):
+        rule = _rule(F.col("model"), F.col("y"), F.col("_h"))
+        p50 = rule if p50 is None else p50.otherwise(rule)
+    simple = simple.withColumns({"p50": p50, "sd": F.lit(None).cast("array<double>")}).drop("_h", "_n", "_level")
     if all(m in plain for m in known):
-        return simple.drop("_h")
+        return simple
+    rows = rows.drop("_n", "_level")
     fitted = rows.filter(~F.col("model").isin(*plain)).withColumn("_f", _fit("y", "model", "_h")).select(
-        *rows.columns, F.col("_f.p50").alias("p50"), F.col("_f.sd").alias("sd"))
-    return (simple.unionByName(fitted) if any(m in plain for m in known) else fitted).drop("_h")
+        *rows.columns, F.col("_f.p50").alias("p50"), F.col("_f.sd").alias("sd")).drop("_h")
+    return simple.unionByName(fitted) if any(m in plain for m in known) else fitted
 
 
 def unpack(predicted: DataFrame, keep: list[str]) -> DataFrame:
@@ -183,8 +199,15 @@ def backtest_windows(horizon: int, backtest: int, stride: int) -> int:
     return (backtest - horizon) // stride + 1
 
 
-def _with_models(packed: DataFrame, models: Iterable[str]) -> DataFrame:
-    return packed.withColumn("model", F.explode(F.array(*[F.lit(m) for m in models])))
+def _with_models(rows: DataFrame, models: Iterable[str]) -> DataFrame:
+    """One row per series and model. What the sparse methods make of a series is worked out before, in one go."""
+    models = list(models)
+    if not any(m in SPARSE for m in models):
+        return rows.withColumn("model", F.explode(F.array(*[F.lit(m) for m in models])))
+    rows = rows.withColumns({"_n": F.size("y"), "_levels": sparse_demand.levels(F.col("y"))})
+    level = lambda m: F.col(f"_levels.{m}") if m in SPARSE else F.lit(None).cast("double")
+    pairs = F.array(*[F.struct(F.lit(m).alias("model"), level(m).alias("_level")) for m in models])
+    return rows.select(*[c for c in rows.columns if c != "_levels"], F.inline(pairs))
 
 
 def _mean_of(terms: Column, count: Column) -> Column:
@@ -207,11 +230,10 @@ def mm_evaluate(train: DataFrame, models: Iterable[str] = tuple(MODELS), horizon
     windows, models = backtest_windows(horizon, backtest, stride), list(models)
     size = F.size("y")
     cut = F.greatest(size - backtest + F.col("window_no") * stride, F.lit(0))
-    rows = _with_models(pack(train, ID, TIME, VALUE), models).withColumn(
-        "window_no", F.explode(F.sequence(F.lit(0), F.lit(windows - 1))))
-    rows = rows.select(
-        ID, "model", "window_no", shift_month_end("last_ym", F.col("window_no") * stride - backtest).alias("cutoff_ym"),
-        F.slice("y", F.lit(1), cut).alias("y"), F.slice("y", cut + 1, F.lit(horizon)).alias("actual"))
+    rows = pack(train, ID, TIME, VALUE).withColumn("window_no", F.explode(F.sequence(F.lit(0), F.lit(windows - 1))))
+    rows = _with_models(rows.select(
+        ID, "window_no", shift_month_end("last_ym", F.col("window_no") * stride - backtest).alias("cutoff_ym"),
+        F.slice("y", F.lit(1), cut).alias("y"), F.slice("y", cut + 1, F.lit(horizon)).alias("actual")), models)
     error = METRICS[metric]
     scored = predict(rows, F.lit(horizon), models)
     terms = F.zip_with("actual", "p50", lambda a, p: error(a, F.greatest(p, F.lit(0.0))))

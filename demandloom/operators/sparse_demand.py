@@ -109,24 +109,41 @@ def imapa(y: np.ndarray, gone: np.ndarray | None):
 _BLOCKS = {"tsb": tsb, "adida": adida, "imapa": imapa}
 
 
-@F.arrow_udf(T.DoubleType())
-def _level(model: pa.Array, y: pa.Array) -> pa.Array:
-    """Level of every row; rows sharing method and length are computed as one block."""
+def _blocks(y: pa.Array, wanted: dict[str, np.ndarray]) -> dict[str, pa.Array]:
+    """Levels of the rows wanted of each method; rows of the same length are computed as one block."""
     values, lengths = y.flatten(), pc.list_value_length(y).fill_null(0).to_numpy(zero_copy_only=False)
     starts = np.cumsum(lengths) - lengths
     months = values.to_numpy(zero_copy_only=False)
     nulls = values.is_null().to_numpy(zero_copy_only=False) if values.null_count else None
-    out, none = np.zeros(len(y)), np.ones(len(y), dtype=bool)
+    out = {name: (np.zeros(len(y)), np.ones(len(y), dtype=bool)) for name in wanted}
     with np.errstate(all="ignore"):
-        for name, method in _BLOCKS.items():
-            chosen = pc.equal(model, name).fill_null(False).to_numpy(zero_copy_only=False)
-            for n in np.unique(lengths[chosen & (lengths > 0)]):
-                rows = np.flatnonzero(chosen & (lengths == n))
-                at = starts[rows] + np.arange(n)[:, None]
-                gone = None if nulls is None or not nulls[at].any() else nulls[at]
-                out[rows], unknown = method(months[at], gone)
-                none[rows] = False if unknown is None else unknown
-    return pa.array(out, pa.float64(), mask=none)
+        for n in np.unique(lengths[lengths > 0]):
+            same = lengths == n
+            for name, chosen in wanted.items():
+                rows = np.flatnonzero(same & chosen)
+                if len(rows):
+                    at = starts[rows] + np.arange(n)[:, None]
+                    gone = None if nulls is None or not nulls[at].any() else nulls[at]
+                    levels, none = out[name]
+                    levels[rows], unknown = _BLOCKS[name](months[at], gone)
+                    none[rows] = False if unknown is None else unknown
+    return {name: pa.array(levels, pa.float64(), mask=none) for name, (levels, none) in out.items()}
+
+
+@F.arrow_udf(T.DoubleType())
+def _level(model: pa.Array, y: pa.Array) -> pa.Array:
+    wanted = {name: pc.equal(model, name).fill_null(False).to_numpy(zero_copy_only=False) for name in _BLOCKS}
+    out = pa.nulls(len(y), pa.float64())
+    for name, levels in _blocks(y, wanted).items():
+        out = pc.if_else(pa.array(wanted[name]), levels, out)
+    return out
+
+
+@F.arrow_udf(T.StructType([T.StructField(name, T.DoubleType()) for name in _BLOCKS]))
+def _levels(y: pa.Array) -> pa.Array:
+    all_rows = np.ones(len(y), dtype=bool)
+    made = _blocks(y, {name: all_rows for name in _BLOCKS})
+    return pa.StructArray.from_arrays(list(made.values()), names=list(made))
 
 
 def level(model: Column, y: Column) -> Column:
@@ -134,4 +151,9 @@ def level(model: Column, y: Column) -> Column:
     return _level(model, y.cast("array<double>"))
 
 
+def levels(y: Column) -> Column:
+    """What every method makes of an array of months, one field each."""
+    return _levels(y.cast("array<double>"))
+
+
 METHODS = {name: (lambda y, name=name: level(F.lit(name), y)) for name in _BLOCKS}
