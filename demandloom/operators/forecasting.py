@@ -132,9 +132,8 @@ def predict(rows: DataFrame, horizon: Column, models: Iterable[str] | None = Non
 
 def unpack(predicted: DataFrame, keep: list[str]) -> DataFrame:
     """One row per forecast month: `target_ym`, `p50` and bounds, none of them negative."""
-    steps = F.posexplode(F.arrays_zip("p50", F.coalesce("sd", F.transform("p50", lambda _: F.lit(None).cast("double"))).alias("sd")))
-    rows = predicted.select(*keep, "last_ym", steps.alias("_k", "_p"))
-    p50, half = F.col("_p.p50"), Z95 * F.col("_p.sd")
+    rows = predicted.select(*keep, "last_ym", "sd", F.posexplode("p50").alias("_k", "_p50"))
+    p50, half = F.col("_p50"), Z95 * F.get("sd", F.col("_k"))
     return rows.select(
         *keep, shift_month_end("last_ym", F.col("_k") + 1).alias("target_ym"),
         F.greatest(p50, F.lit(0.0)).alias("p50"),
